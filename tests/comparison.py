@@ -63,6 +63,7 @@ def main(argv: list[str]) -> int:
     sf = next((a for a in argv if a.startswith("sf")), "sf0.01")
     wanted = [a for a in argv if not a.startswith("sf")]
     spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+                          spark__ui__showConsoleProgress="false",
                           spark__driver__memory="12g")
     spark.sparkContext.setLogLevel("ERROR")
     sf_dir = f"/root/testdata/{sf}"

@@ -1,6 +1,6 @@
 """Imports every query module and exposes the filled registry."""
 
-from tidemark.plans import feature_queries  # noqa: F401
+from tidemark.plans import feature_queries, ingest_queries, store_queries  # noqa: F401
 from tidemark.plans.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
