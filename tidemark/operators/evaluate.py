@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark.functions.ordering import running_total, top_n
 from tidemark.functions.stats import t_test_p
@@ -20,7 +20,7 @@ SIGNIFICANT_BELOW = 0.05
 def log_loss(predictions: DataFrame) -> DataFrame:
     """Mean binary cross-entropy; each log is held at or above ``LOG_FLOOR``."""
 
-    def log(p: F.Column) -> F.Column:
+    def log(p: Column) -> Column:
         return F.when(p <= 0, LOG_FLOOR).otherwise(F.greatest(F.log(p), F.lit(LOG_FLOOR)))
 
     y, p = F.col("label").cast("double"), F.col("score").cast("double")

@@ -1,6 +1,12 @@
 """Imports every query module and exposes the filled registry."""
 
-from tidemark.plans import feature_queries, ingest_queries, store_queries, training_queries  # noqa: F401
+from tidemark.plans import (  # noqa: F401
+    feature_queries,
+    ingest_queries,
+    retrieval_queries,
+    store_queries,
+    training_queries,
+)
 from tidemark.plans.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]

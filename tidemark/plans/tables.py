@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Reference instant of the registered queries; events run 2024-01-01 to 2024-01-30.
 AS_OF = "2024-01-20 00:00:00"
@@ -68,7 +68,7 @@ class Tables:
         return self.raw("embeddings").select("vec_id", "embedding")
 
 
-def _k() -> F.Column:
+def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("bigint")
 
 

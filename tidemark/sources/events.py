@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.functions.ordering import top_n
@@ -81,7 +81,7 @@ def extraction_summary(records: DataFrame) -> DataFrame:
     )
 
 
-def topic_of(kind: F.Column, prefix: str = TOPIC_PREFIX) -> F.Column:
+def topic_of(kind: Column, prefix: str = TOPIC_PREFIX) -> Column:
     return F.concat(F.lit(f"{prefix}-"), kind)
 
 
