@@ -3,8 +3,11 @@
 from tidemark.plans import (  # noqa: F401
     feature_queries,
     ingest_queries,
+    monitoring_queries,
     retrieval_queries,
+    search_queries,
     store_queries,
+    stream_queries,
     training_queries,
 )
 from tidemark.plans.registry import CHECKS, QUERIES
