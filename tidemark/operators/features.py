@@ -55,6 +55,16 @@ def _since(df: DataFrame, when: str | datetime, days: int) -> Column:
 # ---------------------------------------------------------------- users
 
 
+def _busiest_hour() -> Column:
+    """Hour with most events, the earlier one on a tie.
+
+    Twenty-four plain counters keep the aggregation in generated code; ``mode``
+    would hold a map per user and fall back to sorting.
+    """
+    counts = F.array(*[F.count_if(F.hour("timestamp") == hour) for hour in range(24)])
+    return (F.array_position(counts, F.array_max(counts)) - 1).cast("int")
+
+
 def user_activity(interactions: DataFrame, when: str | datetime) -> DataFrame:
     """All user features that need only the event rows, in one aggregation."""
     df = with_optional_columns(as_of(interactions, when))
@@ -71,7 +81,7 @@ def user_activity(interactions: DataFrame, when: str | datetime) -> DataFrame:
         ],
         F.avg("rating").alias("avg_rating_given"),
         ratio(F.count_if(_is(SKIP)), F.count("*")).alias("skip_rate"),
-        F.mode(F.hour("timestamp"), True).alias("peak_activity_hour"),
+        _busiest_hour().alias("peak_activity_hour"),
         whole_days(upto, F.max(F.when(_is(VIEW), F.col("timestamp")))).alias("days_since_last_watch"),
     )
 

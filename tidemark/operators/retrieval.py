@@ -268,7 +268,7 @@ def mmr_order(user: np.ndarray, pool: np.ndarray, k: int, weight: float) -> tupl
 def save_vectors(items: DataFrame, centres: np.ndarray, path: str) -> None:
     """Vectors with their cell, partitioned by cell, and the table of cell centres."""
     celled = assign_cells(items.select("movie_id", "vector"), centres).drop("radius")
-    celled.repartition("cell", F.pmod(F.xxhash64("movie_id"), F.lit(16))).write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
+    celled.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(centres)]
     items.sparkSession.createDataFrame(rows, "cell int, centre array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/centres")
 

@@ -136,7 +136,7 @@ def save_features(path: str, new: DataFrame, key: Sequence[str] = ENTITY_KEY) ->
         new = stage(merge_features(touched, new, key), "features-merged")
     (
         _day(new)
-        .repartition("as_of_day", F.pmod(F.xxhash64(*key), F.lit(_files_per_day(spark))))
+        .hint("rebalance", "as_of_day")  # splits a large day, joins small ones
         .sortWithinPartitions("as_of_day", *key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -145,10 +145,6 @@ def save_features(path: str, new: DataFrame, key: Sequence[str] = ENTITY_KEY) ->
     )
 
 
-def _files_per_day(spark: SparkSession) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
-
-
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)

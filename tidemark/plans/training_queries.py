@@ -134,23 +134,48 @@ def als_scores(t: Tables) -> DataFrame:
 
 
 def fixed_weights(dim: int = models.EMBEDDING_DIM) -> models.NcfWeights:
-    """Repeatable layer weights of the full model size."""
-    rng = np.random.default_rng(7)
+    """Layer weights of the full model size, given by a rule so that SQL can repeat them."""
     hidden, size = [], 2 * dim
     for width in models.HIDDEN_LAYERS:
+        i, j = np.arange(size)[:, None], np.arange(width)
         hidden.append({
-            "matrix": rng.normal(0, np.sqrt(2 / size), (size, width)), "bias": np.zeros(width), "scale": np.ones(width),
-            "shift": np.zeros(width), "mean": rng.normal(0, 0.1, width), "variance": np.ones(width)})
+            "matrix": np.sin(7.0 * i + 3.0 * j) * np.sqrt(2.0 / size), "bias": np.cos(1.0 * j) * 0.1, "scale": 1.0 + 0.0 * j,
+            "shift": 0.05 * np.sin(1.0 * j), "mean": 0.01 * j / width, "variance": 1.0 + 0.5 * j / width})
         size = width
-    return models.NcfWeights(hidden, rng.normal(0, 0.3, dim + size))
+    return models.NcfWeights(hidden, 0.3 * np.cos(1.0 * np.arange(dim + size)), 0.1)
 
 
-@query("ncf_score")
+def _layer_sql(source: str, size: int, width: int) -> str:
+    """(user_id, movie_id, g, h): the next layer's outputs from rows holding its inputs ``h``."""
+    dense = f"list_dot_product(h, m) * sqrt(2.0::DOUBLE / {size}) + cos(j) * 0.1::DOUBLE"
+    return f"""
+      SELECT user_id, movie_id, any_value(g) AS g, list(greatest(0, ({dense} - 0.01::DOUBLE * j / {width})
+        / sqrt(1.0::DOUBLE + 0.5::DOUBLE * j / {width} + 0.00001::DOUBLE) + 0.05::DOUBLE * sin(j))::DOUBLE ORDER BY j) AS h
+      FROM ({source}), (SELECT j, list(sin(7 * i + 3 * j)::DOUBLE ORDER BY i) AS m
+                        FROM range(0, {size}) a(i), range(0, {width}) b(j) GROUP BY j) GROUP BY 1, 2"""
+
+
+def _ncf_sql() -> str:
+    source = """
+      SELECT user_id, movie_id, list_transform(list_zip(u.embedding, i.embedding), lambda z: z[1]::DOUBLE * z[2]::DOUBLE) AS g,
+        list_concat(list_reverse(u.embedding), list_reverse(i.embedding))::DOUBLE[] AS h
+      FROM (SELECT DISTINCT user_id, movie_id FROM interactions WHERE event_type = 'view') p
+      JOIN embeddings u ON u.vec_id = user_id JOIN embeddings i ON i.vec_id = movie_id"""
+    size = 2 * models.EMBEDDING_DIM
+    for width in models.HIDDEN_LAYERS:
+        source, size = _layer_sql(source, size, width), width
+    total = models.EMBEDDING_DIM + size
+    return f"""
+      SELECT user_id, movie_id, round(1 / (1 + exp(-(list_dot_product(list_concat(g, h), w) + 0.1::DOUBLE))), 6) AS score
+      FROM ({source}), (SELECT list((0.3::DOUBLE * cos(i))::DOUBLE ORDER BY i) AS w FROM range(0, {total}) r(i))"""
+
+
+@query("ncf_score", _ncf_sql())
 def ncf_score(t: Tables) -> DataFrame:
     vectors = t.vectors.select("vec_id", F.col("embedding").alias("gmf"), F.reverse("embedding").alias("mlp"))
-    return models.ncf_score(
+    return rounded(models.ncf_score(
         viewed_pairs(t), vectors.withColumnRenamed("vec_id", "user_id"), vectors.withColumnRenamed("vec_id", "movie_id"),
-        fixed_weights())
+        fixed_weights()))
 
 
 @query("factor_score", """

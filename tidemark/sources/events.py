@@ -114,13 +114,11 @@ def publish(events: DataFrame, servers: str, checkpoint: str, prefix: str = TOPI
 def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
     """Snappy Parquet partitioned by day and event type.
 
-    Rows are spread by day, type and a hash of the event id, so a day's dominant
-    type is written by many tasks.
+    Rebalancing splits a day's dominant type over many tasks and joins small ones.
     """
     dated = events.withColumn("event_date", F.to_date("timestamp"))
-    spread = F.pmod(F.xxhash64("event_id"), F.lit(16))
     (
-        dated.repartition("event_date", "event_type", spread)
+        dated.hint("rebalance", "event_date", "event_type")
         .write.mode(mode)
         .option("compression", "snappy")
         .partitionBy("event_date", "event_type")
