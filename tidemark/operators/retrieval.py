@@ -43,7 +43,10 @@ def cell_count(n_items: int) -> int:
 def fit_cells(items: DataFrame, seed: int = 42) -> np.ndarray:
     """Cell centres, at most ``MAX_CELLS`` of them, fitted on all items."""
     points = items.select(array_to_vector(F.col("vector").cast("array<double>")).alias("features"))
-    cells = cell_count(points.count())
+    n_items = points.count()
+    if n_items == 0:
+        raise ValueError("there are no vectors to search")
+    cells = max(2, cell_count(n_items))  # the clustering takes no fewer
     model = KMeans(k=cells, seed=seed, maxIter=10).fit(points)
     return np.array(model.clusterCenters())
 
