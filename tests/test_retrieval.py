@@ -87,14 +87,14 @@ def test_no_task_gets_more_than_a_block_and_a_chunk(frames, monkeypatch):
     centres = retrieval.fit_cells(items)
     celled = retrieval.assign_cells(items, centres)
     assert retrieval.cell_sizes(celled).agg(F.max("items")).first()[0] >= 100  # the hot cell
-    probes = retrieval._cells_to_search(users, centres, 0, 3)
-    seen = []
+    ordered = retrieval._with_cell_order(users, centres)
+    probes = ordered.select("user_id", "vector", F.explode(F.slice("_order", 1, 3)["cell"]).alias("cell"))
 
     def spy(k):
         def kernel(left, right):
-            import pandas as pd
+            import pyarrow as pa
 
-            return pd.DataFrame({"user_id": [len(left)], "movie_id": [len(right)], "distance": [0.0]})
+            return pa.table({"user_id": [left.num_rows], "movie_id": [right.num_rows], "distance": [0.0]})
 
         return kernel
 

@@ -6,10 +6,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.functions.arrow import as_matrix
 from tidemark.functions.columns import dot, sigmoid
 
 # Width of the user and item vectors and of the hidden layers.
@@ -77,13 +78,11 @@ def ncf_score(pairs: DataFrame, users: DataFrame, items: DataFrame, weights: Ncf
     i = items.select("movie_id", F.col("gmf").alias("gmf_i"), F.col("mlp").alias("mlp_i"))
     shared = pairs.sparkSession.sparkContext.broadcast(weights)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if len(b):
-                vectors = [np.stack(b[c].to_numpy()).astype("float64") for c in ("gmf_u", "gmf_i", "mlp_u", "mlp_i")]
-                yield pd.DataFrame(
-                    {"user_id": b["user_id"], "movie_id": b["movie_id"], "score": ncf_forward(shared.value, *vectors)}
-                )
+            vectors = [as_matrix(b.column(c)) for c in ("gmf_u", "gmf_i", "mlp_u", "mlp_i")]
+            scores = pa.array(ncf_forward(shared.value, *vectors)) if b.num_rows else pa.array([], pa.float64())
+            yield pa.RecordBatch.from_arrays([b.column("user_id"), b.column("movie_id"), scores], ["user_id", "movie_id", "score"])
 
     joined = pairs.select("user_id", "movie_id").join(u, "user_id").join(i, "movie_id")
-    return joined.mapInPandas(score, "user_id bigint, movie_id bigint, score double")
+    return joined.mapInArrow(score, "user_id bigint, movie_id bigint, score double")

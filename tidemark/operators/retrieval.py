@@ -9,15 +9,15 @@ equal tasks, and no more than k rows per user leave any of them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+from tidemark.functions.arrow import as_lists, as_matrix
 from tidemark.session import stage
 
 # Most cells, items per cell aimed at, cells searched per user.
@@ -51,10 +51,6 @@ def fit_cells(items: DataFrame, seed: int = 42) -> np.ndarray:
     return np.array(model.clusterCenters())
 
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.stack(vectors.to_numpy()).astype("float64")
-
-
 def _distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Exact differences, in slices that keep the working set small."""
     step = max(1, 2_000_000 // centres.size)
@@ -66,30 +62,29 @@ def assign_cells(items: DataFrame, centres: np.ndarray) -> DataFrame:
     """Add each item's nearest ``cell`` and its distance to that cell's centre."""
     shared = items.sparkSession.sparkContext.broadcast(centres)  # MAX_CELLS rows at most
 
-    def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for vectors in batches:
-            d = _distances(_matrix(vectors), shared.value)
-            cell = d.argmin(axis=1)
-            yield pd.DataFrame({"cell": cell.astype("int32"), "radius": d[np.arange(len(d)), cell]})
+    def nearest_cell(vectors: pa.Array) -> pa.Array:
+        d = _distances(as_matrix(vectors), shared.value)
+        cell = d.argmin(axis=1)
+        radius = d[np.arange(len(d)), cell]
+        return pa.StructArray.from_arrays([pa.array(cell.astype("int32")), pa.array(radius)], ["cell", "radius"])
 
-    udf = F.pandas_udf(nearest, "cell int, radius double")
+    udf = F.arrow_udf(nearest_cell, "cell int, radius double")
     return items.withColumn("_c", udf("vector")).select(*items.columns, "_c.cell", "_c.radius")
 
 
-def _cells_to_search(users: DataFrame, centres: np.ndarray, first: int, last: int | None) -> DataFrame:
-    """Users exploded to (cell, to_centre) for their ``first``..``last`` nearest cells."""
+def _with_cell_order(users: DataFrame, centres: np.ndarray) -> DataFrame:
+    """Add ``_order``: all cells (cell, to_centre) of a user, nearest first."""
     shared = users.sparkSession.sparkContext.broadcast(centres)
 
-    def order(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for vectors in batches:
-            d = _distances(_matrix(vectors), shared.value)
-            ranks = np.argsort(d, axis=1, kind="stable")[:, first:last].astype("int32")
-            yield pd.DataFrame({"cell": list(ranks), "to_centre": list(np.take_along_axis(d, ranks, axis=1))})
+    def order(vectors: pa.Array) -> pa.Array:
+        d = _distances(as_matrix(vectors), shared.value)
+        ranks = np.argsort(d, axis=1, kind="stable").astype("int32")
+        lists = [as_lists(ranks), as_lists(np.take_along_axis(d, ranks, axis=1))]
+        return pa.StructArray.from_arrays(lists, ["cell", "to_centre"])
 
-    udf = F.pandas_udf(order, "cell array<int>, to_centre array<double>")
-    pairs = F.explode(F.arrays_zip("_o.cell", "_o.to_centre"))
-    ordered = users.withColumn("_o", udf("vector")).withColumn("_p", pairs)
-    return ordered.select(*users.columns, "_p.cell", "_p.to_centre")
+    udf = F.arrow_udf(order, "cell array<int>, to_centre array<double>")
+    ordered = users.withColumn("_o", udf("vector"))
+    return ordered.select(*users.columns, F.arrays_zip("_o.cell", "_o.to_centre").alias("_order"))
 
 
 def _nearest_in_block(k: int):
@@ -99,30 +94,31 @@ def _nearest_in_block(k: int):
     k-th estimate (plus slack) are measured exactly and ranked by (distance, id).
     """
 
-    def kernel(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-        if users.empty or items.empty:
-            return pd.DataFrame({"user_id": [], "movie_id": [], "distance": []})
-        x, ids = _matrix(items["vector"]), items["movie_id"].to_numpy()
-        u, user_ids = _matrix(users["vector"]), users["user_id"].to_numpy()
-        x_sq, u_sq = (x**2).sum(axis=1), (u**2).sum(axis=1)
-        slack = _SLACK * (1.0 + x_sq.max() + u_sq.max())
+    def kernel(users: pa.Table, items: pa.Table) -> pa.Table:
         out_users, out_items, out_d = [], [], []
-        for start in range(0, len(u), 128):
-            part = slice(start, start + 128)
-            estimate = u_sq[part, None] + x_sq - 2.0 * (u[part] @ x.T)
-            if k < len(x):
-                limit = np.partition(estimate, k - 1, axis=1)[:, k - 1] + slack
-            else:
-                limit = np.full(len(estimate), np.inf)
-            for row, (user, vector) in enumerate(zip(user_ids[part], u[part])):
-                near = np.flatnonzero(estimate[row] <= limit[row])
-                d = np.sqrt(((x[near] - vector) ** 2).sum(axis=1))
-                best = np.lexsort((ids[near], d))[:k]
-                out_users.append(np.full(len(best), user))
-                out_items.append(ids[near][best])
-                out_d.append(d[best])
-        return pd.DataFrame({"user_id": np.concatenate(out_users), "movie_id": np.concatenate(out_items),
-                             "distance": np.concatenate(out_d)})
+        user_column, item_column = users.column("user_id"), items.column("movie_id")
+        if users.num_rows and items.num_rows:
+            x, u = as_matrix(items.column("vector")), as_matrix(users.column("vector"))
+            ids = item_column.to_numpy()
+            x_sq, u_sq = (x**2).sum(axis=1), (u**2).sum(axis=1)
+            slack = _SLACK * (1.0 + x_sq.max() + u_sq.max())
+            for start in range(0, len(u), 128):
+                part = slice(start, start + 128)
+                estimate = u_sq[part, None] + x_sq - 2.0 * (u[part] @ x.T)
+                if k < len(x):
+                    limit = np.partition(estimate, k - 1, axis=1)[:, k - 1] + slack
+                else:
+                    limit = np.full(len(estimate), np.inf)
+                for row in range(len(estimate)):
+                    near = np.flatnonzero(estimate[row] <= limit[row])
+                    d = np.sqrt(((x[near] - u[start + row]) ** 2).sum(axis=1))
+                    best = np.lexsort((ids[near], d))[:k]
+                    out_users.append(np.full(len(best), start + row))
+                    out_items.append(near[best])
+                    out_d.append(d[best])
+        at = lambda parts: pa.array(np.concatenate(parts) if parts else np.array([], dtype="int64"))
+        distances = pa.array(np.concatenate(out_d) if out_d else np.array([]))
+        return pa.table({"user_id": user_column.take(at(out_users)), "movie_id": item_column.take(at(out_items)), "distance": distances})
 
     return kernel
 
@@ -149,7 +145,7 @@ def search_cells(probes: DataFrame, items: DataFrame, k: int) -> DataFrame:
     right = items.join(layout, "cell").select("cell", block.alias("block"), _each("_chunks").alias("chunk"), "movie_id", "vector")
     key = ["cell", "block", "chunk"]
     schema = f"user_id {_type(probes, 'user_id')}, movie_id {_type(items, 'movie_id')}, distance double"
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(_nearest_in_block(k), schema)
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_nearest_in_block(k), schema)
 
 
 def _type(df: DataFrame, column: str) -> str:
@@ -172,29 +168,64 @@ def top_k_by_cells(users: DataFrame, items: DataFrame, k: int, probes: int = PRO
     _check_k(k)
     centres = fit_cells(items) if centres is None else centres
     celled = assign_cells(items.select("movie_id", "vector"), centres)
-    wanted = _cells_to_search(users.select("user_id", "vector"), centres, 0, probes)
+    ordered = _with_cell_order(users.select("user_id", "vector"), centres)
+    wanted = ordered.select("user_id", "vector", F.explode(F.slice("_order", 1, probes)["cell"]).alias("cell"))
     return nearest(search_cells(wanted, celled, k), k)
 
 
+def _packs(sizes: dict[int, int], cells: int) -> list[int]:
+    """Cells put together until they fill a block: pack number per cell, -1 for an empty cell."""
+    packs, pack, filled = [-1] * cells, 0, 0
+    for cell in sorted(sizes):
+        if filled and filled + sizes[cell] > BLOCK_ITEMS:
+            pack, filled = pack + 1, 0
+        packs[cell] = pack
+        filled += sizes[cell]
+    return packs
+
+
 def top_k_exact(users: DataFrame, items: DataFrame, k: int, probes: int = PROBES, centres: np.ndarray | None = None) -> DataFrame:
-    """Exact top k. The nearest cells are searched first; their k-th distance then
-    rules out every other cell that the triangle inequality puts farther away.
+    """Exact top k.
+
+    The packs holding a user's nearest cells are searched first; the k-th distance
+    found then rules out every other cell that the triangle inequality puts farther
+    away. A catalogue that fits in one block needs no cells and is searched whole.
     """
     _check_k(k)
     users, items = users.select("user_id", "vector"), items.select("movie_id", "vector")
+    if centres is None and items.count() <= BLOCK_ITEMS:
+        one = F.lit(0).alias("cell")
+        return nearest(search_cells(users.select("*", one), items.select("*", one), k), k)
     centres = fit_cells(items) if centres is None else centres
     celled = stage(assign_cells(items, centres), "celled-items")
-    found = stage(nearest(search_cells(_cells_to_search(users, centres, 0, probes), celled, k), k).drop("rank"), "near")
-    if probes >= len(centres):
+    stats = celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("radius").alias("far"), F.min("radius").alias("near")).collect()
+    packs = _packs({r["cell"]: r["n"] for r in stats}, len(centres))  # one row per cell, MAX_CELLS at most
+    far, near = [float("-inf")] * len(centres), [float("inf")] * len(centres)
+    for r in stats:
+        far[r["cell"]], near[r["cell"]] = r["far"], r["near"]
+
+    def lookup(values: list, cell: Column) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), cell)
+
+    def packs_of(cells: Column) -> Column:
+        return F.array_distinct(F.transform(cells, lambda c: lookup(packs, c["cell"])))
+
+    packed = celled.select("movie_id", "vector", lookup(packs, F.col("cell")).alias("cell"))
+    ordered = _with_cell_order(users, centres)
+    first = packs_of(F.slice("_order", 1, probes))
+    found = nearest(search_cells(ordered.select("user_id", "vector", F.explode(first).alias("cell")), packed, k), k).drop("rank")
+    if max(packs) == 0:
         return nearest(found, k)
-    bound = found.groupBy("user_id").agg(
-        F.when(F.count("*") >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("_bound"))
-    cells = celled.groupBy("cell").agg(F.max("radius").alias("_far"), F.min("radius").alias("_near"))
-    rest = _cells_to_search(users, centres, probes, None).join(cells, "cell").join(bound, "user_id", "left")
-    least = F.greatest(F.col("to_centre") - F.col("_far"), F.col("_near") - F.col("to_centre"))
-    open_cells = rest.filter(least <= F.coalesce("_bound", F.lit(float("inf"))) + _SLACK)
-    more = search_cells(open_cells.select("user_id", "vector", "cell"), celled, k)
-    return nearest(found.unionByName(more), k)
+    found = stage(found, "nearest-so-far")
+    bound = found.groupBy("user_id").agg(F.when(F.count("*") >= k, F.max("distance")).alias("_bound"))
+    limit = F.coalesce("_bound", F.lit(float("inf"))) + _SLACK
+
+    def may_hold(c: Column) -> Column:
+        return F.greatest(c["to_centre"] - lookup(far, c["cell"]), lookup(near, c["cell"]) - c["to_centre"]) <= limit
+
+    rest = F.array_except(packs_of(F.filter("_order", may_hold)), first)
+    more = ordered.join(bound, "user_id", "left").select("user_id", "vector", F.explode(rest).alias("cell"))
+    return nearest(found.unionByName(search_cells(more, packed, k)), k)
 
 
 def top_k_by_hash(
@@ -238,9 +269,12 @@ def mmr_rerank(candidates: DataFrame, users: DataFrame, items: DataFrame, k: int
     )
     schema = f"user_id {_type(candidates, 'user_id')}, movie_id {_type(candidates, 'movie_id')}, position int, mmr double"
 
+    def stacked(vectors: pd.Series) -> np.ndarray:
+        return np.stack(vectors.to_numpy()).astype("float64")
+
     def rerank(pool: pd.DataFrame) -> pd.DataFrame:
         pool = pool.sort_values("rank").reset_index(drop=True)
-        chosen, scores = mmr_order(_matrix(pool["user_vector"])[0], _matrix(pool["item_vector"]), k, weight)
+        chosen, scores = mmr_order(stacked(pool["user_vector"])[0], stacked(pool["item_vector"]), k, weight)
         return pd.DataFrame({"user_id": pool["user_id"].iloc[chosen].to_numpy(), "movie_id": pool["movie_id"].iloc[chosen].to_numpy(),
                              "position": np.arange(1, len(chosen) + 1, dtype="int32"), "mmr": scores})
 

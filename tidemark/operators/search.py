@@ -23,23 +23,27 @@ def occurrences(text: Column, term: str) -> Column:
 
 
 def keyword_scores(documents: DataFrame, query: str) -> DataFrame:
-    """Documents with any term, scored by how often the terms occur, ignoring case."""
-    terms = terms_of(query)
-    if not terms:
-        return documents.limit(0).withColumn("score", F.lit(0).cast("bigint"))
+    """Documents with how often the query's terms occur in them, ignoring case."""
     lowered = F.lower("text")
-    score = reduce(Column.__add__, [occurrences(lowered, term) for term in terms])
-    return documents.withColumn("score", score).filter(F.col("score") > 0)
+    score = reduce(Column.__add__, [occurrences(lowered, term) for term in terms_of(query)], F.lit(0).cast("bigint"))
+    return documents.withColumn("score", F.coalesce(score, F.lit(0)))
 
 
 def keyword_search(documents: DataFrame, query: str, n: int = TOP_DOCUMENTS) -> DataFrame:
-    """The n best documents as (doc_id, score); texts do not pass through the sort."""
-    return keyword_scores(documents.select("doc_id", "text"), query).select("doc_id", "score").orderBy(F.desc("score"), "doc_id").limit(n)
+    """The n best documents as (doc_id, score), without those no term occurs in.
+
+    Scores are cut to the best n before zeros are dropped: the outcome is the same
+    and each text is scored once, not once more to filter it.
+    """
+    scores = keyword_scores(documents.select("doc_id", "text"), query).select("doc_id", "score")
+    return scores.orderBy(F.desc("score"), "doc_id").limit(n).filter(F.col("score") > 0)
 
 
 def search_snippets(documents: DataFrame, query: str, n: int = TOP_DOCUMENTS, snippets: int = TOP_SNIPPETS) -> DataFrame:
     """For the n best documents, the first lines holding a term, each with its context."""
     terms = terms_of(query)
+    if not terms:
+        raise ValueError("the query has no terms")
     best = keyword_search(documents, query, n)
     rows = documents.select("doc_id", "text").join(F.broadcast(best), "doc_id")  # n rows
     lines = rows.withColumn("_lines", F.split("text", "\n")).drop("text")
@@ -47,7 +51,8 @@ def search_snippets(documents: DataFrame, query: str, n: int = TOP_DOCUMENTS, sn
     def holds(line: Column) -> Column:
         return reduce(Column.__or__, [F.lower(line).contains(t) for t in terms])
 
-    at = F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: holds(F.get("_lines", i)))
+    marked = F.transform("_lines", lambda line, i: F.when(holds(line), i))
+    at = F.filter(marked, lambda i: i.isNotNull())
 
     def snippet(i: Column) -> Column:
         first = F.greatest(i - CONTEXT_LINES, F.lit(0))

@@ -16,6 +16,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call-site look-up per expression
     )
     if master:
         builder = builder.master(master)
