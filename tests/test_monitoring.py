@@ -104,7 +104,7 @@ def test_routing(spark):
 
 def test_silence_is_low_traffic(spark):
     df = log(spark, [(0, "/a", 200, 0.1, None), (3600, "/a", 200, 0.1, None)])
-    rates = {r["eval_at"]: r["rate"] for r in alerts.low_request_rate(df).collect()}
+    rates = {r["eval_at"]: r["rate"] for r in alerts.low_request_rate(alerts.step_totals(df)).collect()}
     assert len(rates) == 121 and list(sorted(rates.values()))[0] == 0.0
 
 

@@ -5,20 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from tidemark.functions.columns import micros, ratio
 from tidemark.functions.timegrid import STEP_SECONDS, bucket_counts, bucket_quantile, running_by_time, sliding, step_of
-from tidemark.operators.monitor import (
-    MINUTE,
-    REQUEST_BOUNDS,
-    STAGE_BOUNDS,
-    cache_lost,
-    error_rate,
-    fallback_usage,
-    gauge_windows,
-    request_steps,
-)
+from tidemark.operators.monitor import MINUTE, REQUEST_BOUNDS, STAGE_BOUNDS, gauge_steps, is_server_error, slide_gauges
+from tidemark.session import stage
 
 # Name, test, threshold(s), seconds it must hold, severity, component.
 # ``outside`` means below the first threshold or above the second.
@@ -51,11 +43,29 @@ def _series(df: DataFrame, alertname: str, value: str, *labels: str) -> DataFram
     return df.select(F.lit(alertname).alias("alertname"), series.alias("series"), "eval_at", F.col(value).cast("double").alias("value"))
 
 
-def low_request_rate(log: DataFrame, window: int = 10 * MINUTE) -> DataFrame:
+def step_totals(log: DataFrame) -> DataFrame:
+    """Everything the request rules need, in one pass over the log.
+
+    One row per (step, endpoint, fallback type): the raw log may be huge, this table
+    only grows with the time covered and the number of endpoints.
+    """
+    made = F.when(F.col("stage") == "recommendation", F.col("duration_s"))
+    return log.groupBy(step_of(F.col("ts")).alias("step"), "endpoint", "fallback_type").agg(
+        F.count("*").alias("requests"),
+        F.count_if(is_server_error(F.col("status"))).alias("errors"),
+        F.count_if("cached").alias("hits"),
+        F.count("cached").alias("operations"),
+        F.sum("score").alias("score_sum"),
+        F.count("score").alias("scores"),
+        bucket_counts(F.col("duration_s"), REQUEST_BOUNDS).alias("latency"),
+        bucket_counts(made, STAGE_BOUNDS["recommendation"]).alias("made"),
+    )
+
+
+def low_request_rate(totals: DataFrame, window: int = 10 * MINUTE) -> DataFrame:
     """Requests per second at every grid step from the first to the last; silence counts as 0."""
-    steps = request_steps(log, [])
-    counts = sliding(steps, [], {"requests": F.sum("requests")}, window)
-    span = steps.agg(F.min("step").alias("first"), F.max("step").alias("last"))
+    counts = sliding(totals, [], {"requests": F.sum("requests")}, window)
+    span = totals.agg(F.min("step").alias("first"), F.max("step").alias("last"))
     grid = span.select(F.explode(F.sequence("first", "last", F.lit(STEP_SECONDS).cast("bigint"))).alias("eval_at"))
     return grid.join(counts, "eval_at", "left").select("eval_at", (F.coalesce("requests", F.lit(0)) / window).alias("rate"))
 
@@ -72,50 +82,62 @@ def active_at_steps(log: DataFrame) -> DataFrame:
     return running_by_time(steps, [], "eval_at", day, "move", "active").select("eval_at", "active")
 
 
-def alert_metrics(log: DataFrame, gauges: DataFrame) -> DataFrame:
-    """The figure each rule tests: (alertname, series, eval_at, value), long form."""
-    latency = log.groupBy(step_of(F.col("ts")).alias("step"), "endpoint").agg(
-        *[F.count_if(F.col("duration_s") <= b).alias(f"b{i}") for i, b in enumerate(REQUEST_BOUNDS)], F.count("duration_s").alias("all"))
-    summed = F.array(*[F.sum(f"b{i}") for i in range(len(REQUEST_BOUNDS))], F.sum("all"))
-    p95 = sliding(latency, ["endpoint"], {"counts": summed}, 5 * MINUTE).withColumn(
-        "p95", bucket_quantile(F.col("counts"), 0.95, REQUEST_BOUNDS))
-
-    bounds = STAGE_BOUNDS["recommendation"]
-    made = log.filter(F.col("stage") == "recommendation").groupBy(step_of(F.col("ts")).alias("step")).agg(
-        bucket_counts(F.col("duration_s"), bounds).alias("c"))
-    made_sum = F.array(*[F.sum(F.get("c", F.lit(i))) for i in range(len(bounds) + 1)])
-    made_p95 = sliding(made, [], {"counts": made_sum}, 5 * MINUTE).withColumn("p95", bucket_quantile(F.col("counts"), 0.95, bounds))
-
-    others = log.groupBy(step_of(F.col("ts")).alias("step")).agg(
-        F.count_if("cached").alias("hits"), F.count("cached").alias("operations"),
-        F.sum("score").alias("score_sum"), F.count("score").alias("scores"))
-    hit_rate = sliding(others.filter("operations > 0"), [], {"rate": ratio(F.sum("hits"), F.sum("operations"))}, 10 * MINUTE)
-    score = sliding(others.filter("scores > 0"), [], {"mean": ratio(F.sum("score_sum"), F.sum("scores"))}, 30 * MINUTE)
-
-    short = gauge_windows(gauges.filter(F.col("metric").isin("up", "memory_percent", "cpu_percent")), 5 * MINUTE)
-    long = gauge_windows(gauges.filter(F.col("metric") == "restarts"), 15 * MINUTE)
+def _summed(counts: str, bounds: Sequence[float]) -> Column:
+    return F.array(*[F.sum(F.get(counts, F.lit(i))) for i in range(len(bounds) + 1)])
+
+
+def _p95(totals: DataFrame, keys: Sequence[str], counts: str, bounds: Sequence[float]) -> DataFrame:
+    summed = sliding(totals, keys, {"counts": _summed(counts, bounds)}, 5 * MINUTE)
+    return summed.withColumn("p95", bucket_quantile(F.col("counts"), 0.95, bounds)).filter(F.col("p95").isNotNull())
+
+
+def request_metrics(totals: DataFrame) -> list[DataFrame]:
+    """The figures of the request rules, all from the step totals."""
+    short, middle, long = 5 * MINUTE, 10 * MINUTE, 30 * MINUTE
+    errors = sliding(totals, [], {"percent": ratio(F.sum("errors") * 100, F.sum("requests"))}, short)
+    health = F.sum(F.when(F.col("endpoint") == "/health", F.col("requests")))
+    lost = sliding(totals, [], {"health": health, "operations": F.sum("operations")}, short).filter("health > 0")
+    hits = sliding(totals.filter("operations > 0"), [], {"rate": ratio(F.sum("hits"), F.sum("operations"))}, middle)
+    scores = sliding(totals.filter("scores > 0"), [], {"mean": ratio(F.sum("score_sum"), F.sum("scores"))}, long)
+    used = sliding(totals.filter("fallback_type IS NOT NULL"), ["fallback_type", "endpoint"], {"rate": F.sum("requests") / middle}, middle)
+    return [
+        _series(errors, "HighErrorRate", "percent"),
+        _series(lost.withColumn("lost", (F.col("operations") == 0).cast("int")), "RedisConnectionFailure", "lost"),
+        _series(_p95(totals, ["endpoint"], "latency", REQUEST_BOUNDS), "HighLatency", "p95", "endpoint"),
+        _series(hits, "LowCacheHitRate", "rate"),
+        _series(scores, "ModelScoreAnomaly", "mean"),
+        _series(_p95(totals, [], "made", STAGE_BOUNDS["recommendation"]), "SlowRecommendationGeneration", "p95"),
+        _series(used, "FrequentFallbackUsage", "rate", "fallback_type", "endpoint"),
+        _series(low_request_rate(totals), "LowRequestRate", "rate"),
+    ]
+
+
+def gauge_metrics(steps: DataFrame) -> list[DataFrame]:
+    """The figures of the host rules, from the gauge steps."""
+    short = slide_gauges(steps.filter(F.col("metric").isin("up", "memory_percent", "cpu_percent")), 5 * MINUTE)
+    restarts = slide_gauges(steps.filter(F.col("metric") == "restarts"), 15 * MINUTE)
 
     def of(metric: str) -> DataFrame:
         return short.filter(F.col("metric") == metric)
 
     cpu = of("cpu_percent").groupBy("eval_at").agg(F.avg("mean_value").alias("mean_value"))
-
-    parts = [
-        _series(error_rate(log), "HighErrorRate", "error_percent"),
+    return [
         _series(of("up"), "ServiceDown", "last_value", "instance"),
-        _series(cache_lost(log).withColumn("lost", F.col("lost").cast("int")), "RedisConnectionFailure", "lost"),
-        _series(p95, "HighLatency", "p95", "endpoint"),
-        _series(hit_rate, "LowCacheHitRate", "rate"),
-        _series(score, "ModelScoreAnomaly", "mean"),
-        _series(active_at_steps(log), "HighActiveConnections", "active"),
-        _series(made_p95, "SlowRecommendationGeneration", "p95"),
-        _series(fallback_usage(log), "FrequentFallbackUsage", "rate", "fallback_type", "endpoint"),
         _series(of("memory_percent"), "HighMemoryUsage", "last_value", "instance"),
         _series(cpu, "HighCPUUsage", "mean_value"),
-        _series(long.withColumn("grown", F.col("high") - F.col("low")), "ContainerRestartLoop", "grown", "instance"),
-        _series(low_request_rate(log), "LowRequestRate", "rate"),
+        _series(restarts.withColumn("grown", F.col("high") - F.col("low")), "ContainerRestartLoop", "grown", "instance"),
     ]
-    return reduce(DataFrame.unionByName, parts)
+
+
+def alert_metrics(log: DataFrame, gauges: DataFrame) -> DataFrame:
+    """The figure each rule tests: (alertname, series, eval_at, value), long form.
+
+    The step tables are staged, so thirteen rules read the raw log twice (once for
+    its totals, once for requests in flight) and the samples once.
+    """
+    totals, samples = stage(step_totals(log), "request-steps"), stage(gauge_steps(gauges), "gauge-steps")
+    active = _series(active_at_steps(log), "HighActiveConnections", "active")
+    return reduce(DataFrame.unionByName, [*request_metrics(totals), *gauge_metrics(samples), active])
 
 
 def breaches(metrics: DataFrame, rule_rows: DataFrame) -> DataFrame:

@@ -171,17 +171,24 @@ def score_distribution(log: DataFrame, width: str = "1 day") -> DataFrame:
 # ---------------------------------------------------------------- gauges, summaries, runs
 
 
-def gauge_windows(samples: DataFrame, window: int) -> DataFrame:
-    """Last, mean, lowest and highest sample of each (metric, instance) over a sliding window."""
-    latest = F.max(F.struct("ts", "value"))
-    steps = samples.groupBy(step_of(F.col("ts")).alias("step"), "metric", "instance").agg(
-        latest.alias("latest"), F.sum("value").alias("total"), F.count("value").alias("n"),
+def gauge_steps(samples: DataFrame) -> DataFrame:
+    """Samples of each (metric, instance) folded to grid steps."""
+    return samples.groupBy(step_of(F.col("ts")).alias("step"), "metric", "instance").agg(
+        F.max(F.struct("ts", "value")).alias("latest"), F.sum("value").alias("total"), F.count("value").alias("n"),
         F.min("value").alias("low"), F.max("value").alias("high"))
+
+
+def slide_gauges(steps: DataFrame, window: int) -> DataFrame:
     return sliding(steps, ["metric", "instance"], {
         "last_value": F.max("latest")["value"], "mean_value": ratio(F.sum("total"), F.sum("n")),
         "low": F.min("low"), "high": F.max("high")}, window)
 
 
+def gauge_windows(samples: DataFrame, window: int) -> DataFrame:
+    """Last, mean, lowest and highest sample of each (metric, instance) over a sliding window."""
+    return slide_gauges(gauge_steps(samples), window)
+
+
 def series_summary(series: DataFrame, keys: Sequence[str], value: str, at: str) -> DataFrame:
     """Mean, max, sum and last non-null value of each series."""
     last = F.max_by(value, F.when(F.col(value).isNotNull(), F.col(at)))
