@@ -73,6 +73,12 @@ def test_boundaries_one_type_and_mixed(spark):
             assert r["errors"] == CASES[i][2] == mixed[i], CASES[i]
 
 
+def test_future_is_after_the_run_when_no_time_is_given(spark):
+    rows = [{**BASE["view"], "event_id": "past"}, {**BASE["view"], "event_id": "future", "timestamp": datetime(2999, 1, 1)}]
+    got = {r["event_id"]: r["errors"] for r in validate.validate_events(frame(spark, rows), "view").collect()}
+    assert got == {"past": [], "future": ["timestamp.future"]}
+
+
 def test_unknown_type(spark):
     df = frame(spark, [{**BASE["view"], "event_type": "ping"}, {**BASE["view"], "event_type": None}])
     assert [r["errors"] for r in validate.validate_mixed(df, NOW).collect()] == [["event_type.unknown"]] * 2

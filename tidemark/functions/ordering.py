@@ -15,11 +15,11 @@ def _range_sorted(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Range-partitioned, sorted and staged, with a range number and a position.
 
     Range bounds come from a sample and may differ from run to run, so the
-    numbers are written down once before anything is derived from them.
+    numbers are written down once before anything is derived from them. Adaptive
+    execution may join neighbouring small ranges, which keeps their order.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     marked = (
-        df.repartitionByRange(n, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
     )

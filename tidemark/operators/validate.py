@@ -34,8 +34,12 @@ def _id(name: str) -> Rule:
     return f"{name}.length", ~F.length(name).between(1, MAX_ID_LENGTH)
 
 
-def _common(df: DataFrame, now: str | datetime) -> list[Rule]:
-    return [_id("user_id"), ("timestamp.future", F.col("timestamp") > instant(df, "timestamp", now))]
+def _common(df: DataFrame, now: str | datetime | None) -> list[Rule]:
+    if now is None:
+        latest = F.current_timestamp().cast(df.schema["timestamp"].dataType)
+    else:
+        latest = instant(df, "timestamp", now)
+    return [_id("user_id"), ("timestamp.future", F.col("timestamp") > latest)]
 
 
 def _optional(bad: Column, *columns: str) -> Column:
@@ -50,7 +54,8 @@ def trimmed(column: str) -> Column:
     return F.regexp_replace(column, r"^\s+|\s+$", "")
 
 
-def event_rules(df: DataFrame, kind: str, now: str | datetime) -> list[Rule]:
+def event_rules(df: DataFrame, kind: str, now: str | datetime | None = None) -> list[Rule]:
+    """Rules of one event type; without ``now`` the time of the run (or stream batch) is used."""
     rules = _common(df, now)
     if kind == "view":
         rules += [
@@ -81,12 +86,12 @@ def event_rules(df: DataFrame, kind: str, now: str | datetime) -> list[Rule]:
     return rules
 
 
-def validate_events(events: DataFrame, kind: str, now: str | datetime) -> DataFrame:
+def validate_events(events: DataFrame, kind: str, now: str | datetime | None = None) -> DataFrame:
     """Check rows of one event type."""
     return with_errors(events, event_rules(events, kind, now))
 
 
-def validate_mixed(events: DataFrame, now: str | datetime) -> DataFrame:
+def validate_mixed(events: DataFrame, now: str | datetime | None = None) -> DataFrame:
     """Check rows of all event types in one pass, each by the rules of its own type."""
     rules: list[Rule] = [("event_type.unknown", ~F.col("event_type").isin(*EVENT_TYPES))]
     for kind in EVENT_TYPES:

@@ -36,7 +36,7 @@ def into_batches(path: str, partition_by: Sequence[str] = ()) -> BatchWriter:
 # ---------------------------------------------------------------- ingest
 
 
-def ingest(records: DataFrame, path: str, checkpoint: str, now: str) -> DataStreamWriter:
+def ingest(records: DataFrame, path: str, checkpoint: str, now: str | None = None) -> DataStreamWriter:
     """Decode, check and stamp topic records; good and bad rows land in one table
     partitioned by ``outcome``, so each batch is computed once and written once.
     """
