@@ -127,8 +127,12 @@ def _parts(size: int) -> Column:
     return F.ceil(F.count("*") / F.lit(size)).cast("int")
 
 
-def _each(parts: str) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+def _each(parts: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), parts - 1))
+
+
+def _part_of(id_column: str, parts: Column) -> Column:
+    return F.pmod(F.xxhash64(id_column), parts.cast("bigint")).cast("int")
 
 
 def search_cells(probes: DataFrame, items: DataFrame, k: int) -> DataFrame:
@@ -139,12 +143,22 @@ def search_cells(probes: DataFrame, items: DataFrame, k: int) -> DataFrame:
     item_cells = items.groupBy("cell").agg(_parts(BLOCK_ITEMS).alias("_blocks"))
     user_cells = probes.groupBy("cell").agg(_parts(CHUNK_USERS).alias("_chunks"))
     layout = item_cells.join(user_cells, "cell")
-    chunk = F.pmod(F.xxhash64("user_id"), F.col("_chunks").cast("bigint")).cast("int")
-    block = F.pmod(F.xxhash64("movie_id"), F.col("_blocks").cast("bigint")).cast("int")
-    left = probes.join(layout, "cell").select("cell", _each("_blocks").alias("block"), chunk.alias("chunk"), "user_id", "vector")
-    right = items.join(layout, "cell").select("cell", block.alias("block"), _each("_chunks").alias("chunk"), "movie_id", "vector")
-    key = ["cell", "block", "chunk"]
-    schema = f"user_id {_type(probes, 'user_id')}, movie_id {_type(items, 'movie_id')}, distance double"
+    chunk, block = _part_of("user_id", F.col("_chunks")), _part_of("movie_id", F.col("_blocks"))
+    left = probes.join(layout, "cell").select("cell", _each(F.col("_blocks")).alias("block"), chunk.alias("chunk"), "user_id", "vector")
+    right = items.join(layout, "cell").select("cell", block.alias("block"), _each(F.col("_chunks")).alias("chunk"), "movie_id", "vector")
+    return _compare(left, right, ["cell", "block", "chunk"], k)
+
+
+def search_one_block(users: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    """The same for items that fit in one block: each chunk of users meets all items."""
+    chunks = users.agg(F.greatest(_parts(CHUNK_USERS), F.lit(1))).scalar()
+    left = users.select(_part_of("user_id", chunks).alias("chunk"), "user_id", "vector")
+    right = items.select(_each(chunks).alias("chunk"), "movie_id", "vector")
+    return _compare(left, right, ["chunk"], k)
+
+
+def _compare(left: DataFrame, right: DataFrame, key: list[str], k: int) -> DataFrame:
+    schema = f"user_id {_type(left, 'user_id')}, movie_id {_type(right, 'movie_id')}, distance double"
     return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_nearest_in_block(k), schema)
 
 
@@ -194,8 +208,7 @@ def top_k_exact(users: DataFrame, items: DataFrame, k: int, probes: int = PROBES
     _check_k(k)
     users, items = users.select("user_id", "vector"), items.select("movie_id", "vector")
     if centres is None and items.count() <= BLOCK_ITEMS:
-        one = F.lit(0).alias("cell")
-        return nearest(search_cells(users.select("*", one), items.select("*", one), k), k)
+        return nearest(search_one_block(users, items, k), k)
     centres = fit_cells(items) if centres is None else centres
     celled = stage(assign_cells(items, centres), "celled-items")
     stats = celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("radius").alias("far"), F.min("radius").alias("near")).collect()
