@@ -56,12 +56,42 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """Named staged tables of one job in the shared folder.
+
+    Staging cuts lineage: a later read after a lost executor starts from the written
+    table. Tables go when the job drops them, and what is left goes with the application.
+    """
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self.spark = spark
+        self.root = scratch_path(spark, label)
+        self._fs, self._root = _file_system(spark, self.root)
+        self._fs.deleteOnExit(self._root)
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` under ``name`` and read it back."""
+        df.write.mode("overwrite").parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            self._fs.delete(_file_system(self.spark, self.path(name))[1], True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system and path object of ``path``, whatever store it is in."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+    """Write ``df`` to the shared folder and read it back; it goes with the application.
 
     Used where a value must not change between two reads (range-partition
     numbers) or where a long plan would be recomputed after losing an executor.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession, label).put(df, "data")
