@@ -63,8 +63,8 @@ def source_targets(
     left = summed.crossJoin(F.broadcast(whole)).withColumn(  # one row
         "_level", (F.col("_budget") - (F.col("_caps") - F.col("_cap"))) / (F.col("_weight") - (F.col("_ws") - F.col("_w")))
     )
-    # the first source below its cap ends the prefix; its level holds for the rest
-    level = left.filter(F.col("_cap") > F.col("_level") * F.col("_w")).agg(F.min("_level").alias("_final"))
+    # levels rise until the first source below its cap, whose level holds for the rest, and fall after it
+    level = left.filter(F.col("_cap") > F.col("_level") * F.col("_w")).agg(F.max("_level").alias("_final"))
     return left.crossJoin(F.broadcast(level)).select(
         "source", "source_size",
         F.least(
