@@ -6,9 +6,9 @@ others by weight, until none is above. With sources in order of (cap / weight) t
 stopped ones are a prefix, so the fixed point needs one running sum and no loop.
 
 A document is then taken ``floor(target / size of source)`` times, and once more if its
-seeded draw lies below its source's threshold. The threshold is set where the extra
-words, in order of the draws, come nearest to what is still missing, so a source ends
-within half a document of its target. Draws are ordered in range partitions with
+seeded draw does not exceed its source's threshold: the last draw up to which the extra
+words still fit. One more document, the one whose size comes nearest to the gap then
+left, closes most of it. Draws are ordered in range partitions with
 carried sums: a source that holds most rows is spread over many tasks, and only thin
 rows (source, draw, size) are moved, never texts.
 
@@ -75,8 +75,9 @@ def source_targets(
 
 
 def repetitions(sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """Per source: ``whole`` copies of each document and ``last_draw``, up to which a
-    document is taken once more (null: none is). ``sizes`` has (source, size, draw)."""
+    """Per source: ``whole`` copies of each document, ``last_draw``, up to which a
+    document is taken once more, and ``fill_draw``, the one taken to close the gap
+    (null: none). ``sizes`` has (source, size, draw)."""
     plan = targets.withColumn("_epochs", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     plan = plan.withColumn("whole", F.floor("_epochs").cast("bigint"))
     plan = plan.withColumn("_missing", F.col("target") - F.col("whole") * F.col("source_size"))
@@ -86,12 +87,21 @@ def repetitions(sizes: DataFrame, targets: DataFrame) -> DataFrame:
         F.col("source").alias("_source"), (F.col("_end") - F.col("source_size")).alias("_start")
     )
     starts = plan.join(before, plan["source"].eqNullSafe(before["_source"])).drop("_source")
+    placed = thin.join(starts.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).filter("_missing > 0")
+    # rows that fit whole, in order of their draws; then the one row that best fills the gap left
+    fits = F.col("_upto") - F.col("_start") <= F.col("_missing")
+    last = placed.filter(fits).groupBy("source").agg(
+        F.max("draw").alias("last_draw"), F.max(F.col("_upto") - F.col("_start")).alias("_filled")
+    ).withColumnRenamed("source", "_source")
+    gap = F.col("_missing") - F.coalesce(F.col("_filled"), F.lit(0))
+    off = F.abs(F.col("size") - gap)
     found = (
-        thin.join(starts.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
-        .filter(F.col("_upto") - F.col("_start") - F.col("size") / 2 <= F.col("_missing"))
-        .filter("_missing > 0")
-        .groupBy("source").agg(F.max("draw").alias("last_draw"))
-        .withColumnRenamed("source", "_source")
+        placed.join(last, F.col("source").eqNullSafe(F.col("_source")), "left")
+        .groupBy("source").agg(
+            F.first("last_draw").alias("last_draw"),
+            F.min(F.when(~fits & (off < gap), F.struct(off.alias("off"), F.col("draw")))).alias("_filler"),
+        )
+        .select(F.col("source").alias("_source"), "last_draw", F.col("_filler.draw").alias("fill_draw"))
     )
     return plan.join(found, plan["source"].eqNullSafe(found["_source"]), "left").drop("_source", "_epochs", "_missing")
 
@@ -99,10 +109,12 @@ def repetitions(sizes: DataFrame, targets: DataFrame) -> DataFrame:
 def with_copies(docs: DataFrame, plan: DataFrame, draw: Column) -> DataFrame:
     """``docs`` with source_size, target and copies. ``plan`` has a row per source."""
     named = plan.select(
-        F.col("source").alias("_source"), F.struct("source_size", "target", "whole", "last_draw").alias("_plan")
+        F.col("source").alias("_source"), F.struct("source_size", "target", "whole", "last_draw", "fill_draw").alias("_plan")
     )
     found = docs.withColumn("_draw", draw).join(named, F.col("source").eqNullSafe(F.col("_source")), "left")
-    more = F.coalesce((F.col("_draw") <= F.col("_plan.last_draw")).cast("bigint"), F.lit(0))
+    drawn = F.coalesce(F.col("_draw") <= F.col("_plan.last_draw"), F.lit(False))
+    fills = F.coalesce(F.col("_draw") == F.col("_plan.fill_draw"), F.lit(False))
+    more = (drawn | fills).cast("bigint")
     return found.select(
         *[c for c in docs.columns if c not in ("source_size", "target", "copies")],
         F.col("_plan.source_size").alias("source_size"),
