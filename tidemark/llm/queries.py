@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import line_rules, mixing
+from tidemark.llm import line_rules, mixing, secret_scan, vp_search
 from tidemark.llm.text import read_table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,24 @@ def op5_water_filling_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mixed = mixing.mix(docs, word_count(F.col("text")))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+@query
+def op7_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of each document: base kinds counted and digested, all spans listed."""
+    scanned = secret_scan.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    span = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    joined = lambda spans: F.concat_ws(",", F.transform(spans, span))
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return scanned.select(
+        "doc_id", *[count(kind) for kind in secret_scan.KINDS],
+        F.sha2(joined(F.filter("secrets", lambda s: s["kind"] != "markov")), 256).alias("base_sha256"),
+        joined(F.col("secrets")).alias("spans"),
+    )
+
+
+@query
+def op8_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest by inner product of every vector whose id is divisible by 20."""
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vp_search.search(vectors, F.col("vec_id") % 20 == 0, 20)
