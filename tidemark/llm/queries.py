@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import line_rules, mixing, secret_scan, vp_search
+from tidemark.llm import line_rules, mixing, quality_gam, secret_scan, vp_search
 from tidemark.llm.text import read_table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,17 @@ def op5_water_filling_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+@query
+def op6_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, by a model that never saw the held-out fifth."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = quality_gam.train(docs, labels.filter(~held_out))
+    scored = quality_gam.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op7_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of each document: base kinds counted and digested, all spans listed."""
