@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import line_rules, mixing, quality_gam, secret_scan, vp_search
+from tidemark.llm import line_rules, mixing, packing, quality_gam, secret_scan, vp_search
 from tidemark.llm.text import read_table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +17,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op2_grouping_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of 1024 tokens."""
+    return packing.pack_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdicts of the line rules."""
