@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import line_rules, mixing, packing, quality_gam, secret_scan, vp_search
+from tidemark.llm import line_rules, mixing, near_dedup, packing, quality_gam, secret_scan, vp_search
 from tidemark.llm.text import read_table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,9 @@ def op8_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest by inner product of every vector whose id is divisible by 20."""
     vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return vp_search.search(vectors, F.col("vec_id") % 20 == 0, 20)
+
+
+@query
+def op10_coordinate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
