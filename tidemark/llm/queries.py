@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import line_rules, mixing, near_dedup, packing, quality_gam, secret_scan, vp_search
+from tidemark.llm import line_rules, mixing, near_dedup, packing, quality_gam, secret_scan, substring_dedup, vp_search
 from tidemark.llm.text import read_table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,13 @@ def op8_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vp_search.search(vectors, F.col("vec_id") % 20 == 0, 20)
 
 
+@query
+def op9_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words each document loses to repeats of 35 words and more."""
+    cut = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op10_coordinate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
