@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import line_rules, mixing, near_dedup, packing, quality_gam, secret_scan, substring_dedup, vp_search
+from tidemark.llm import line_rules, mixing, near_dedup, packing, quality_gam, secret_scan, substring_dedup, token_counts, vp_search
 from tidemark.llm.text import read_table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +17,13 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_offset_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document; section -1 has those of no line."""
+    counted = token_counts.attribute(read_table(spark, sf_dir, "documents").select("doc_id", "text"), rule="largest")
+    return counted.withColumn("tokens", F.col("tokens").cast("bigint"))
+
+
 @query
 def op2_grouping_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of 1024 tokens."""
