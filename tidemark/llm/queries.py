@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import line_rules, mixing, near_dedup, packing, quality_gam, secret_scan, substring_dedup, token_counts, vp_search
+from tidemark.llm import line_rules, mixing, near_dedup, packing, quality_gam, secret_scan, substring_dedup, surrogates, token_counts, vp_search
 from tidemark.llm.text import read_table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,13 @@ def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_surrogate_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with surrogates in place of personal data."""
+    replaced = surrogates.replace_entities(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return replaced.select("doc_id", "text", F.size("entities").cast("bigint").alias("n_entities"), "entities")
+
+
 @query
 def op5_water_filling_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes from each document."""
