@@ -34,6 +34,7 @@ from pyspark.sql.types import BinaryType, LongType, StructType
 
 from tidemark.llm.graph import components
 from tidemark.llm.hashing import mixed, signed, words_of
+from tidemark.llm.rows import row_key, small
 from tidemark.session import Scratch
 
 SHINGLE = 5
@@ -41,7 +42,6 @@ SIMILARITY = 75  # percent
 COORDS = 48
 MATCHES = 20
 PREFIX = COORDS - MATCHES + 1
-BROADCAST_ROWS = 1_000_000  # ids of 8 bytes; beyond it the join shuffles
 
 _RNG = np.random.default_rng(5150)
 _XOR = _RNG.integers(1, 2**64, COORDS, dtype="uint64")
@@ -86,7 +86,7 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, s1, s2, keys) per row of ``docs``; no keys for an empty set."""
+    """(doc_id, row, n_shingles, s1, s2, keys) per row of ``docs``; no keys for an empty set."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,13 +97,13 @@ def _fingerprints(docs: DataFrame) -> DataFrame:
                 keys = _signatures(full) if full else np.zeros((0, COORDS), "int64")
                 ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, COORDS, 0))]).astype("int32")
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")[rows], pa.array(sizes.astype("int64")), pa.array(s1), pa.array(s2),
+                    [batch.column("doc_id")[rows], batch.column("row")[rows], pa.array(sizes.astype("int64")), pa.array(s1), pa.array(s2),
                      pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))],
-                    names=["doc_id", "n_shingles", "s1", "s2", "keys"],
+                    names=["doc_id", "row", "n_shingles", "s1", "s2", "keys"],
                 )
 
-    schema = f"doc_id {kind}, n_shingles bigint, s1 bigint, s2 bigint, keys array<bigint>"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    schema = f"doc_id {kind}, row bigint, n_shingles bigint, s1 bigint, s2 bigint, keys array<bigint>"
+    return docs.select("doc_id", "text", row_key(docs).alias("row")).mapInArrow(run, schema)
 
 
 def _with_digests(docs: DataFrame, sets: bool = False) -> DataFrame:
@@ -125,11 +125,6 @@ def _with_digests(docs: DataFrame, sets: bool = False) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _small(ids: DataFrame) -> DataFrame:
-    """Sent to every task if it has at most ``BROADCAST_ROWS`` rows, else left to a shuffle."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-
-
 def _suspects(classes: DataFrame) -> DataFrame:
     """Ids of classes that share a key of the fixed prefix with another class."""
     posts = classes.select("cid", F.explode(F.slice("keys", 1, PREFIX)).alias("key"))
@@ -203,21 +198,22 @@ def link(docs: DataFrame) -> tuple[DataFrame, Scratch]:
     prints = scratch.put(_fingerprints(docs), "prints")
     classes = scratch.put(
         prints.filter("n_shingles > 0").groupBy("s1", "s2")
-        .agg(F.min("doc_id").alias("doc_id"), F.any_value("keys").alias("keys"))
+        .agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"), F.any_value("keys").alias("keys"))
         .withColumn("cid", F.monotonically_increasing_id()),  # fixed once written
         "classes",
     )
     chosen = scratch.put(_suspects(classes), "chosen")
-    suspects = scratch.put(classes.join(_small(chosen), "cid"), "suspects")
+    suspects = scratch.put(classes.join(small(chosen), "cid"), "suspects")
     posts = scratch.put(_postings(suspects), "posts")
     signatures = suspects.select("cid", "keys")
 
     star = scratch.put(_collisions(_star_pairs(posts), signatures), "star")
-    involved = posts.select("cid").distinct().join(suspects, "cid").select("cid", "doc_id", "s1", "s2")
-    ids = _small(scratch.put(involved.select(F.col("doc_id").alias("_id")).distinct(), "ids"))
-    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    involved = scratch.put(
+        posts.select("cid").distinct().join(suspects, "cid").select("cid", "row", F.col("s1").alias("_s1"), F.col("s2").alias("_s2")), "involved"
+    )
+    texts = docs.join(small(involved.select("row")), row_key(docs) == F.col("row"), "left_semi")
     sets = scratch.put(
-        _with_digests(texts, sets=True).join(involved.select("cid", F.col("s1").alias("_s1"), F.col("s2").alias("_s2")), ["_s1", "_s2"])
+        _with_digests(texts, sets=True).join(involved, ["_s1", "_s2"])
         .select("cid", "_set").dropDuplicates(["cid"]),
         "sets",
     )
@@ -233,7 +229,7 @@ def link(docs: DataFrame) -> tuple[DataFrame, Scratch]:
     )
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     out = scratch.put(out.withColumn("kept", kept), "out")
-    scratch.drop("prints", "classes", "chosen", "suspects", "posts", "star", "ids", "sets", "links1", "links2", "mixed", "named")
+    scratch.drop("prints", "classes", "chosen", "suspects", "posts", "star", "involved", "sets", "links1", "links2", "mixed", "named")
     return out, scratch
 
 
@@ -262,7 +258,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("_id"), F.col("s1").alias("_t1"), F.col("s2").alias("_t2"), "kept"
     )
     marked = _with_digests(docs).join(
-        _small(odd), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_s1") == F.col("_t1")) & (F.col("_s2") == F.col("_t2")), "left"
+        small(odd), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_s1") == F.col("_t1")) & (F.col("_s2") == F.col("_t2")), "left"
     )
     single = marked.filter("_t1 IS NULL")
     repeated = marked.filter("_t1 IS NOT NULL AND kept").dropDuplicates(["_s1", "_s2"])
