@@ -1,0 +1,302 @@
+"""Line rules, mixing, secrets, surrogates, quality scores and token counts."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SMALL
+from tests.llm.frames import LONG, empty_frame, odd_frame, odd_rows
+from tidemark.llm import line_rules, mixing, quality_gam, secret_scan, surrogates, token_counts
+from tidemark.llm.queries import QUERIES
+from tidemark.llm.text import read_table, word_count
+from tidemark.llm.tokens import default_path, encoder
+
+BLANK = re.compile(r"[\x20\x09-\x0D]+")
+
+
+def words_of(text):
+    return [w for w in BLANK.split(text or "") if w]
+
+
+# line rules -----------------------------------------------------------------------------
+
+def repeated(words):
+    seen = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    return len({i + k for i in range(len(words) - 2) if seen[tuple(words[i : i + 3])] > 1 for k in range(3)})
+
+
+def test_base_counts_of_odd_texts(spark):
+    got = line_rules.judge_lines(odd_frame(spark)).collect()
+    assert len(got) == len(odd_rows())
+    for r in got:
+        words = words_of(r.text)
+        assert (r.rules.n_words, r.rules.word_chars) == (len(words), sum(map(len, words)))
+        assert r.rules.n_repeat_words == repeated(words)
+        assert r.rules.base_failed == (len(words) < 50 or 100 * repeated(words) > 50 * len(words))
+        assert r.score == "own"
+
+
+def test_repeated_windows_by_list_and_by_sort(spark):
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice("abcdefgh"[:k]) for _ in range(n)) for k in (2, 4, 8) for n in (0, 1, 3, 4, 50, 400)]
+    got = line_rules.judge_lines(spark.createDataFrame(enumerate(texts), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.rules.n_repeat_words for r in got} == {i: repeated(t.split()) for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("line, fault", [
+    ("A plain sentence that ends as it should.", None), ("", None), ("Home | About | Contact | Login", "navigation"),
+    ("OFFER OF THE DAY", "punctuation"), ("wow!! great!! buy!!", "punctuation"), ("five words without an end", "punctuation"),
+    ("Copyright © 2024 by us. All rights reserved.", "boilerplate"), ("Called +1 (275) 555-5927 twice, he said.", None),
+])
+def test_rules_of_lines(spark, line, fault):
+    frame = spark.createDataFrame([(line,)], "line string")
+    assert frame.select(line_rules.line_fault(F.col("line"))).first()[0] == fault
+
+
+def test_cleaning_keeps_good_lines_and_rejects_heavy_loss(spark):
+    good = "\n".join(" ".join(f"w{i}x{k}" for k in range(12)) + "." for i in range(8))
+    bad = "\n".join("Home | About | Shop | Login | Help | Terms | Jobs" + f" | Item{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, good + "\nHome | About | Shop"), (2, bad + "\n" + good[:90])], "doc_id long, text string")
+    assert [(r.doc_id, r.text) for r in line_rules.clean_documents(docs).collect()] == [(1, good)]
+    assert line_rules.clean_documents(empty_frame(spark)).count() == 0
+    assert {r.doc_id for r in line_rules.clean_documents(odd_frame(spark)).collect()} <= {1, 5, None, 9, 10}
+
+
+# mixing -----------------------------------------------------------------------------------
+
+def filled(sizes, weights, budget, cap):
+    """Shares by rounds: clamp, give the excess to the others, again."""
+    target, open_, left = {}, dict(weights), budget
+    while True:
+        share = {s: left * w / sum(open_.values()) for s, w in open_.items()}
+        over = [s for s in open_ if share[s] > cap * sizes[s]]
+        if not over:
+            return target | share
+        for s in over:
+            target[s] = cap * sizes[s]
+            left -= target[s]
+            del open_[s]
+        if not open_:
+            return target
+
+
+def test_targets_equal_rounds_of_clamping(spark):
+    rng = random.Random(3)
+    for trial in range(3):
+        sizes = {f"s{i:02}": rng.choice([10, 100, 1000, 5000]) for i in range(9)}
+        frame = spark.createDataFrame(list(sizes.items()), "source string, size long")
+        got = {r.source: r.target for r in mixing.source_targets(frame).collect()}
+        weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(sizes))}
+        want = filled(sizes, weights, sum(sizes.values()) * 1.5, 2)
+        assert got == pytest.approx(want)
+
+
+def test_mix_meets_targets_and_repeats_itself(spark):
+    rows = [(i, "w " * (i % 40 + 1), f"s{i % 4}") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    first = mixing.mix(docs, word_count(F.col("text"))).collect()
+    again = mixing.mix(docs.repartition(7), word_count(F.col("text"))).collect()
+    assert sorted(map(tuple, first)) == sorted(map(tuple, again))
+    taken, target = Counter(), {}
+    for r in first:
+        assert r.copies <= 2
+        taken[r.source] += r.size * r.copies
+        target[r.source] = r.target
+    assert all(abs(taken[s] - t) <= 2 for s, t in target.items())
+
+
+def test_mixed_documents_of_odd_rows(spark):
+    docs = odd_frame(spark)
+    out = mixing.mixed_documents(docs, word_count(F.col("text")))
+    assert out.columns == docs.columns
+    counts = Counter(r.doc_id for r in out.collect())
+    plan = mixing.mix(docs, word_count(F.col("text"))).collect()
+    want = Counter()
+    for r in plan:
+        want[r.doc_id] += r.copies
+    assert counts == +want
+    assert mixing.mixed_documents(empty_frame(spark), word_count(F.col("text"))).count() == 0
+
+
+# secrets ----------------------------------------------------------------------------------
+
+def test_base_spans_by_hand():
+    model = secret_scan.train([])
+    text = "é token = 'abc' API_key:\"zz12345\" AKIA" + "A" * 16 + " then " + "0f" * 12 + " and " + "0f" * 11
+    kinds = [(secret_scan.KINDS[k], text[a:b]) for a, k, b in secret_scan.spans_of(text, model)]
+    assert kinds == [("assign", 'API_key:"zz12345'), ("access", "AKIA" + "A" * 16), ("hex", "0f" * 12)]
+    assert secret_scan.spans_of("ſecret=abcdefgh toKen=abcdefgh", model) == []  # case is of ASCII letters only
+
+
+def test_markov_pair_parts_random_from_ordinary():
+    model = secret_scan.train("read write index value customer number table request the and river".split())
+    rng = random.Random(99)
+    noise = ["".join(rng.choices(a, k=32)) for a in secret_scan.RANDOM_ALPHABETS.values() for _ in range(100)]
+    plain = secret_scan.identifiers("cloud server update handle message buffer window".split(), 500, random.Random(5))
+    assert np.mean([model.is_secret(x) for x in noise]) > 0.95
+    assert np.mean([model.is_secret(x) for x in plain]) < 0.02
+
+
+def test_scan_and_redact_odd_rows(spark):
+    docs = odd_frame(spark).unionByName(odd_frame(spark).limit(1).withColumn("text", F.lit("x token=abcdef123 y")))
+    model = secret_scan.train([])
+    scanned = secret_scan.scan(docs, model).collect()
+    assert len(scanned) == len(odd_rows()) + 1 and all(isinstance(r.secrets, list) for r in scanned)
+    out = secret_scan.redact(docs, model=model)
+    assert out.schema == docs.schema
+    texts = [r.text for r in out.collect()]
+    assert "x [SECRET] y" in texts and LONG in texts and None in texts
+    assert secret_scan.scan(empty_frame(spark)).count() == 0
+
+
+def test_secret_query_digest(spark):
+    docs = {r.doc_id: r.text for r in read_table(spark, SMALL, "documents").collect()}
+    got = QUERIES["op7_markov_secrets"](spark, SMALL).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        base = [s for s in r.spans.split(",") if s and not s.startswith("markov")]
+        assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert (r.n_assign, r.n_hex) == (sum(s.startswith("assign") for s in base), sum(s.startswith("hex") for s in base))
+        assert r.n_hex == sum(len(m) >= 24 for m in re.findall("[0-9a-f]+", docs[r.doc_id] or ""))
+
+
+# surrogates -------------------------------------------------------------------------------
+
+def test_surrogates_keep_type_format_and_coreference(spark):
+    rows = [
+        (1, "Mr. John Smith met Mrs. Ann Smith. Smith called +1 (275) 555-5927 or +1 275 555 5927. A.B@MAIL.COM a.b@mail.com"),
+        (2, "Frau Müller zahlte mit 4111 1111 1111 1111 von 10.0.0.1; Г-жа Анна Иванова, 123-45-6789."),
+        (3, "Version 2.0. Nothing here, 12345 of them."), (4, None), (None, ""), (1, "and +12755555927 again"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = [(r.doc_id, r.text) for r in surrogates.replace_entities(docs, "k").collect()]
+    texts = [t for _, t in out if t]
+    assert sorted(map(str, out)) == sorted(map(str, [(r.doc_id, r.text) for r in surrogates.replace_entities(docs, "k").collect()]))
+    assert rows[2] in out and rows[3] in out and rows[4] in out
+    one = next(t for t in texts if t.startswith("Mr."))
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) met Mrs\. (\w+) (\w+)\. (\w+) called \+1 \((\d{3})\) (\d{3})-(\d{4}) or \+1 (\d{3}) (\d{3}) (\d{4})\. (\S+) (\S+)", one)
+    assert m and m[2] == m[4] == m[5] != "Smith" and m.group(6, 7, 8) == m.group(9, 10, 11) != ("275", "555", "5927")
+    assert m[1] in surrogates.GIVEN["latin", "m"] and m[3] in surrogates.GIVEN["latin", "f"]
+    assert m[12].lower() == m[13] and m[12] == m[12].upper() and m[13].endswith(".example.net")
+    assert any(t == f"and +1{m[6]}{m[7]}{m[8]} again" for t in texts)
+    two = next(t for t in texts if t.startswith("Frau"))
+    card = re.search(r"(\d{4} ){3}\d{4}", two)[0]
+    digits = [int(c) for c in card.replace(" ", "")][::-1]
+    assert sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(digits)) % 10 == 0 and card != "4111 1111 1111 1111"
+    assert re.search(r"Г-жа [А-Я][а-я]+ [А-Я][а-я]+, \d{3}-\d{2}-\d{4}", two) and "Иванова" not in two
+
+
+def test_surrogates_stay_distinct(spark):
+    texts = [f"Mr. {a} {b}a called." for a in ("Al", "Bo", "Cy", "Di") for b in map("Xy{}".format, "abcdefghijklmnopqrstuvwxyz")]
+    docs = spark.createDataFrame([(i, t.replace("Xy", "Xy")) for i, t in enumerate(texts)], "doc_id long, text string")
+    out = {r.doc_id: r.text for r in surrogates.replace_entities(docs, "k").collect()}
+    assert len(set(out.values())) == len(set(texts))
+    other = {r.doc_id: r.text for r in surrogates.replace_entities(docs, "another").collect()}
+    assert out != other
+
+
+def test_surrogates_of_odd_rows(spark):
+    docs = odd_frame(spark).withColumn("text", F.concat("text", F.lit(" me@site.org")))
+    out = surrogates.replace_entities(docs)
+    assert out.count() == len(odd_rows())
+    assert out.filter(F.col("text").contains("me@site.org")).count() == 0
+    assert {r._s1 for r in out.collect()} == {"own"}
+    assert surrogates.replace_entities(empty_frame(spark)).count() == 0
+
+
+# quality ----------------------------------------------------------------------------------
+
+def test_lookup_tables_learn_a_step_and_an_interaction():
+    rng = np.random.default_rng(2)
+    x = rng.random((4000, 4))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.3)).astype(float)
+    model = quality_gam.fit(x, y)
+    test = rng.random((2000, 4))
+    assert (0, 1) in model.pairs
+    assert np.mean((model.score(test) > 0.5) == ((test[:, 0] > 0.5) ^ (test[:, 1] > 0.3))) > 0.93
+
+
+def test_quality_query_on_held_out_documents(spark):
+    got = QUERIES["op6_additive_quality"](spark, "/root/testdata/sf0.1").filter("held_out")
+    rows = got.join(read_table(spark, "/root/testdata/sf0.1", "labels"), "doc_id").collect()
+    good, bad = ([r.score for r in rows if r.quality == q] for q in (1, 0))
+    auc = np.mean([(a > b) + 0.5 * (a == b) for a in good for b in bad])
+    assert auc > 0.98 and np.mean([r.predicted == r.quality for r in rows]) > 0.97
+
+
+def test_scores_of_odd_rows(spark):
+    docs = odd_frame(spark)
+    labels = spark.createDataFrame([(1, 1), (1, 0), (5, 0), (None, 1), (99, 1), (9, None)], "doc_id long, label int")
+    out = quality_gam.score(docs, quality_gam.train(docs, labels)).collect()
+    assert len(out) == len(odd_rows()) and all(0 <= r.score <= 1 for r in out)
+    none = quality_gam.score(docs, quality_gam.train(docs, labels.limit(0)))
+    assert {r.score for r in none.collect()} == {0.5}
+    assert quality_gam.score(empty_frame(spark), None).count() == 0
+
+
+# token counts -------------------------------------------------------------------------------
+
+def brute_allocation(offsets, sections, rule):
+    out = [0.0] * (len(sections) + 1)
+    for a, b in offsets:
+        parts = [max(0, min(b, y) - max(a, x)) for x, y in sections]
+        if rule == "first":
+            out[next((i for i, (x, y) in enumerate(sections) if x <= a < y), -1)] += 1
+        elif rule == "share":
+            for i, p in enumerate(parts):
+                out[i] += p / (b - a)
+            out[-1] += 1 - sum(parts) / (b - a)
+        else:
+            best = max(range(len(parts)), key=lambda i: (parts[i], -i), default=-1)
+            out[best if parts and parts[best] and parts[best] >= (b - a) - sum(parts) else -1] += 1
+    return out
+
+
+def test_encoder_equals_tokenizers():
+    from tokenizers import Tokenizer
+
+    plain, tool = Tokenizer.from_file(default_path()), encoder(default_path())
+    rng = random.Random(4)
+    texts = ["", " ", "\n\n  x", "<|endoftext|> a", "a" * 3000, " " * 3000, "日本語 テスト　。", "naïve café ’s don't 123 ½"]
+    texts += ["".join(chr(rng.choice([*range(1, 0x250), 0x2019, 0x1F600, 0x4E00])) for _ in range(200)) for _ in range(50)]
+    for t in texts:
+        assert tool.ids(t).tolist() == plain.encode(t, add_special_tokens=False).ids
+        assert tool.lengths[tool.ids(t)].sum() == len(t.encode())
+
+
+@pytest.mark.parametrize("rule", token_counts.RULES)
+def test_allocation_equals_brute_force(rule):
+    from tokenizers import Tokenizer
+
+    plain, tool, rng = Tokenizer.from_file(default_path()), encoder(default_path()), random.Random(6)
+    for _ in range(60):
+        text = " ".join(rng.choice(["internationalisation", "été", "a", "foo.bar", "\n", "日本"]) for _ in range(rng.randint(0, 30)))
+        cuts = sorted(rng.sample(range(len(text) + 1), min(len(text) + 1, 2 * rng.randint(0, 5))))
+        sections = list(zip(cuts[::2], cuts[1::2]))
+        spans = token_counts.token_spans(text, tool.ids(text), tool.lengths)
+        offsets = list(zip(*spans.tolist()))
+        assert offsets == [tuple(o) for o in plain.encode(text, add_special_tokens=False).offsets]
+        assert token_counts.allocate(spans, sections, rule) == pytest.approx(brute_allocation(offsets, sections, rule))
+
+
+def test_attribution_of_odd_rows_and_fields(spark):
+    docs = odd_frame(spark)
+    tool = encoder(default_path())
+    for rule in token_counts.RULES:
+        total = Counter()
+        rows = token_counts.attribute(docs, rule=rule).collect()
+        for r in rows:
+            total[r.doc_id] += r.tokens
+            assert r.score == "own"
+        want = Counter()
+        for r in odd_rows():
+            want[r[0]] += len(tool.ids(r[1] or ""))
+        assert total == pytest.approx(want)
+    fields = token_counts.attribute_fields(docs.select("doc_id", "lang", "text"), ["lang", "text"]).filter("doc_id = 1")
+    assert [(r.section, r.tokens) for r in fields.orderBy("section").collect()][1] == (0, 1.0)
+    assert token_counts.attribute(empty_frame(spark)).count() == 0

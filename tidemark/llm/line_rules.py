@@ -121,8 +121,9 @@ def judge_lines(docs: DataFrame) -> DataFrame:
         word_list(text),
         lambda w: F.struct(F.size(w).cast("bigint").alias("n_words"), repeated_words(w).alias("n_repeat_words")),
     )
-    counted = docs.select(
-        "*", counts.alias("_counts"), cleaned_lines(text).alias("_clean"),
+    row = docs.select(F.struct("*").alias("_row"), "text")  # whatever other columns are called
+    counted = row.select(
+        "_row", "text", counts.alias("_counts"), cleaned_lines(text).alias("_clean"),
         F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("bigint").alias("_word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint").alias("_symbols"),
         repeated_lines(text).alias("_dup_lines"),
@@ -132,7 +133,7 @@ def judge_lines(docs: DataFrame) -> DataFrame:
     whole, left = F.length(stripped(text)), F.length(stripped(F.col("_clean.text")))
     lost = F.when(whole > 0, (whole - left) * 100 / whole).otherwise(0.0)
     return counted.select(
-        *[docs[c] for c in docs.columns if c != "rules"],
+        *[F.col("_row")[c].alias(c) for c in docs.columns if c != "rules"],
         F.struct(
             words.alias("n_words"), F.col("_word_chars").alias("word_chars"), F.col("_symbols").alias("n_symbols"),
             F.col("_dup_lines").alias("n_dup_lines"), again.alias("n_repeat_words"),
@@ -148,5 +149,6 @@ def judge_lines(docs: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame) -> DataFrame:
     """Rows that are kept, with their failing lines removed from ``text``."""
-    kept = judge_lines(docs).filter("rules.kept")
-    return kept.select(*[F.col("rules.text").alias("text") if c == "text" else kept[c] for c in docs.columns])
+    row = docs.select(F.struct("*").alias("_row"), "text")
+    kept = judge_lines(row).filter("rules.kept")
+    return kept.select(*[F.col("rules.text").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])

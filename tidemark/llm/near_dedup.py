@@ -30,11 +30,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
-from pyspark.sql.types import BinaryType, LongType, StructType
+from pyspark.sql.types import LongType, StructType
 
 from tidemark.llm.graph import components
 from tidemark.llm.hashing import mixed, signed, words_of
-from tidemark.llm.rows import row_key, small
+from tidemark.llm.rows import row_key, small, unused
 from tidemark.session import Scratch
 
 SHINGLE = 5
@@ -106,25 +106,33 @@ def _fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", row_key(docs).alias("row")).mapInArrow(run, schema)
 
 
-def _with_digests(docs: DataFrame, sets: bool = False) -> DataFrame:
-    """``docs`` with _s1 and _s2; with ``sets`` only these and the set itself as bytes."""
-    kept = [] if sets else docs.columns
-    names = [*kept, "_s1", "_s2", *(["_set"] if sets else [])]
+def _with_digests(docs: DataFrame, d1: str, d2: str) -> DataFrame:
+    """``docs`` with the digests of its rows' sets in columns ``d1`` and ``d2``."""
+    schema = StructType([*docs.schema.fields]).add(d1, LongType()).add(d2, LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, found in _shingle_sets(batch.column("text")):
-                _, s1, s2 = _digests(found)
-                own = [batch.column(c)[rows] for c in kept]
-                bytes_ = [pa.array([s.astype("<u8").tobytes() for s in found], pa.binary())] if sets else []
-                yield pa.RecordBatch.from_arrays([*own, pa.array(s1), pa.array(s2), *bytes_], names=names)
-
-    schema = StructType([docs.schema[c] for c in kept]).add("_s1", LongType()).add("_s2", LongType())
-    if sets:
-        return docs.select("text").mapInArrow(run, schema.add("_set", BinaryType()))
+            for rows, sets in _shingle_sets(batch.column("text")):
+                _, s1, s2 = _digests(sets)
+                own = [c[rows] for c in batch.columns]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(s1), pa.array(s2)], names=schema.names)
+
     return docs.mapInArrow(run, schema)
 
 
+def _sets(texts: DataFrame) -> DataFrame:
+    """(_s1, _s2, _set): digests and the set itself, as bytes, of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, sets in _shingle_sets(batch.column("text")):
+                _, s1, s2 = _digests(sets)
+                whole = pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(s1), pa.array(s2), whole], names=["_s1", "_s2", "_set"])
+
+    return texts.select("text").mapInArrow(run, "_s1 bigint, _s2 bigint, _set binary")
+
+
 def _suspects(classes: DataFrame) -> DataFrame:
     """Ids of classes that share a key of the fixed prefix with another class."""
     posts = classes.select("cid", F.explode(F.slice("keys", 1, PREFIX)).alias("key"))
@@ -213,7 +221,7 @@ def link(docs: DataFrame) -> tuple[DataFrame, Scratch]:
     )
     texts = docs.join(small(involved.select("row")), row_key(docs) == F.col("row"), "left_semi")
     sets = scratch.put(
-        _with_digests(texts, sets=True).join(involved, ["_s1", "_s2"])
+        _sets(texts).join(involved, ["_s1", "_s2"])
         .select("cid", "_set").dropDuplicates(["cid"]),
         "sets",
     )
@@ -255,11 +263,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.min("kept").alias("kept"), F.max("n_shingles").alias("size")
     )
     odd = rows.filter("NOT kept OR (n > 1 AND size > 0)").select(
-        F.col("doc_id").alias("_id"), F.col("s1").alias("_t1"), F.col("s2").alias("_t2"), "kept"
+        F.col("doc_id").alias("_id"), F.col("s1").alias("_t1"), F.col("s2").alias("_t2"), F.col("kept").alias("_stays")
     )
-    marked = _with_digests(docs).join(
+    d1, d2 = unused(docs, "_s1"), unused(docs, "_s2")
+    marked = _with_digests(docs, d1, d2).select(F.struct(*docs.columns).alias("_row"), "doc_id", F.col(d1).alias("_s1"), F.col(d2).alias("_s2"))
+    found = marked.join(
         small(odd), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_s1") == F.col("_t1")) & (F.col("_s2") == F.col("_t2")), "left"
     )
-    single = marked.filter("_t1 IS NULL")
-    repeated = marked.filter("_t1 IS NOT NULL AND kept").dropDuplicates(["_s1", "_s2"])
-    return single.select(*docs.columns).unionByName(repeated.select(*docs.columns))
+    single = found.filter("_t1 IS NULL")
+    repeated = found.filter("_t1 IS NOT NULL AND _stays").dropDuplicates(["_s1", "_s2"])
+    return single.select("_row.*").unionByName(repeated.select("_row.*"))

@@ -224,7 +224,7 @@ def pack(
 ) -> DataFrame:
     """``pieces`` (with ``length``) with sequence_id and offset."""
     scratch = Scratch(pieces.sparkSession, "pack")
-    columns = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    columns = [c for c in pieces.columns if c not in ("sequence_id", "offset", "_unit")]
     units = scratch.put(pieces.select(*columns, F.monotonically_increasing_id().alias("_unit")), "units")  # fixed once written
     open_units = units.filter(F.col("length") < capacity)
     shards = -(-open_units.count() // shard_pieces) or 1

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.llm.rows import unused
 from tidemark.llm.text import BLANKS, let, word_list
 
 SAMPLE_ROWS = 12_000
@@ -202,12 +203,12 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Additi
 def score(docs: DataFrame, model: AdditiveModel | None, name: str = "score") -> DataFrame:
     """``docs`` without its text, with the model's score in ``name``."""
     kept = [c for c in docs.columns if c not in ("text", name)]
-    ready = docs.select(*kept, features(F.col("text")).alias("_features"))
-    schema = ready.drop("_features").withColumn(name, F.lit(0.0)).schema
+    ready = docs.select(*kept, features(F.col("text")).alias(unused(docs, "_features")))
+    schema = docs.select(*kept).withColumn(name, F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = batch.column("_features").flatten()
+            parts = batch.columns[-1].flatten()
             x = np.column_stack([p.to_numpy(zero_copy_only=False) for p in parts]) if batch.num_rows else np.zeros((0, len(FEATURES)))
             scores = model.score(x) if model else np.full(batch.num_rows, 0.5)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores)], names=[*kept, name])

@@ -53,14 +53,26 @@ SEED = 7
 PLAIN_WORDS = ("read", "write", "user", "index", "value", "table", "number", "request", "config", "default")
 
 
-def _transitions(samples: list[str], smooth: float = 0.5) -> np.ndarray:
-    """Log-probabilities of each character after each other one."""
+_CLASS = np.array([0 if c.isupper() else 1 if c.islower() else 2 if c.isdigit() else 3 for c in ALPHABET])
+BACK_OFF = 0.3
+
+
+def _transitions(samples: list[str]) -> np.ndarray:
+    """Log-probabilities of each character after each other one. A part goes by classes
+    of characters (capitals, small letters, digits, marks), so that words the samples
+    lack are not taken for noise."""
     n = len(ALPHABET)
-    counts = np.full((n, n), smooth / n)
+    pairs = np.zeros((n, n))
     for s in samples:
         c = _CODE[np.frombuffer(s.encode(), dtype="uint8")]
-        np.add.at(counts, (c[:-1], c[1:]), 1.0)
-    return np.log(counts / counts.sum(axis=1, keepdims=True))
+        np.add.at(pairs, (c[:-1], c[1:]), 1.0)
+    member = np.eye(4)[_CLASS]
+    classes = member.T @ pairs @ member + 0.5
+    classes /= classes.sum(axis=1, keepdims=True)
+    backed = (classes / member.sum(axis=0))[_CLASS][:, _CLASS]
+    total = pairs.sum(axis=1, keepdims=True)
+    seen = np.divide(pairs, total, out=backed.copy(), where=total > 0)
+    return np.log((1 - BACK_OFF) * seen + BACK_OFF * backed)
 
 
 @dataclass(frozen=True)
@@ -80,7 +92,7 @@ class MarkovPair:
 
 def identifiers(words: list[str], n: int, rng: random.Random) -> list[str]:
     """Ordinary names of 20 characters and more: words joined in the usual styles."""
-    pool = sorted({w for w in words if w.isascii() and w.isalpha() and 2 <= len(w) <= 16}) or list(PLAIN_WORDS)
+    pool = sorted({*PLAIN_WORDS, *(w for w in words if w.isascii() and w.isalpha() and 2 <= len(w) <= 16)})
     made = []
     for _ in range(n):
         style, parts, length = rng.randrange(6), [], 0
