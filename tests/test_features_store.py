@@ -181,3 +181,14 @@ def test_fresh_features(spark):
     movie = store.entity_rows(spark.createDataFrame([("m", 3)], "movie_id string, views int"), "movie_id", "movie", F.lit("2024-01-01"), F.lit("2024-01-01 10:00:00"))
     got = {r["entity_id"] for r in store.fresh_features(table.unionByName(movie), "2024-01-01 12:00:00").collect()}
     assert got == {"v", "m"}
+
+
+def test_history_agrees_with_the_point_in_time_on_nulls(spark):
+    rows = [("user", "u", "a", "1.0", "float", 1), ("user", "u", "b", "5.0", "float", 1), ("user", "u", "a", None, "null", 8)]
+    df = spark.createDataFrame(rows, "entity_type string, entity_id string, feature_name string, feature_value string, feature_type string, day int")
+    at = F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.col("day"), F.lit(0), F.lit(0), F.lit(0))
+    saved = df.withColumn("as_of_date", at).withColumn("created_at", at).drop("day")
+    history = {r.as_of_date.day: (r.a, r.b) for r in store.feature_history(saved, {"a": "double", "b": "double"}).collect()}
+    assert history == {1: (1.0, 5.0), 8: (None, 5.0)}
+    read = {r.feature_name: r.feature_value for r in store.point_in_time(saved, "2024-01-09 00:00:00").collect()}
+    assert read == {"a": None, "b": "5.0"}

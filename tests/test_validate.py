@@ -44,7 +44,7 @@ CASES = [
     ("view", {"movie_id": "m" * 256}, ["movie_id.length"]),
     ("view", {"timestamp": datetime(2024, 6, 2)}, ["timestamp.future"]),
     ("view", {"timestamp": NOW}, []),
-    ("view", {"timestamp": None}, ["timestamp.future"]),
+    ("view", {"timestamp": None}, ["timestamp.invalid"]),
     ("rating", {"rating": 1.0}, []),
     ("rating", {"rating": 3.5}, ["rating.range"]),
     ("rating", {"rating": 0.0}, ["rating.range"]),
@@ -166,3 +166,13 @@ def test_users_and_items(spark):
     users = spark.createDataFrame([("18-24", "EU"), ("12", "Mars")], "age_group string, region string")
     got = validate.validate_users(users).collect()
     assert [(len(r["errors"]), len(r["warnings"])) for r in got] == [(0, 0), (1, 1)]
+
+
+def test_corrupt_records_and_first_copies(spark):
+    from tidemark.operators import validate
+
+    rows = [("a", datetime(2024, 1, 2), 2), ("a", datetime(2024, 1, 1), 5), ("b", datetime(2024, 1, 3), 1), ("b", datetime(2024, 1, 3), 0)]
+    df = spark.createDataFrame(rows, "event_id string, timestamp timestamp_ntz, offset int")
+    assert sorted((r.event_id, r.offset) for r in validate.dedup(df).collect()) == [("a", 5), ("b", 0)]
+    scores = validate.clamp_score(spark.createDataFrame([(None,), (1.5,), (0.5,)], "score double")).collect()
+    assert [(r.score, r.was_clamped) for r in scores] == [(None, False), (1.0, True), (0.5, False)]

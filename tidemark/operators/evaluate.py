@@ -18,13 +18,15 @@ SIGNIFICANT_BELOW = 0.05
 
 
 def log_loss(predictions: DataFrame) -> DataFrame:
-    """Mean binary cross-entropy; each log is held at or above ``LOG_FLOOR``."""
+    """Mean binary cross-entropy over rows with a label and a score; each log is held at
+    or above ``LOG_FLOOR``."""
 
     def log(p: Column) -> Column:
         return F.when(p <= 0, LOG_FLOOR).otherwise(F.greatest(F.log(p), F.lit(LOG_FLOOR)))
 
     y, p = F.col("label").cast("double"), F.col("score").cast("double")
-    return predictions.agg(F.avg(-(y * log(p) + (1 - y) * log(1 - p))).alias("log_loss"))
+    loss = F.when(y.isNotNull() & p.isNotNull(), -(y * log(p) + (1 - y) * log(1 - p)))  # greatest() skips nulls
+    return predictions.agg(F.avg(loss).alias("log_loss"))
 
 
 def auc(predictions: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from tidemark.functions.columns import (
     whole_days,
 )
 from tidemark.functions.ordering import running_total
+from tidemark.session import stage
 
 # Window lengths in days, activity levels, popularity steps.
 WATCH_WINDOWS_DAYS = (7, 30, 90)
@@ -179,7 +180,8 @@ def item_completion(interactions: DataFrame, when: str | datetime, items: DataFr
     df = with_optional_columns(as_of(interactions, when)).filter(_is(VIEW))
     folded = df.groupBy("movie_id", "watch_time_seconds").agg(F.count("*").alias("n"))
     timed = folded.join(items.select("movie_id", "duration_seconds").filter("duration_seconds > 0"), "movie_id")
-    share = F.least(F.col("watch_time_seconds") / F.col("duration_seconds"), F.lit(1.0))
+    watched = F.col("watch_time_seconds")  # least() would take a null for the whole length
+    share = F.when(watched.isNotNull(), F.least(watched / F.col("duration_seconds"), F.lit(1.0)))
     counted = F.when(share.isNotNull(), F.col("n"))
     return timed.groupBy("movie_id").agg(
         ratio(F.sum(share * F.col("n")), F.sum(counted)).alias("completion_rate")
@@ -268,8 +270,10 @@ def popularity_percentile(item_feats: DataFrame) -> DataFrame:
     """Share of the other items with fewer views, over all items.
 
     Works on the distinct view counts, whose running total is computed over
-    sorted ranges rather than in one window over all items.
+    sorted ranges rather than in one window over all items. The view counts are
+    written down, as three readers follow.
     """
+    item_feats = stage(item_feats.select("movie_id", "total_views"), "item-views")
     levels = item_feats.groupBy("total_views").agg(F.count("*").alias("n"))
     below = running_total(levels, [F.col("total_views")], "n", "upto").withColumn("below", F.col("upto") - F.col("n"))
     others = levels.agg(F.sum("n") - 1).scalar()

@@ -12,6 +12,7 @@ from tidemark.functions.ordering import top_n
 from tidemark.operators.features import VIEW
 from tidemark.operators.models import EMBEDDING_DIM
 from tidemark.operators.retrieval import top_k_exact
+from tidemark.session import stage
 
 # Candidates per user, list length, fallback scores, seconds a list stays fresh.
 CANDIDATES = 100
@@ -19,11 +20,6 @@ LIST_LENGTH = 10
 TRENDING_SCORE, POPULAR_SCORE = 0.7, 0.6
 LIST_FRESH_SECONDS = 300
 
-# Hour ranges and the weekend change the chance to watch.
-HOUR_FACTORS = ((18, 23, 1.4), (12, 17, 1.1), (6, 11, 0.6))
-NIGHT_FACTOR = 0.4
-WEEKEND_FACTOR = 1.25
-
 
 # ---------------------------------------------------------------- vectors
 
@@ -46,20 +42,6 @@ def cosine_pairs(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFr
     return joined.withColumn("similarity", cosine(F.col("_u"), F.col("_i"))).drop("_u", "_i")
 
 
-def hour_factor(hour: Column) -> Column:
-    factor = F
-    for first, last, value in HOUR_FACTORS:
-        factor = factor.when(hour.between(first, last), value)
-    return factor.otherwise(NIGHT_FACTOR)
-
-
-def context_score(rows: DataFrame, similarity: str = "similarity", at: str = "timestamp") -> DataFrame:
-    """Chance to watch from similarity, hour and weekday (no noise)."""
-    base = F.greatest(F.lit(0.1), F.least(F.lit(0.9), F.lit(0.5) + F.col(similarity) * 0.4))
-    weekend = F.when(F.weekday(at) >= 5, WEEKEND_FACTOR).otherwise(1.0)
-    return rows.withColumn("score", F.least(F.lit(1.0), base * hour_factor(F.hour(at)) * weekend))
-
-
 # ---------------------------------------------------------------- ranking
 
 
@@ -152,7 +134,11 @@ def ranked_list(items: DataFrame, *order: Column) -> DataFrame:
 
 
 def batch_recommendations(users: DataFrame, personal: DataFrame, trending: DataFrame, popular: DataFrame, k: int = LIST_LENGTH) -> DataFrame:
-    """Personal lists where there are any, the fallback list for all other users."""
+    """Personal lists where there are any, the fallback list for all other users.
+
+    The personal lists are written down: they are read twice, and a search is not run again.
+    """
+    personal = stage(personal.select("user_id", "movie_id", "score", "rank"), "personal")
     mine = personal.select("user_id", "movie_id", "score", "rank", F.lit("personal").alias("source"))
     return mine.unionByName(fallback(users, personal, trending, popular, k))
 

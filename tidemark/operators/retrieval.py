@@ -9,6 +9,8 @@ equal tasks, and no more than k rows per user leave any of them.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -20,10 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from tidemark.functions.arrow import as_lists, as_matrix
 from tidemark.session import stage
 
-# Most cells, items per cell aimed at, cells searched per user.
-MAX_CELLS = 100
-ITEMS_PER_CELL = 10
-PROBES = 10
+PROBES = 10  # fixed value: cells searched per user
 
 BLOCK_ITEMS = 4096
 CHUNK_USERS = 1024
@@ -37,16 +36,27 @@ def split_by_dimension(df: DataFrame, column: str, dim: int) -> tuple[DataFrame,
 
 
 def cell_count(n_items: int) -> int:
-    return max(1, min(MAX_CELLS, n_items // ITEMS_PER_CELL))
+    """About the square root, so that cells and centres grow alike."""
+    return max(1, math.isqrt(n_items))
+
+
+def pick_centres(items: DataFrame, cells: int | None = None) -> np.ndarray:
+    """Vectors of the ``cells`` items first in hash order, without any fitting.
+
+    They come to the driver: about the square root of the items, or as many as asked for.
+    """
+    cells = cell_count(items.count()) if cells is None else cells
+    first = items.orderBy(F.xxhash64("movie_id"), "movie_id").limit(cells).select("vector").toArrow()
+    return as_matrix(first.column("vector"))
 
 
-def fit_cells(items: DataFrame, seed: int = 42) -> np.ndarray:
-    """Cell centres, at most ``MAX_CELLS`` of them, fitted on all items."""
+def fit_cells(items: DataFrame, seed: int = 42, cells: int | None = None) -> np.ndarray:
+    """Cell centres fitted on all items, about the square root of their number by default."""
     points = items.select(array_to_vector(F.col("vector").cast("array<double>")).alias("features"))
     n_items = points.count()
     if n_items == 0:
         raise ValueError("there are no vectors to search")
-    cells = max(2, cell_count(n_items))  # the clustering takes no fewer
+    cells = max(2, cells or cell_count(n_items))  # the clustering takes no fewer
     model = KMeans(k=cells, seed=seed, maxIter=10).fit(points)
     return np.array(model.clusterCenters())
 
@@ -60,7 +70,7 @@ def _distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 def assign_cells(items: DataFrame, centres: np.ndarray) -> DataFrame:
     """Add each item's nearest ``cell`` and its distance to that cell's centre."""
-    shared = items.sparkSession.sparkContext.broadcast(centres)  # MAX_CELLS rows at most
+    shared = items.sparkSession.sparkContext.broadcast(centres)  # one row per cell
 
     def nearest_cell(vectors: pa.Array) -> pa.Array:
         d = _distances(as_matrix(vectors), shared.value)
@@ -87,6 +97,24 @@ def _with_cell_order(users: DataFrame, centres: np.ndarray) -> DataFrame:
     return ordered.select(*users.columns, F.arrays_zip("_o.cell", "_o.to_centre").alias("_order"))
 
 
+def _with_pack_order(users: DataFrame, centres: np.ndarray, packs: np.ndarray, near: np.ndarray, far: np.ndarray) -> DataFrame:
+    """Add ``_order``: the (pack, bound) of all cells that hold items, nearest centre
+    first; no item of a cell is nearer to the user than its bound."""
+    shared = users.sparkSession.sparkContext.broadcast((centres, packs, near, far))  # one row per cell
+
+    def order(vectors: pa.Array) -> pa.Array:
+        points, pack, low, high = shared.value
+        d = _distances(as_matrix(vectors), points)
+        ranks = np.argsort(d, axis=1, kind="stable")
+        away = np.take_along_axis(d, ranks, axis=1)
+        bound = np.maximum(np.maximum(away - high[ranks], low[ranks] - away), 0.0)
+        return pa.StructArray.from_arrays([as_lists(pack[ranks].astype("int32")), as_lists(bound)], ["pack", "bound"])
+
+    udf = F.arrow_udf(order, "pack array<int>, bound array<double>")
+    zipped = F.filter(F.arrays_zip("_o.pack", "_o.bound"), lambda c: c["pack"] >= 0)
+    return users.withColumn("_o", udf("vector")).select(*users.columns, zipped.alias("_order"))
+
+
 def _nearest_in_block(k: int):
     """Top k of a block for each user of a chunk.
 
@@ -149,14 +177,6 @@ def search_cells(probes: DataFrame, items: DataFrame, k: int) -> DataFrame:
     return _compare(left, right, ["cell", "block", "chunk"], k)
 
 
-def search_one_block(users: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    """The same for items that fit in one block: each chunk of users meets all items."""
-    chunks = users.agg(F.greatest(_parts(CHUNK_USERS), F.lit(1))).scalar()
-    left = users.select(_part_of("user_id", chunks).alias("chunk"), "user_id", "vector")
-    right = items.select(_each(chunks).alias("chunk"), "movie_id", "vector")
-    return _compare(left, right, ["chunk"], k)
-
-
 def _compare(left: DataFrame, right: DataFrame, key: list[str], k: int) -> DataFrame:
     schema = f"user_id {_type(left, 'user_id')}, movie_id {_type(right, 'movie_id')}, distance double"
     return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_nearest_in_block(k), schema)
@@ -187,56 +207,49 @@ def top_k_by_cells(users: DataFrame, items: DataFrame, k: int, probes: int = PRO
     return nearest(search_cells(wanted, celled, k), k)
 
 
-def _packs(sizes: dict[int, int], cells: int) -> list[int]:
+def _packs(sizes: dict[int, int], cells: int, block_items: int) -> np.ndarray:
     """Cells put together until they fill a block: pack number per cell, -1 for an empty cell."""
-    packs, pack, filled = [-1] * cells, 0, 0
+    packs, pack, filled = np.full(cells, -1), 0, 0
     for cell in sorted(sizes):
-        if filled and filled + sizes[cell] > BLOCK_ITEMS:
+        if filled and filled + sizes[cell] > block_items:
             pack, filled = pack + 1, 0
         packs[cell] = pack
         filled += sizes[cell]
     return packs
 
 
-def top_k_exact(users: DataFrame, items: DataFrame, k: int, probes: int = PROBES, centres: np.ndarray | None = None) -> DataFrame:
-    """Exact top k.
+def top_k_exact(
+    users: DataFrame, items: DataFrame, k: int, probes: int = PROBES, centres: np.ndarray | None = None,
+    block_items: int = BLOCK_ITEMS,
+) -> DataFrame:
+    """Exact top k, by one way at every size.
 
     The packs holding a user's nearest cells are searched first; the k-th distance
     found then rules out every other cell that the triangle inequality puts farther
-    away. A catalogue that fits in one block needs no cells and is searched whole.
+    away. Without given centres, items in hash order serve: bounds hold for any.
     """
     _check_k(k)
     users, items = users.select("user_id", "vector"), items.select("movie_id", "vector")
-    if centres is None and items.count() <= BLOCK_ITEMS:
-        return nearest(search_one_block(users, items, k), k)
-    centres = fit_cells(items) if centres is None else centres
+    centres = pick_centres(items) if centres is None else centres
+    if not len(centres):
+        schema = f"user_id {_type(users, 'user_id')}, movie_id {_type(items, 'movie_id')}, distance double"
+        return nearest(items.sparkSession.createDataFrame([], schema), k)
     celled = stage(assign_cells(items, centres), "celled-items")
     stats = celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("radius").alias("far"), F.min("radius").alias("near")).collect()
-    packs = _packs({r["cell"]: r["n"] for r in stats}, len(centres))  # one row per cell, MAX_CELLS at most
-    far, near = [float("-inf")] * len(centres), [float("inf")] * len(centres)
+    packs = _packs({r["cell"]: r["n"] for r in stats}, len(centres), block_items)  # one row per cell
+    far, near = np.full(len(centres), -np.inf), np.full(len(centres), np.inf)
     for r in stats:
         far[r["cell"]], near[r["cell"]] = r["far"], r["near"]
-
-    def lookup(values: list, cell: Column) -> Column:
-        return F.get(F.array(*[F.lit(v) for v in values]), cell)
-
-    def packs_of(cells: Column) -> Column:
-        return F.array_distinct(F.transform(cells, lambda c: lookup(packs, c["cell"])))
-
-    packed = celled.select("movie_id", "vector", lookup(packs, F.col("cell")).alias("cell"))
-    ordered = _with_cell_order(users, centres)
-    first = packs_of(F.slice("_order", 1, probes))
+    numbers = items.sparkSession.sparkContext.broadcast(packs.astype("int32"))
+    pack_of = F.arrow_udf(lambda cell: pa.array(numbers.value[cell.to_numpy()]), "int")
+    packed = celled.select("movie_id", "vector", pack_of("cell").alias("cell"))
+    ordered = _with_pack_order(users, centres, packs, near, far)
+    first = F.array_distinct(F.slice("_order", 1, probes)["pack"])
     found = nearest(search_cells(ordered.select("user_id", "vector", F.explode(first).alias("cell")), packed, k), k).drop("rank")
-    if max(packs) == 0:
-        return nearest(found, k)
     found = stage(found, "nearest-so-far")
     bound = found.groupBy("user_id").agg(F.when(F.count("*") >= k, F.max("distance")).alias("_bound"))
     limit = F.coalesce("_bound", F.lit(float("inf"))) + _SLACK
-
-    def may_hold(c: Column) -> Column:
-        return F.greatest(c["to_centre"] - lookup(far, c["cell"]), lookup(near, c["cell"]) - c["to_centre"]) <= limit
-
-    rest = F.array_except(packs_of(F.filter("_order", may_hold)), first)
+    rest = F.array_except(F.array_distinct(F.filter("_order", lambda c: c["bound"] <= limit)["pack"]), first)
     more = ordered.join(bound, "user_id", "left").select("user_id", "vector", F.explode(rest).alias("cell"))
     return nearest(found.unionByName(search_cells(more, packed, k)), k)
 
@@ -325,14 +338,14 @@ def save_vectors(items: DataFrame, centres: np.ndarray, path: str) -> None:
 
 def load_vectors(spark: SparkSession, path: str) -> tuple[DataFrame, np.ndarray]:
     """(items with their cell, cell centres)."""
-    rows = spark.read.parquet(f"{path}/centres").orderBy("cell").limit(MAX_CELLS).collect()
+    rows = spark.read.parquet(f"{path}/centres").orderBy("cell").collect()  # one row per cell
     return spark.read.parquet(f"{path}/vectors"), np.array([r["centre"] for r in rows])
 
 
 def vector_stats(items: DataFrame, probes: int = PROBES) -> DataFrame:
     """Number of vectors, their dimension, and the cells and probes a search would use."""
     stats = items.agg(F.count("*").alias("vectors"), F.max(F.size("vector")).alias("dimension"))
-    cells = F.greatest(F.lit(1), F.least(F.lit(MAX_CELLS), F.floor(F.col("vectors") / ITEMS_PER_CELL))).cast("int")
+    cells = F.greatest(F.lit(1), F.floor(F.sqrt("vectors"))).cast("int")
     return stats.withColumn("cells", cells).withColumn("probes", F.lit(probes))
 
 

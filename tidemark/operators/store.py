@@ -223,14 +223,15 @@ def to_wide(long: DataFrame, features: Sequence[str], key: Sequence[str] = ENTIT
 def feature_history(store: DataFrame, features: dict[str, str], key: Sequence[str] = ENTITY_KEY) -> DataFrame:
     """Per (key, as_of), every listed feature as last saved by then, cast to its type.
 
-    The window holds one row per snapshot of an entity, not its events.
+    A feature that a snapshot does not have is carried from the one before; one saved
+    as null is null from then on, as in ``point_in_time``. The window holds one row per
+    snapshot of an entity, not its events.
     """
-    wide = to_wide(store, list(features), [*key, "as_of_date"])
+    saved = F.struct(F.col("feature_value").alias("v"))  # not null itself where the value is
+    wide = store.groupBy(*key, "as_of_date").pivot("feature_name", list(features)).agg(F.max_by(saved, "created_at"))
     past = W.partitionBy(*key).orderBy("as_of_date").rowsBetween(W.unboundedPreceding, 0)
-    return wide.select(
-        *key, "as_of_date",
-        *[F.last(F.expr(f"try_cast(`{n}` AS {t})"), ignorenulls=True).over(past).alias(n) for n, t in features.items()],
-    )
+    carried = wide.select(*key, "as_of_date", *[F.last(n, ignorenulls=True).over(past).alias(n) for n in features])
+    return carried.select(*key, "as_of_date", *[F.expr(f"try_cast(`{n}`.v AS {t}) AS `{n}`") for n, t in features.items()])
 
 
 def asof_training_set(

@@ -69,9 +69,9 @@ def positives(labelled: DataFrame) -> DataFrame:
 
 
 def hash_number(seed: str, *columns: str) -> Column:
-    """A repeatable number in [0, 2^32) from the first eight hex digits of an md5."""
+    """A repeatable number in [0, 2^60) from the first fifteen hex digits of an md5."""
     text = F.concat_ws("|", F.lit(seed), *[F.col(c).cast("string") for c in columns])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
 def _gaps(seen: DataFrame, width: int) -> DataFrame:

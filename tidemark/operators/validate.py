@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.columns import instant
-from tidemark.sources.schemas import DEVICES, EVENT_TYPES, MAX_ID_LENGTH, MAX_QUERY_LENGTH, MAX_WATCH_SECONDS
+from tidemark.sources.schemas import CORRUPT, DEVICES, EVENT_TYPES, MAX_ID_LENGTH, MAX_QUERY_LENGTH, MAX_WATCH_SECONDS
 
 # Known genres, age groups, regions and item ranges.
 GENRES = (
@@ -39,7 +39,8 @@ def _common(df: DataFrame, now: str | datetime | None) -> list[Rule]:
         latest = F.current_timestamp().cast(df.schema["timestamp"].dataType)
     else:
         latest = instant(df, "timestamp", now)
-    return [_id("user_id"), ("timestamp.future", F.col("timestamp") > latest)]
+    at = F.col("timestamp")
+    return [_id("user_id"), ("timestamp.invalid", at.isNull()), ("timestamp.future", at.isNotNull() & (at > latest))]
 
 
 def _optional(bad: Column, *columns: str) -> Column:
@@ -94,6 +95,8 @@ def validate_events(events: DataFrame, kind: str, now: str | datetime | None = N
 def validate_mixed(events: DataFrame, now: str | datetime | None = None) -> DataFrame:
     """Check rows of all event types in one pass, each by the rules of its own type."""
     rules: list[Rule] = [("event_type.unknown", ~F.col("event_type").isin(*EVENT_TYPES))]
+    if CORRUPT in events.columns:
+        rules.insert(0, ("record.corrupt", F.col(CORRUPT).isNotNull()))
     for kind in EVENT_TYPES:
         for code, bad in event_rules(events, kind, now):
             applies = F.col("event_type") == kind
@@ -141,7 +144,12 @@ def stamp(events: DataFrame, event_type: str | None = None) -> DataFrame:
 
 
 def dedup(events: DataFrame) -> DataFrame:
-    return events.dropDuplicates(["event_id"])
+    """One row per event_id: the earliest by (timestamp, source position, other values),
+    so that copies that differ give the same survivor in every run."""
+    first = [c for c in ("timestamp", "topic", "partition", "offset") if c in events.columns]
+    rest = [c for c in events.columns if c not in first and c != "event_id"]
+    kept = events.groupBy("event_id").agg(F.min(F.struct(*first, *rest)).alias("_first"))
+    return kept.select(*["event_id" if c == "event_id" else F.col("_first")[c].alias(c) for c in events.columns])
 
 
 def validate_items(items: DataFrame) -> DataFrame:
@@ -165,11 +173,10 @@ def validate_users(users: DataFrame) -> DataFrame:
 
 
 def clamp_score(df: DataFrame, column: str = "score") -> DataFrame:
-    """Score held to [0, 1], with a flag where that changed it."""
+    """Score held to [0, 1], with a flag where that changed it; a null score stays null, unflagged."""
     score = F.col(column)
-    return df.withColumns(
-        {"was_clamped": (score < 0) | (score > 1), column: F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))}
-    )
+    held = F.when(score.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)))
+    return df.withColumns({"was_clamped": F.coalesce((score < 0) | (score > 1), F.lit(False)), column: held})
 
 
 def with_label(events: DataFrame) -> DataFrame:

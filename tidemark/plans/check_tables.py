@@ -11,7 +11,7 @@ TABLES: dict[str, str] = {
           ts AS "timestamp",
           CASE event_type WHEN 'view' THEN 'view' WHEN 'click' THEN 'view' WHEN 'purchase' THEN 'rating'
             WHEN 'error' THEN 'skip' ELSE 'search' END AS event_type,
-          CASE WHEN event_type IN ('view','click') THEN floor(value * 60)::BIGINT END AS watch_time_seconds,
+          CASE WHEN event_type IN ('view','click') AND event_id % 41 <> 0 THEN floor(value * 60)::BIGINT END AS watch_time_seconds,
           CASE WHEN event_type = 'purchase' OR (event_type IN ('view','click') AND event_id % 3 = 0)
             THEN (1 + event_id % 5)::INTEGER END AS rating,
           CASE WHEN event_type = 'error' THEN floor(value * 10)::BIGINT END AS watch_duration_seconds

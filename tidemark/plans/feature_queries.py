@@ -88,7 +88,7 @@ def item_features_sql(t: str) -> str:
           FROM interactions WHERE "timestamp" <= TIMESTAMP '{t}' GROUP BY movie_id) USING (movie_id)
         WHERE "timestamp" <= TIMESTAMP '{t}' GROUP BY movie_id, v7, p7) v
       LEFT JOIN (
-        SELECT movie_id, round(avg(least(watch_time_seconds::DOUBLE / duration_seconds, 1.0::DOUBLE)), 6)
+        SELECT movie_id, round(avg(CASE WHEN watch_time_seconds IS NOT NULL THEN least(watch_time_seconds::DOUBLE / duration_seconds, 1.0::DOUBLE) END), 6)
           AS completion_rate
         FROM interactions JOIN items USING (movie_id)
         WHERE event_type = 'view' AND "timestamp" <= TIMESTAMP '{t}' GROUP BY movie_id) c USING (movie_id)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.functions.arrow import as_matrix
 from tidemark.operators import recommend, retrieval
 from tidemark.plans.check_tables import add_table
 from tidemark.plans.feature_queries import rounded
@@ -36,9 +37,33 @@ def knn_l2(t: Tables) -> DataFrame:
     return rounded(retrieval.top_k_exact(*sized_vectors(t), K))
 
 
-@query("knn_ivf")
+@query("knn_l2_cells", f"SELECT user_id, movie_id, rank, round(distance, 6) AS distance FROM ({_nearest_sql('vector_users', K)})")
+def knn_l2_cells(t: Tables) -> DataFrame:
+    """The exact search again, with blocks so small that cells and bounds decide."""
+    return rounded(retrieval.top_k_exact(*sized_vectors(t), K, probes=2, block_items=32))
+
+
+CENTRES = 32
+
+
+@query("knn_ivf", f"""
+    WITH centres AS (SELECT vec_id AS cell, embedding::DOUBLE[] AS c FROM embeddings WHERE vec_id < {CENTRES}),
+    placed AS (
+      SELECT vec_id AS movie_id, any_value(embedding::DOUBLE[]) AS v,
+        arg_min(cell, (list_distance(embedding::DOUBLE[], c), cell)) AS cell
+      FROM embeddings, centres GROUP BY vec_id),
+    probed AS (
+      SELECT user_id, vector, cell FROM vector_users, centres
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY list_distance(vector, c), cell) <= 10)
+    SELECT user_id, movie_id, round(distance, 6) AS distance, rank FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY distance, movie_id)::INTEGER AS rank
+      FROM (SELECT user_id, movie_id, list_distance(vector, v) AS distance FROM probed JOIN placed USING (cell)))
+    WHERE rank <= {K}""")
 def knn_ivf(t: Tables) -> DataFrame:
-    return rounded(retrieval.top_k_by_cells(*sized_vectors(t), K))
+    """Cells around given centres, so that the choice of cells can be checked too."""
+    users, items = sized_vectors(t)
+    given = items.filter(F.col("movie_id") < CENTRES).orderBy("movie_id").select("vector").toArrow()
+    return rounded(retrieval.top_k_by_cells(users, items, K, centres=as_matrix(given.column("vector"))))
 
 
 @query("knn_lsh")
@@ -65,7 +90,7 @@ def mmr_rerank(t: Tables) -> DataFrame:
 
 @query("vector_stats", """
     SELECT count(*) AS vectors, max(len(embedding))::INTEGER AS dimension,
-      greatest(1, least(100, count(*) // 10))::INTEGER AS cells, 10::INTEGER AS probes FROM embeddings""")
+      greatest(1, floor(sqrt(count(*))))::INTEGER AS cells, 10::INTEGER AS probes FROM embeddings""")
 def vector_stats(t: Tables) -> DataFrame:
     return retrieval.vector_stats(vector_tables(t)[1])
 
@@ -74,10 +99,10 @@ def vector_stats(t: Tables) -> DataFrame:
     SELECT vec_id AS movie_id, len(embedding)::INTEGER AS dimension, round(list_sum(embedding::DOUBLE[]), 6) AS total,
       true AS in_cell FROM embeddings""")
 def vectors_roundtrip(t: Tables) -> DataFrame:
-    """Save vectors with their cells, load them again, and place each by the loaded centres."""
+    """Save vectors with their 150 cells, load them again, and place each by the loaded centres."""
     path = scratch_path(t.spark, "vectors")
     items = vector_tables(t)[1]
-    retrieval.save_vectors(items, retrieval.fit_cells(items), path)
+    retrieval.save_vectors(items, retrieval.pick_centres(items, 150), path)
     loaded, centres = retrieval.load_vectors(t.spark, path)
     placed = retrieval.assign_cells(loaded.withColumnRenamed("cell", "saved_cell"), centres)
     total = F.aggregate(F.col("vector").cast("array<double>"), F.lit(0.0), lambda a, x: a + x)
@@ -198,16 +223,3 @@ def fresh_recs(t: Tables) -> DataFrame:
     changed = t.interactions.filter("event_type = 'rating'").filter(
         F.col("timestamp") >= F.lit("2024-01-29 00:00:00").cast("timestamp_ntz"))
     return recommend.fresh_lists(recommend.drop_users(served, changed), "2024-01-20 00:00:00", 86400)
-
-
-@query("context_score", """
-    SELECT event_id, round(least(1.0::DOUBLE, greatest(0.1::DOUBLE, least(0.9::DOUBLE, 0.5 + 0.4 * s))
-      * CASE WHEN hour("timestamp") >= 18 THEN 1.4 WHEN hour("timestamp") >= 12 THEN 1.1 WHEN hour("timestamp") >= 6 THEN 0.6
-        ELSE 0.4 END::DOUBLE * CASE WHEN isodow("timestamp") >= 6 THEN 1.25 ELSE 1.0 END::DOUBLE), 6) AS score
-    FROM (SELECT event_id, "timestamp", list_dot_product(u.embedding::DOUBLE[], i.embedding::DOUBLE[])
-        / (sqrt(list_dot_product(u.embedding::DOUBLE[], u.embedding::DOUBLE[]))
-         * sqrt(list_dot_product(i.embedding::DOUBLE[], i.embedding::DOUBLE[])) + 1e-8::DOUBLE) AS s
-      FROM interactions JOIN embeddings u ON u.vec_id = user_id JOIN embeddings i ON i.vec_id = movie_id)""")
-def context_score(t: Tables) -> DataFrame:
-    rows = recommend.cosine_pairs(t.interactions.select("event_id", "user_id", "movie_id", "timestamp"), *vector_tables(t))
-    return rounded(recommend.context_score(rows).select("event_id", "score"))

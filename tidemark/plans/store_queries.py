@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators import features as feats, store
 from tidemark.plans.check_tables import add_table
-from tidemark.plans.feature_queries import USER_COLUMNS, item_features_sql, rounded, user_activity_sql
+from tidemark.plans.feature_queries import USER_COLUMNS, item_features_sql, rounded, user_activity_sql, user_features_sql
 from tidemark.plans.registry import query
 from tidemark.plans.tables import Tables
 from tidemark.session import scratch_path
@@ -16,6 +16,7 @@ from tidemark.session import scratch_path
 SNAPSHOTS = ("2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00")
 READ_AT = "2024-01-18 12:00:00"
 USER_FEATURES = [c.strip() for c in USER_COLUMNS.split(",")]
+MORE_FEATURES = ["unique_genres_watched", "favorite_genre", "peak_activity_hour"]
 ITEM_FEATURES = ["total_views", "unique_viewers", "avg_rating", "popularity_trend"]
 
 
@@ -47,7 +48,7 @@ def _long_sql(table: str, kind: str, key: str, columns: list[str], ints: set[str
     parts = [
         f"""SELECT '{kind}' AS entity_type, {key}::VARCHAR AS entity_id, '{c}' AS feature_name,
               {c}::VARCHAR AS feature_value,
-              CASE WHEN {c} IS NULL THEN 'null' ELSE '{"int" if c in ints else "float"}' END AS feature_type,
+              CASE WHEN {c} IS NULL THEN 'null' ELSE '{"str" if c == "favorite_genre" else "int" if c in ints else "float"}' END AS feature_type,
               TIMESTAMP '{when}' AS as_of_date, {created} AS created_at FROM ({table})"""
         for c in columns
     ]
@@ -55,6 +56,7 @@ def _long_sql(table: str, kind: str, key: str, columns: list[str], ints: set[str
 
 
 _USER_INTS = {c for c in USER_FEATURES if c.startswith(("watch_count", "days_since"))}
+_MORE_INTS = {"unique_genres_watched", "peak_activity_hour"}
 _ITEM_INTS = {"total_views", "unique_viewers"}
 
 add_table("user_store", " UNION ALL ".join(
@@ -181,8 +183,7 @@ def feature_filter(t: Tables) -> DataFrame:
     SELECT e.event_id, e.user_id, e.movie_id, (e.event_type = 'view')::INTEGER AS label, h.total_watch_time,
       h.skip_rate, h.avg_rating_given, h.as_of_date AS features_as_of
     FROM interactions e ASOF LEFT JOIN (
-      SELECT user_id, as_of_date, total_watch_time, skip_rate,
-        last_value(avg_rating_given IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY as_of_date) AS avg_rating_given
+      SELECT user_id, as_of_date, total_watch_time, skip_rate, avg_rating_given
       FROM (""" + " UNION ALL ".join(
         f"SELECT *, TIMESTAMP '{s}' AS as_of_date FROM ({user_activity_sql(s)})" for s in SNAPSHOTS) + """)) h
     ON e.user_id = h.user_id AND e."timestamp" >= h.as_of_date""",
@@ -300,7 +301,7 @@ def pair_store(t: Tables) -> DataFrame:
     " UNION ALL ".join(
         _long_sql(sql, kind, key, columns, ints, "2024-01-20 00:00:00", "TIMESTAMP '2024-01-20'")
         for sql, kind, key, columns, ints in (
-            (user_activity_sql("2024-01-20 00:00:00"), "user", "user_id", USER_FEATURES, _USER_INTS),
+            (user_features_sql("2024-01-20 00:00:00"), "user", "user_id", [*USER_FEATURES, *MORE_FEATURES], _USER_INTS | _MORE_INTS),
             (item_features_sql("2024-01-20 00:00:00"), "movie", "movie_id",
              [*ITEM_FEATURES, "completion_rate", "days_since_release"], _ITEM_INTS | {"days_since_release"}),
         )
@@ -310,7 +311,7 @@ def feature_run(t: Tables) -> DataFrame:
     """The daily run: features of every user and movie as of one instant, saved and read back."""
     when = "2024-01-20 00:00:00"
     path = scratch_path(t.spark, "feature-run")
-    users = rounded(feats.user_activity(t.interactions, when)).select("user_id", *USER_FEATURES)
+    users = rounded(feats.user_features(t.interactions, when, t.items)).select("user_id", *USER_FEATURES, *MORE_FEATURES)
     movies = rounded(feats.item_features(t.interactions, when, t.items)).select(
         "movie_id", *ITEM_FEATURES, "completion_rate", "days_since_release")
     rows = store.entity_rows(users, "user_id", "user", F.lit(when), F.lit(when)).unionByName(

@@ -22,17 +22,18 @@ def event_stream(t: Tables) -> DataFrame:
 
 
 def _streamed(t: Tables, rows: DataFrame, label: str) -> DataFrame:
-    """``rows`` written to a folder and read back as a stream."""
+    """``rows`` written to a folder as four files, dealt without regard to time, and read
+    back as a stream of one file a batch."""
     folder = scratch_path(t.spark, label)
-    rows.write.parquet(folder)
-    return file_stream(t.spark, folder, rows.schema, "*.parquet")
+    rows.repartition(4).write.parquet(folder)
+    return file_stream(t.spark, folder, rows.schema, "*.parquet", files_per_batch=1)
 
 
 @query("stream_ingest", """
     SELECT event_type, CASE WHEN errors = '' THEN 'good' ELSE 'quarantine' END AS outcome, errors, count(*) AS events,
       count(DISTINCT id) AS event_ids
     FROM (SELECT CASE WHEN event_id % 29 = 0 THEN NULL ELSE event_type END AS event_type,
-            CASE WHEN event_id % 29 = 0 THEN 'event_type.unknown' ELSE errors END AS errors, event_id AS id FROM checked_events)
+            CASE WHEN event_id % 29 = 0 THEN 'record.corrupt;event_type.unknown' ELSE errors END AS errors, event_id AS id FROM checked_events)
     GROUP BY 1, 2, 3""")
 def stream_ingest(t: Tables) -> DataFrame:
     path, checkpoint = _folders(t, "ingest")

@@ -89,7 +89,7 @@ def interactions(events: DataFrame) -> DataFrame:
         F.when(kind != "signup", _k()).alias("movie_id"),
         F.col("ts").alias("timestamp"),
         event_type.alias("event_type"),
-        F.when(is_view, F.floor(F.col("value") * 60)).alias("watch_time_seconds"),
+        F.when(is_view & (F.col("event_id") % 41 != 0), F.floor(F.col("value") * 60)).alias("watch_time_seconds"),
         F.when(rated, (1 + F.col("event_id") % 5).cast("int")).alias("rating"),
         F.when(kind == "error", F.floor(F.col("value") * 10)).alias("watch_duration_seconds"),
     )

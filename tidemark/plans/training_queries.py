@@ -80,7 +80,7 @@ def _negatives_sql(seed: str) -> str:
     return f"""
     SELECT d.event_id, d.user_id, d.slot::INTEGER AS slot, n.item_id, 0::INTEGER AS label
     FROM (SELECT p.event_id, p.user_id, slot,
-            ('0x' || substr(md5('{seed}|' || p.event_id || '|' || slot), 1, 8))::BIGINT % c.n AS r
+            ('0x' || substr(md5('{seed}|' || p.event_id || '|' || slot), 1, 15))::BIGINT % c.n AS r
           FROM (SELECT event_id, user_id FROM interactions WHERE event_type = 'view') p
           JOIN (SELECT user_id, count(*) AS n FROM unseen_items GROUP BY user_id) c USING (user_id),
           range(1, 5) s(slot)) d
@@ -190,14 +190,15 @@ def factor_score(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------- metrics
 
 _LOG_LOSS_SQL = """
-    SELECT round(avg(-(label * CASE WHEN score <= 0 THEN -100 ELSE greatest(ln(score), -100) END
-      + (1 - label) * CASE WHEN score >= 1 THEN -100 ELSE greatest(ln(1 - score), -100) END)), 6) AS log_loss
-    FROM predictions"""
+    SELECT round(avg(CASE WHEN score IS NOT NULL AND label IS NOT NULL THEN -(label * CASE WHEN score <= 0 THEN -100 ELSE greatest(ln(score), -100) END
+      + (1 - label) * CASE WHEN score >= 1 THEN -100 ELSE greatest(ln(1 - score), -100) END) END), 6) AS log_loss
+    FROM (SELECT label, CASE WHEN item_id % 11 <> 0 THEN score END AS score FROM predictions)"""
 
 
 @query("log_loss", _LOG_LOSS_SQL)
 def log_loss(t: Tables) -> DataFrame:
-    return rounded(evaluate.log_loss(t.predictions))
+    """Every eleventh item has no score."""
+    return rounded(evaluate.log_loss(t.predictions.withColumn("score", F.when(F.col("item_id") % 11 != 0, F.col("score")))))
 
 
 _AUC_SQL = """

@@ -20,7 +20,6 @@ INTERACTION_FILE = T.StructType(
 )
 REQUIRED_INTERACTION_COLUMNS = ("timestamp", "user_id", "item_id")
 
-EXTRACTION_CAP = 10_000  # fixed value: events taken per topic and run
 
 
 # ---------------------------------------------------------------- topics
@@ -68,12 +67,28 @@ def with_origin(records: DataFrame) -> DataFrame:
     return records.withColumns({**origin, "_extracted_at": F.current_timestamp()})
 
 
-def cap_per_topic(records: DataFrame, cap: int = EXTRACTION_CAP) -> DataFrame:
-    """The first ``cap`` records of each topic by (partition, offset)."""
+def cap_per_topic(records: DataFrame, cap: int, after: DataFrame | None = None) -> DataFrame:
+    """The first ``cap`` records of each topic by (partition, offset).
+
+    ``after`` (topic, partition, next_offset) is where earlier runs stopped; records
+    before it are left out, so runs in sequence read every record once.
+    """
     order = [F.col("partition"), F.col("offset")]
+    if after is not None:
+        begun = after.select("topic", "partition", "next_offset")
+        joined = records.join(begun, ["topic", "partition"], "left")
+        records = joined.filter(F.col("offset") >= F.coalesce("next_offset", F.lit(0))).select(*records.columns)
     return top_n(records, ["topic"], order, cap, rank="_rank").drop("_rank")
 
 
+def next_offsets(taken: DataFrame, after: DataFrame | None = None) -> DataFrame:
+    """(topic, partition, next_offset) from which the run after this one goes on."""
+    ends = taken.select("topic", "partition", (F.col("offset") + 1).alias("next_offset"))
+    if after is not None:
+        ends = ends.unionByName(after.select("topic", "partition", "next_offset"))
+    return ends.groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset"))
+
+
 def extraction_summary(records: DataFrame) -> DataFrame:
     """Rows per topic and, as topic ``all``, in total."""
     return records.rollup("topic").agg(F.count("*").alias("events"), F.grouping("topic").alias("_all")).select(

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from tidemark.functions.timegrid import bucket_counts
 from tidemark.operators.features import VIEW
 from tidemark.operators.monitor import REQUEST_BOUNDS, is_server_error
-from tidemark.operators.validate import normalise_timestamp, stamp, validate_mixed
+from tidemark.operators.validate import dedup as first_copies, normalise_timestamp, stamp, validate_mixed
 from tidemark.sources.events import decode
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -28,7 +28,9 @@ def drain(writer: DataStreamWriter) -> None:
 
 def into_batches(path: str, partition_by: Sequence[str] = ()) -> BatchWriter:
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch={batch_id}")
+        # static: a batch run again must not leave partitions of its first run behind
+        writer = batch.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(*partition_by).parquet(f"{path}/batch={batch_id}")
 
     return write
 
@@ -56,15 +58,28 @@ def ingested(spark: SparkSession, path: str, outcome: str) -> DataFrame:
     return spark.read.parquet(path).filter(F.col("outcome") == outcome).drop("outcome", "batch")
 
 
-def dedup(events: DataFrame, path: str, checkpoint: str, delay: str = "1 day") -> DataStreamWriter:
-    """Drop repeats of an event_id that arrive within ``delay`` of each other."""
-    timed = events.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    unique = timed.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["event_id"])
-    return (
-        unique.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
-        .writeStream.foreachBatch(into_batches(path))
-        .option("checkpointLocation", checkpoint)
-    )
+def dedup(events: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Each event_id once, however late or far apart its copies come.
+
+    A batch keeps the first of its own copies and leaves out the ids that earlier
+    batches have written; its own folder does not count, so a batch run again gives
+    the same rows. No row is dropped for being late.
+    """
+    write = into_batches(path)
+
+    def unseen(batch: DataFrame, batch_id: int) -> None:
+        once = first_copies(batch)
+        if batch_id:
+            written = batch.sparkSession.read.schema(f"event_id {_kind(batch)}, batch int").parquet(path)
+            ids = written.filter(F.col("batch") < batch_id).select(F.col("event_id").alias("_seen"))
+            once = once.join(ids, F.col("event_id").eqNullSafe(F.col("_seen")), "left_anti")
+        write(once, batch_id)
+
+    return events.writeStream.foreachBatch(unseen).option("checkpointLocation", checkpoint)
+
+
+def _kind(batch: DataFrame) -> str:
+    return batch.schema["event_id"].dataType.simpleString()
 
 
 # ---------------------------------------------------------------- windows
