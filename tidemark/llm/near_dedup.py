@@ -10,12 +10,14 @@
    any key; for these all keys are counted, and each class is posted only under the
    rarest ``PREFIX`` of its keys. Longer lists are skipped and probed only for the
    pairs already met, when collisions over the whole signatures are counted.
-3. Instead of all pairs of a list, each posted class first meets the smallest and the
-   largest class of the list. Pairs with enough collisions are confirmed on full sets,
-   and linked classes joined to components. Then only lists that still hold several
-   components give pairs, across components alone: a link inside one cannot change it.
-   So a group of any size costs a few pairs per member, and no link between different
-   components is lost.
+3. Instead of all pairs of a list, each posted class first meets two hubs of the list.
+   Pairs with enough collisions are confirmed on full sets, and linked classes joined to
+   components. Then only lists that still hold several components are looked at, and
+   across components alone, since a link inside one cannot change it. Here a signature
+   is too coarse: a group of edits of one text agrees in half its coordinates without
+   being linked. So these classes are joined by the rarest quarter of their shingles,
+   with the bound on what two sets can still share, which is exact. A group of any size
+   costs a few pairs per member, and no link between different components is lost.
 
 Defined cases: a text without words is linked with nothing and is its own component;
 one of fewer than five words is a single shingle; rows with equal ids are rows of their
@@ -180,23 +182,60 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _star_pairs(posts: DataFrame) -> DataFrame:
-    """Each posted class with the smallest and the largest class of each of its lists."""
-    hubs = posts.groupBy("key").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi"))
+    """Each posted class with two hubs of each of its lists: the class whose lists are
+    longest in sum, as the centre of a group of copies is, and the smallest."""
+    lists = posts.groupBy("key").agg(F.count("*").alias("n"))
+    weight = posts.join(lists, "key").groupBy("cid").agg(F.sum("n").alias("weight"))
+    hubs = posts.join(weight, "cid").groupBy("key").agg(
+        F.max(F.struct("weight", F.negative("cid").alias("c"))).alias("top"), F.min("cid").alias("lo")
+    ).select("key", F.negative("top.c").alias("hi"), "lo")
     met = posts.join(hubs, "key").select(F.explode(F.array("lo", "hi")).alias("hub"), "cid").filter("hub <> cid")
     return met.select(F.least("hub", "cid").alias("a"), F.greatest("hub", "cid").alias("b")).distinct()
 
 
-def _cross_pairs(posts: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
-    """Pairs of classes that share a list but no component."""
+def _shingle_rows(sets: DataFrame) -> DataFrame:
+    """(cid, comp, size, el) for every shingle of each set (cid, comp, _set)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                values = np.frombuffer(batch.column("_set")[r].as_buffer(), "<i8")
+                same = lambda x: pa.array(np.full(len(values), x), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [same(batch.column("cid")[r].as_py()), same(batch.column("comp")[r].as_py()), same(len(values)), pa.array(values)],
+                    names=["cid", "comp", "size", "el"],
+                )
+
+    return sets.select("cid", "comp", "_set").mapInArrow(run, "cid bigint, comp bigint, size bigint, el bigint")
+
+
+def _cross_pairs(posts: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of classes that share a list but no component and may still be linked.
+
+    The classes of lists with several components are joined by their shingles, rarest
+    first. Linked sets of n and m shingles have 3/7 (n + m) in common, so they share one
+    of the rarest quarter of each; and shingles that stand behind too many others of
+    their set, with too few to come, give no pair. Of each shingle's list only classes
+    outside its largest component meet the list.
+    """
     labelled = posts.join(labels.select(F.col("node").alias("cid"), "comp"), "cid", "left").select(
         "key", "cid", F.coalesce("comp", "cid").alias("comp")
     )
-    mixed_keys = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    left = scratch.put(labelled.join(mixed_keys, "key"), "mixed")
-    per_key = left.select("key", "comp").distinct()
-    both = per_key.withColumnRenamed("comp", "x").join(per_key.withColumnRenamed("comp", "y"), "key").filter("x < y")
-    side = lambda c, n: left.select("key", F.col("comp").alias(c), F.col("cid").alias(n))
-    met = both.join(side("x", "p"), ["key", "x"]).join(side("y", "q"), ["key", "y"])
+    several = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+    left = labelled.join(several, "key").select("cid", "comp").distinct()
+    rows = _shingle_rows(sets.join(left, "cid"))
+    shared = rows.groupBy("el").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("n > 1")
+    own = W.partitionBy("cid")
+    placed = (
+        rows.join(shared, "el")
+        .withColumn("at", F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "el")))  # after those no one shares
+        .filter("at <= size - ceil(0.75 * size) + 1 AND lo < hi").select("el", "cid", "comp", "size", "at")
+    )
+    largest = placed.groupBy("el", "comp").agg(F.count("*").alias("n")).groupBy("el").agg(F.max_by("comp", F.struct("n", "comp")).alias("top"))
+    ranked = placed.join(largest, "el")
+    one = ranked.filter("comp <> top").select("el", F.col("cid").alias("p"), F.col("comp").alias("x"), F.col("size").alias("m"), F.col("at").alias("i"))
+    two = ranked.select("el", F.col("cid").alias("q"), F.col("comp").alias("y"), F.col("size").alias("n"), F.col("at").alias("j"), "top")
+    met = one.join(two, "el").filter("x <> y AND (y = top OR p < q) AND 7 * (1 + least(m - i, n - j)) >= 3 * (m + n)")
     return met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
@@ -227,8 +266,8 @@ def link(docs: DataFrame) -> tuple[DataFrame, Scratch]:
     )
     links = scratch.put(_confirmed(star, sets), "links1")
     labels = components(links, scratch, "first")
-    cross = _cross_pairs(posts, labels, scratch).join(star, ["a", "b"], "left_anti")
-    more = scratch.put(_confirmed(_collisions(cross, signatures), sets), "links2")
+    cross = _cross_pairs(posts, labels, sets).join(star, ["a", "b"], "left_anti")
+    more = scratch.put(_confirmed(cross, sets), "links2")
     if not more.isEmpty():
         labels = components(links.unionByName(more), scratch, "second")
     named = scratch.put(_named(classes, labels), "named")
@@ -237,7 +276,7 @@ def link(docs: DataFrame) -> tuple[DataFrame, Scratch]:
     )
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     out = scratch.put(out.withColumn("kept", kept), "out")
-    scratch.drop("prints", "classes", "chosen", "suspects", "posts", "star", "involved", "sets", "links1", "links2", "mixed", "named")
+    scratch.drop("prints", "classes", "chosen", "suspects", "posts", "star", "involved", "sets", "links1", "links2", "named")
     return out, scratch
 
 
