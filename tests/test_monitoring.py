@@ -126,3 +126,11 @@ def test_search_counts_like_a_text_search(spark):
     assert search.keyword_search(df, "  ").count() == 0
     snippets = {(r["doc_id"], r["snippet_number"]): r["snippet"] for r in search.search_snippets(df, "aa").collect()}
     assert snippets == {(1, 1): "aaaa\nplain\nKafka", (3, 1): "x\nAA b\ny\nz", (3, 2): "z\nw\naa"}
+
+
+def test_a_counter_grows_over_its_restarts(spark):
+    start = datetime(2024, 1, 1)
+    for values, grown in (([10.0, 0.0, 1.0], 1.0), ([1.0, 4.0, 9.0], 8.0), ([5.0], 0.0)):
+        rows = [(start + timedelta(minutes=i), "restarts", "svc", v) for i, v in enumerate(values)]
+        df = spark.createDataFrame(rows, "ts timestamp_ntz, metric string, instance string, value double")
+        assert sum(r.rise for r in monitor.gauge_steps(df).collect()) == grown

@@ -66,7 +66,10 @@ def low_request_rate(totals: DataFrame, window: int = 10 * MINUTE) -> DataFrame:
     """Requests per second at every grid step from the first to the last; silence counts as 0."""
     counts = sliding(totals, [], {"requests": F.sum("requests")}, window)
     span = totals.agg(F.min("step").alias("first"), F.max("step").alias("last"))
-    grid = span.select(F.explode(F.sequence("first", "last", F.lit(STEP_SECONDS).cast("bigint"))).alias("eval_at"))
+    day = F.lit(86_400).cast("bigint")  # by days first, so that no row holds the whole time
+    days = span.select("last", F.explode(F.sequence("first", "last", day)).alias("from"))
+    until = F.least(F.col("from") + day - STEP_SECONDS, F.col("last"))
+    grid = days.select(F.explode(F.sequence("from", until, F.lit(STEP_SECONDS).cast("bigint"))).alias("eval_at"))
     return grid.join(counts, "eval_at", "left").select("eval_at", (F.coalesce("requests", F.lit(0)) / window).alias("rate"))
 
 
@@ -115,7 +118,7 @@ def request_metrics(totals: DataFrame) -> list[DataFrame]:
 def gauge_metrics(steps: DataFrame) -> list[DataFrame]:
     """The figures of the host rules, from the gauge steps."""
     short = slide_gauges(steps.filter(F.col("metric").isin("up", "memory_percent", "cpu_percent")), 5 * MINUTE)
-    restarts = slide_gauges(steps.filter(F.col("metric") == "restarts"), 15 * MINUTE)
+    restarts = sliding(steps.filter(F.col("metric") == "restarts"), ["instance"], {"grown": F.sum("rise")}, 15 * MINUTE)
 
     def of(metric: str) -> DataFrame:
         return short.filter(F.col("metric") == metric)
@@ -125,7 +128,7 @@ def gauge_metrics(steps: DataFrame) -> list[DataFrame]:
         _series(of("up"), "ServiceDown", "last_value", "instance"),
         _series(of("memory_percent"), "HighMemoryUsage", "last_value", "instance"),
         _series(cpu, "HighCPUUsage", "mean_value"),
-        _series(restarts.withColumn("grown", F.col("high") - F.col("low")), "ContainerRestartLoop", "grown", "instance"),
+        _series(restarts, "ContainerRestartLoop", "grown", "instance"),
     ]
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark.functions.columns import ratio, status_class
 from tidemark.functions.timegrid import (
@@ -132,12 +132,18 @@ def slowest_endpoints(log: DataFrame, n: int = SLOWEST) -> DataFrame:
     return histogram_quantiles(log, quantiles=(0.95,)).orderBy(F.desc("p95"), "endpoint").limit(n)
 
 
+def windowed_quantiles(log: DataFrame, width: str = "1 day", quantiles: Sequence[float] = QUANTILES) -> DataFrame:
+    """Histogram quantiles of each endpoint in each window of the log."""
+    return histogram_quantiles(log, [_bucketed(log, width), "endpoint"], quantiles)
+
+
 def latency_breakdown(log: DataFrame) -> DataFrame:
-    """The watched quantile of each stage, all stages in one pass."""
+    """The watched quantile of each stage at each endpoint, all stages in one pass."""
     counts = [bucket_counts(F.when(F.col("stage") == s, F.col("duration_s")), b).alias(s) for s, b in STAGE_BOUNDS.items()]
     rows = [F.struct(F.lit(s).alias("stage"), F.lit(STAGE_QUANTILES[s]).alias("quantile"),
                      bucket_quantile(F.col(s), STAGE_QUANTILES[s], b).alias("seconds")) for s, b in STAGE_BOUNDS.items()]
-    return log.agg(*counts).select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+    unfolded = log.groupBy("endpoint").agg(*counts).select("endpoint", F.explode(F.array(*rows)).alias("_r"))
+    return unfolded.select("endpoint", "_r.*").filter(F.col("seconds").isNotNull())
 
 
 # ---------------------------------------------------------------- cache, fallback, scores
@@ -172,10 +178,24 @@ def score_distribution(log: DataFrame, width: str = "1 day") -> DataFrame:
 
 
 def gauge_steps(samples: DataFrame) -> DataFrame:
-    """Samples of each (metric, instance) folded to grid steps."""
-    return samples.groupBy(step_of(F.col("ts")).alias("step"), "metric", "instance").agg(
+    """Samples of each (metric, instance) folded to grid steps.
+
+    ``rise`` is what a counter grew by up to and in the step: a value below the one
+    before it is a restart from 0, so it counts whole. A step's samples are few.
+    """
+    order = F.sort_array(F.collect_list(F.struct("ts", "value")))
+    folded = samples.filter("value IS NOT NULL").groupBy(step_of(F.col("ts")).alias("step"), "metric", "instance").agg(
         F.max(F.struct("ts", "value")).alias("latest"), F.sum("value").alias("total"), F.count("value").alias("n"),
-        F.min("value").alias("low"), F.max("value").alias("high"))
+        F.min("value").alias("low"), F.max("value").alias("high"), order.alias("_seen"))
+    before = F.lag(F.col("latest.value")).over(W.partitionBy("metric", "instance").orderBy("step"))
+
+    def grown(was: Column, now: Column) -> Column:
+        return F.when(was.isNull(), 0.0).when(now >= was, now - was).otherwise(now)
+
+    start = F.struct(F.col("_before").alias("was"), F.lit(0.0).alias("rise"))
+    rise = F.aggregate("_seen", start, lambda a, s: F.struct(
+        s["value"].cast("double").alias("was"), (a["rise"] + grown(a["was"], s["value"])).alias("rise")), lambda a: a["rise"])
+    return folded.withColumn("_before", before.cast("double")).withColumn("rise", rise).drop("_seen", "_before")
 
 
 def slide_gauges(steps: DataFrame, window: int) -> DataFrame:

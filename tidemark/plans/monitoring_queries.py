@@ -123,8 +123,8 @@ def slowest_endpoints(t: Tables) -> DataFrame:
 
 def _stage_sql(stage: str) -> str:
     bounds, q = monitor.STAGE_BOUNDS[stage], monitor.STAGE_QUANTILES[stage]
-    counted = f"SELECT {counts_sql('duration_s', bounds, chr(39).join(('stage = ', stage, '')))} AS c FROM requests"
-    return f"SELECT '{stage}' AS stage, {q}::DOUBLE AS quantile, round(v, 6) AS seconds FROM ({quantile_sql(counted, '', q, bounds)})"
+    counted = f"SELECT endpoint, {counts_sql('duration_s', bounds, chr(39).join(('stage = ', stage, '')))} AS c FROM requests GROUP BY endpoint"
+    return f"SELECT endpoint, '{stage}' AS stage, {q}::DOUBLE AS quantile, round(v, 6) AS seconds FROM ({quantile_sql(counted, 'endpoint', q, bounds)})"
 
 
 @query("latency_breakdown", " UNION ALL ".join(_stage_sql(s) for s in monitor.STAGE_BOUNDS))
@@ -132,6 +132,18 @@ def latency_breakdown(t: Tables) -> DataFrame:
     return rounded(monitor.latency_breakdown(t.requests))
 
 
+_BY_DAY = f"""SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, endpoint, {counts_sql('duration_s', monitor.REQUEST_BOUNDS)} AS c
+    FROM requests GROUP BY 1, 2"""
+
+
+@query("windowed_quantiles", "SELECT window_start, endpoint, " + ", ".join(
+    f"round(max(v) FILTER (q = {p}), 6) AS p{p}" for p in (50, 95, 99)) + " FROM (" + " UNION ALL ".join(
+    f"SELECT *, {p} AS q FROM ({quantile_sql(_BY_DAY, 'window_start, endpoint', p / 100, monitor.REQUEST_BOUNDS)})" for p in (50, 95, 99))
+    + ") GROUP BY 1, 2")
+def windowed_quantiles(t: Tables) -> DataFrame:
+    return rounded(monitor.windowed_quantiles(t.requests))
+
+
 # ---------------------------------------------------------------- cache, fallback, scores
 
 
@@ -234,8 +246,9 @@ add_table("alert_values", f"""
       WHERE metric = 'memory_percent' GROUP BY 2, 3
     UNION ALL SELECT 'HighCPUUsage', '', eval_at, avg(v) FROM (SELECT instance, {_T}, avg(value) AS v FROM gauge_steps, range(0, 10) r(i)
       WHERE metric = 'cpu_percent' GROUP BY 1, 2) GROUP BY 3
-    UNION ALL SELECT 'ContainerRestartLoop', instance, {_T}, max(value) - min(value) FROM gauge_steps, range(0, 30) r(i)
-      WHERE metric = 'restarts' GROUP BY 2, 3
+    UNION ALL SELECT 'ContainerRestartLoop', instance, {_T}, sum(CASE WHEN was IS NULL THEN 0 WHEN value >= was THEN value - was ELSE value END)
+      FROM (SELECT *, lag(value) OVER (PARTITION BY instance ORDER BY ts, value) AS was FROM gauge_steps WHERE metric = 'restarts'),
+        range(0, 30) r(i) GROUP BY 2, 3
     UNION ALL SELECT 'LowRequestRate', '', g.eval_at, coalesce(n, 0) / 600.0::DOUBLE
       FROM (SELECT unnest(range(min(step), max(step) + 1, 30)) AS eval_at FROM req_steps) g
       LEFT JOIN (SELECT {_T}, count(*) AS n FROM req_steps, range(0, 20) r(i) GROUP BY 1) c USING (eval_at)""")
