@@ -67,6 +67,7 @@ class Scratch:
         self.spark = spark
         self.root = scratch_path(spark, label)
         self._fs, self._root = _file_system(spark, self.root)
+        self._fs.mkdirs(self._root)  # only a path that exists can be marked
         self._fs.deleteOnExit(self._root)
 
     def path(self, name: str) -> str:
