@@ -15,6 +15,7 @@ from tidemark.llm import line_rules, mixing, quality_gam, secret_scan, surrogate
 from tidemark.llm.queries import QUERIES
 from tidemark.llm.text import read_table, word_count
 from tidemark.llm.tokens import default_path, encoder
+from tidemark.session import Scratch
 
 BLANK = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -90,7 +91,7 @@ def test_targets_equal_rounds_of_clamping(spark):
     for trial in range(3):
         sizes = {f"s{i:02}": rng.choice([10, 100, 1000, 5000]) for i in range(9)}
         frame = spark.createDataFrame(list(sizes.items()), "source string, size long")
-        got = {r.source: r.target for r in mixing.source_targets(frame).collect()}
+        got = {r.source: r.target for r in mixing.source_targets(frame, Scratch(spark, "test")).collect()}
         weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(sizes))}
         want = filled(sizes, weights, sum(sizes.values()) * 1.5, 2)
         assert got == pytest.approx(want)

@@ -21,9 +21,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tidemark.functions.ordering import numbered, running_total
 from tidemark.session import Scratch
 
 WEIGHTS = (5, 2, 1)
@@ -38,72 +37,85 @@ def draw_of(doc_id: Column, text: Column, seed: str = SEED) -> Column:
     return F.md5(F.concat_ws(":", *parts))
 
 
+def running_sums(df: DataFrame, order: Sequence[Column], values: dict[str, Column], scratch: Scratch, label: str) -> DataFrame:
+    """``df`` with the sum of each value over all rows up to this one, in a global order.
+
+    One range shuffle for all values; ranges are written down, as their bounds come from
+    a sample, and a range carries the totals of those before it.
+    """
+    placed = df.select("*", *[v.alias(n) for n, v in values.items()]).repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = scratch.put(placed.withColumn("_at", F.monotonically_increasing_id()), f"{label}-ordered").withColumn(
+        "_range", F.shiftright("_at", 33))
+    earlier = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    carried = ordered.groupBy("_range").agg(*[F.sum(n).alias(f"_t{n}") for n in values]).select(
+        "_range", *[F.coalesce(F.sum(f"_t{n}").over(earlier), F.lit(0)).alias(f"_t{n}") for n in values])
+    inside = W.partitionBy("_range").orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
+    summed = ordered.select(*df.columns, "_range", *[F.sum(n).over(inside).alias(n) for n in values])
+    done = summed.join(F.broadcast(carried), "_range").select(  # one row per shuffle partition
+        *df.columns, *[(F.col(n) + F.col(f"_t{n}")).alias(n) for n in values])
+    return scratch.put(done, label)
+
+
 def source_targets(
     sizes: DataFrame,
+    scratch: Scratch,
     weights: Sequence[int] = WEIGHTS,
     budget: tuple[int, int] = BUDGET,
     max_epochs: int = MAX_EPOCHS,
 ) -> DataFrame:
-    """(source, source_size, target) from rows (source, size).
+    """(source, source_size, source_end, target) from rows (source, size); source_end is
+    the running sum of sizes in the sources' order.
 
     ``weights`` go to the sources in code-point order, null last, and repeat.
     """
+    by_name = [F.col("source").isNull(), F.col("source")]
     per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    placed = numbered(per_source, [F.col("source").isNull(), F.col("source")], "_place")
+    placed = running_sums(per_source, by_name, {"_place": F.lit(1), "source_end": F.col("source_size")}, scratch, "sources")
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), ((F.col("_place") - 1) % len(weights) + 1).cast("int"))
     sources = placed.select(
-        "source", "source_size", weight.cast("bigint").alias("_w"), (F.col("source_size") * max_epochs).alias("_cap")
+        "source", "source_size", "source_end", weight.cast("bigint").alias("_w"), (F.col("source_size") * max_epochs).alias("_cap")
     )
-    ratio = [F.col("_cap") / F.col("_w"), F.col("source").isNull(), F.col("source")]
-    summed = running_total(running_total(sources, ratio, "_cap", "_caps"), ratio, "_w", "_ws")
-    whole = sources.agg(
-        (F.sum("source_size") * budget[0] / budget[1]).alias("_budget"), F.sum("_w").alias("_weight")
+    filled = running_sums(
+        sources, [F.col("_cap") / F.col("_w"), *by_name], {"_caps": F.col("_cap"), "_ws": F.col("_w")}, scratch, "filled"
     )
+    whole = filled.agg(F.sum("source_size").alias("size"), F.sum("_w").alias("weight")).first()
+    words, weight = (whole["size"] or 0) * budget[0] / budget[1], whole["weight"] or 0
     # level offered to a source once all before it have stopped at their caps
-    left = summed.crossJoin(F.broadcast(whole)).withColumn(  # one row
-        "_level", (F.col("_budget") - (F.col("_caps") - F.col("_cap"))) / (F.col("_weight") - (F.col("_ws") - F.col("_w")))
-    )
+    level = (F.lit(words) - (F.col("_caps") - F.col("_cap"))) / (F.lit(weight) - (F.col("_ws") - F.col("_w")))
     # levels rise until the first source below its cap, whose level holds for the rest, and fall after it
-    level = left.filter(F.col("_cap") > F.col("_level") * F.col("_w")).agg(F.max("_level").alias("_final"))
-    return left.crossJoin(F.broadcast(level)).select(
-        "source", "source_size",
-        F.least(
-            F.col("_cap").cast("double"),
-            F.coalesce(F.col("_final") * F.col("_w"), F.col("_cap").cast("double")),
-        ).alias("target"),
-    )
+    final = filled.filter(F.col("_cap") > level * F.col("_w")).agg(F.max(level)).first()[0]
+    cap = F.col("_cap").cast("double")
+    share = cap if final is None else F.least(cap, F.lit(final) * F.col("_w"))
+    return filled.select("source", "source_size", "source_end", share.alias("target"))
 
 
-def repetitions(sizes: DataFrame, targets: DataFrame) -> DataFrame:
+def repetitions(sizes: DataFrame, targets: DataFrame, scratch: Scratch) -> DataFrame:
     """Per source: ``whole`` copies of each document, ``last_draw``, up to which a
     document is taken once more, and ``fill_draw``, the one taken to close the gap
     (null: none). ``sizes`` has (source, size, draw)."""
-    plan = targets.withColumn("_epochs", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
-    plan = plan.withColumn("whole", F.floor("_epochs").cast("bigint"))
-    plan = plan.withColumn("_missing", F.col("target") - F.col("whole") * F.col("source_size"))
+    epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    plan = targets.withColumn("whole", F.floor(epochs).cast("bigint"))
+    plan = scratch.put(plan.withColumn("_missing", F.col("target") - F.col("whole") * F.col("source_size")), "whole")
     order = [F.col("source").isNull(), F.col("source"), F.col("draw"), F.col("size")]
-    thin = running_total(sizes.select("source", "size", "draw"), order, "size", "_upto")
-    before = running_total(plan.select("source", "source_size"), order[:2], "source_size", "_end").select(
-        F.col("source").alias("_source"), (F.col("_end") - F.col("source_size")).alias("_start")
-    )
-    starts = plan.join(before, plan["source"].eqNullSafe(before["_source"])).drop("_source")
-    placed = thin.join(starts.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).filter("_missing > 0")
+    thin = running_sums(sizes.select("source", "size", "draw"), order, {"_upto": F.col("size")}, scratch, "drawn")
+    starts = plan.filter("_missing > 0").select(
+        F.col("source").alias("_source"), (F.col("source_end") - F.col("source_size")).alias("_start"), "_missing")
+    placed = thin.join(starts, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_mine", F.col("_upto") - F.col("_start"))
     # rows that fit whole, in order of their draws; then the one row that best fills the gap left
-    fits = F.col("_upto") - F.col("_start") <= F.col("_missing")
-    last = placed.filter(fits).groupBy("source").agg(
-        F.max("draw").alias("last_draw"), F.max(F.col("_upto") - F.col("_start")).alias("_filled")
-    ).withColumnRenamed("source", "_source")
-    gap = F.col("_missing") - F.coalesce(F.col("_filled"), F.lit(0))
-    off = F.abs(F.col("size") - gap)
-    found = (
-        placed.join(last, F.col("source").eqNullSafe(F.col("_source")), "left")
-        .groupBy("source").agg(
-            F.first("last_draw").alias("last_draw"),
-            F.min(F.when(~fits & (off < gap), F.struct(off.alias("off"), F.col("draw")))).alias("_filler"),
-        )
-        .select(F.col("source").alias("_source"), "last_draw", F.col("_filler.draw").alias("fill_draw"))
+    last = scratch.put(placed.filter("_mine <= _missing").groupBy("source").agg(
+        F.max("draw").alias("last_draw"), F.max("_mine").alias("_filled")), "last").withColumnRenamed("source", "_s")
+    off = F.abs(F.col("size") - F.col("_gap"))
+    fillers = (
+        placed.filter("_mine > _missing").join(last, F.col("source").eqNullSafe(F.col("_s")), "left")
+        .withColumn("_gap", F.col("_missing") - F.coalesce("_filled", F.lit(0))).filter(off < F.col("_gap"))
+        .groupBy("source").agg(F.min(F.struct(off.alias("off"), F.col("draw"))).alias("_filler"))
+        .select(F.col("source").alias("_f"), F.col("_filler.draw").alias("fill_draw"))
+    )
+    return (
+        plan.join(last.select("_s", "last_draw"), F.col("source").eqNullSafe(F.col("_s")), "left")
+        .join(fillers, F.col("source").eqNullSafe(F.col("_f")), "left")
+        .select("source", "source_size", "target", "whole", "last_draw", "fill_draw")
     )
-    return plan.join(found, plan["source"].eqNullSafe(found["_source"]), "left").drop("_source", "_epochs", "_missing")
 
 
 def with_copies(docs: DataFrame, plan: DataFrame, draw: Column) -> DataFrame:
@@ -134,7 +146,7 @@ def mix(docs: DataFrame, size: Column, seed: str = SEED, **targets: object) -> D
         docs.select("doc_id", "source", size.alias("size"), draw_of(F.col("doc_id"), F.col("text"), seed).alias("draw")),
         "sizes",
     )
-    plan = scratch.put(repetitions(sizes, source_targets(sizes, **targets)), "plan")
+    plan = scratch.put(repetitions(sizes, source_targets(sizes, scratch, **targets), scratch), "plan")
     return with_copies(sizes, plan, F.col("draw")).drop("draw")
 
 
@@ -143,7 +155,7 @@ def mixed_documents(docs: DataFrame, size: Column, seed: str = SEED, **targets:
     scratch = Scratch(docs.sparkSession, "mix")
     draw = draw_of(F.col("doc_id"), F.col("text"), seed)
     sizes = scratch.put(docs.select("source", size.alias("size"), draw.alias("draw")), "sizes")
-    plan = scratch.put(repetitions(sizes, source_targets(sizes, **targets)), "plan")
+    plan = scratch.put(repetitions(sizes, source_targets(sizes, scratch, **targets), scratch), "plan")
     row = docs.select(F.struct("*").alias("_row"), "doc_id", "source", "text")  # any other column may clash
     taken = with_copies(row, plan, draw).filter("copies > 0")
     return taken.select("_row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
