@@ -210,6 +210,26 @@ def test_surrogates_of_odd_rows(spark):
     assert surrogates.replace_entities(empty_frame(spark)).count() == 0
 
 
+def test_the_cheap_pattern_spares_no_entity(spark):
+    blanks = [" ", "\u00a0", "\u202f", "\u2009"]
+    forms = [a + dot for forms in surrogates.ADDRESS.values() for a in forms for dot in ("", ".")]
+    found = [f"{a}{b}Dupont" for a in forms for b in blanks] + [
+        "a@b.de", "+123456", "+12 (3) 45 67", "(275) 555-5927", "275.555.5927", "1.2.3.4", "123-45-6789", "4" * 13, "AB12CDEFGHIJKLMN",
+        "GB82 WEST 1234 5698 7654 32"]
+    texts = spark.createDataFrame([(x,) for x in found], "text string")
+    assert texts.filter(F.col("text").rlike(surrogates.ANY)).count() == len(found)
+    assert texts.filter(~F.col("text").rlike(surrogates.HINT)).collect() == []
+    docs = read_table(spark, SMALL, "documents")
+    assert docs.filter(F.col("text").rlike(surrogates.ANY) & ~F.col("text").rlike(surrogates.HINT)).count() == 0
+
+
+def test_names_after_a_no_break_space(spark):
+    docs = spark.createDataFrame([(1, "Gestern kam Dr.\u00a0Müller."), (2, "Voici Mme\u00a0Dupont.")], "doc_id long, text string")
+    out = {r.doc_id: r.text for r in surrogates.replace_entities(docs, "k").collect()}
+    assert re.fullmatch("Gestern kam Dr\\.\u00a0[A-Z][a-z]+\\.", out[1]) and "Müller" not in out[1]
+    assert re.fullmatch("Voici Mme\u00a0[A-Z][a-z]+\\.", out[2]) and "Dupont" not in out[2]
+
+
 # quality ----------------------------------------------------------------------------------
 
 def test_lookup_tables_learn_a_step_and_an_interaction():

@@ -55,6 +55,8 @@ LETTERS = {"latin": "abcdefghijklmnop", "cyrillic": "абвгдежзиклмн
 _WORD = r"[\p{L}\p{N}]"
 _BEFORE = rf"(?<!{_WORD})"
 _NAME = r"\p{Lu}[\p{Ll}'’-]+"
+_GAP = r"\h"  # any blank within a line, the no-break ones too
+_FORM = "(?:" + "|".join(a for g in ADDRESS.values() for a in g) + ")"
 PATTERNS = {
     "mail": rf"(?<![\p{{L}}\p{{N}}._%+-])[\p{{L}}\p{{N}}._%+-]++@(?:[\p{{L}}\p{{N}}-]+\.)+\p{{L}}{{2,}}",
     "iban": rf"{_BEFORE}[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?(?!{_WORD})",
@@ -66,10 +68,11 @@ PATTERNS = {
         rf"|(?<![\p{{L}}\p{{N}}+])\+\d{{1,3}}[ .-]?\(?\d{{1,4}}\)?(?:[ .-]?\d{{2,4}}){{2,4}}(?!\d)"
         rf"|{_BEFORE}\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}(?!\d)|{_BEFORE}\d{{3}}[ .-]\d{{3}}[ .-]\d{{4}}(?!\d)"
     ),
-    "name": rf"{_BEFORE}(?:{'|'.join(a for g in ADDRESS.values() for a in g)})\.?[  ]{_NAME}(?: {_NAME})?",
+    "name": rf"{_BEFORE}{_FORM}\.?{_GAP}{_NAME}(?:{_GAP}{_NAME})?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-HINT = r"[@]|\d[\d.() -]{6}|" + "|".join(f"{a}\\.? " for g in ADDRESS.values() for a in g)
+# A part of whatever ANY matches: mail, numbers, short phone numbers, an IBAN of letters, names.
+HINT = rf"[@]|\d[\d.() -]{{6}}|\+\d[\d.() -]{{5}}|[A-Z]{{2}}\d{{2}} ?[A-Z0-9]{{4}}|{_FORM}\.?{_GAP}"
 DIGIT_KINDS = ("ssn", "card", "phone")
 
 
@@ -87,7 +90,7 @@ def _kind(written: Column) -> Column:
 def _gender(written: Column) -> Column:
     pick = F.lit("n")
     for gender, forms in ADDRESS.items():
-        pick = F.when(written.rlike(f"^(?:{'|'.join(forms)})\\.?[  ]"), gender).otherwise(pick)
+        pick = F.when(written.rlike(f"^(?:{'|'.join(forms)})\\.?{_GAP}"), gender).otherwise(pick)
     return pick
 
 
@@ -103,7 +106,7 @@ def units(written: Column) -> Column:
     def unit(k: Column, n: Column) -> Column:
         return F.struct(k.alias("kind"), n.alias("norm"))
 
-    tokens = F.split(F.lower(F.regexp_replace(written, r"^\S+?\.?[  ]", "")), " ")
+    tokens = F.split(F.lower(F.regexp_replace(written, rf"^{_FORM}\.?{_GAP}", "")), _GAP)
     given = unit(F.concat(F.lit("given_"), _gender(written)), F.get(tokens, F.lit(0)))
     surname = unit(F.lit("surname"), F.element_at(tokens, -1))
     return (
@@ -217,7 +220,7 @@ def _in_format(written: Column, kind: Column, norms: Column, found: Column) -> C
         .otherwise(F.struct(F.concat(a["text"], c).alias("text"), a["n"].alias("n"))),
         lambda a: a["text"],
     )
-    name = F.concat(F.regexp_extract(written, r"^(\S+?\.?[  ])", 1), F.array_join(found, " "))
+    name = F.concat(F.regexp_extract(written, rf"^{_FORM}\.?{_GAP}", 0), F.array_join(found, " "))
     spaced = F.aggregate(
         F.split(written, ""), F.struct(F.lit("").alias("text"), F.lit(0).alias("n")),
         lambda a, c: F.when(c == " ", F.struct(F.concat(a["text"], c).alias("text"), a["n"].alias("n"))).otherwise(
