@@ -230,6 +230,32 @@ def test_names_after_a_no_break_space(spark):
     assert re.fullmatch("Voici Mme\u00a0[A-Z][a-z]+\\.", out[2]) and "Dupont" not in out[2]
 
 
+def test_whole_names_are_replaced(spark):
+    names = {
+        "Mr. O'Brien": "O'Brien O’Brien", "Mrs. O’Neill's": "O'Neill", "Mr. McDonald": "McDonald McDONALD", "Mr. McDONALD": "McDonald",
+        "Mrs. Anne-Marie": "Anne-Marie", "Mrs. Anne-Marie Smith-Jones": "Smith-Jones", "Dr. Martin Luther King": "King King's",
+        "Mr. J. Smith": "Smith", "Mr. J.R.R. Tolkien": "Tolkien", "Mr. J.-P. D'Arcy": "D'Arcy", "Dr. Martin L. King Jr.": "King",
+        "Mr. Harry S Truman": "Truman", "Prof. Dr.\u00a0Anna\u00a0Mu\u0308ller": "Mu\u0308ller", "Mr. SMITH": "Smith", "Herr Weiß Frau Groß": "Weiß Groß"}
+    docs = spark.createDataFrame([(i, f"{n} went, {again} too.") for i, (n, again) in enumerate(names.items())], "doc_id long, text string")
+    out = {r.doc_id: r.text for r in surrogates.replace_entities(docs, "k").collect()}
+    for i, (name, again) in enumerate(names.items()):
+        left = re.findall(r"[^\W\d_]{2,}", name + " " + again)
+        kept = {"Mr", "Mrs", "Dr", "Prof", "Herr", "Frau", "Jr"}
+        assert not set(re.findall(r"[^\W\d_]{2,}", out[i])) & (set(left) - kept), (name, out[i])
+        assert out[i].endswith(" too.") and " went, " in out[i], out[i]
+    at = list(names)
+    m = re.fullmatch(r"Mr\. (\w+) went, (\w+) (\w+) too\.", out[at.index("Mr. O'Brien")])
+    assert m and m[1] == m[2] == m[3]
+    m = re.fullmatch(r"Dr\. \w+ \w+ (\w+) went, (\w+) (\w+)'s too\.", out[at.index("Dr. Martin Luther King")])
+    assert m and m[1] == m[2] == m[3]
+    m = re.fullmatch(r"Mr\. ([A-Z])\. (\w+) went, (\w+) too\.", out[at.index("Mr. J. Smith")])
+    assert m and m[1] != "J" and m[2] == m[3]
+    assert re.fullmatch(r"Mr\. ([A-Z])\.([A-Z])\.\2\. \w+ went, \w+ too\.", out[at.index("Mr. J.R.R. Tolkien")])
+    assert re.fullmatch(r"Dr\. \w+ [A-Z]\. \w+ Jr\. went, \w+ too\.", out[at.index("Dr. Martin L. King Jr.")])
+    assert re.fullmatch(r"Prof\. Dr\.\u00a0\w+\u00a0(\w+) went, \1 too\.", out[at.index("Prof. Dr.\u00a0Anna\u00a0Mu\u0308ller")])
+    assert re.fullmatch(r"Herr (\w+) Frau (\w+) went, \1 \2 too\.", out[at.index("Herr Weiß Frau Groß")])
+
+
 # quality ----------------------------------------------------------------------------------
 
 def test_lookup_tables_learn_a_step_and_an_interaction():

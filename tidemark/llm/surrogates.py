@@ -10,7 +10,11 @@
    drawn again with a higher attempt for all but the first, until all are distinct.
 4. Only texts that hold entities move: they are cut at the matches and put together with
    the surrogates in the format of each place. A surname is also replaced where it
-   stands alone in the same text.
+   stands alone with a capital in the same text.
+
+A name is any number of parts and initials after one or more forms of address. An initial
+gets another by a keyed order of its alphabet. The last part is the surname; a part in
+small letters ('von') ends the name or keeps it from being found.
 
 All steps are DataFrame functions, joins and grouped counts; an entity met in very many
 texts is one row of the table of surrogates.
@@ -22,6 +26,8 @@ whatever their names, are kept.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark.llm.rows import row_key
@@ -51,12 +57,24 @@ SYLLABLES = {
     "greek": "βα βε βο δα δε δο κα κε κο λα λε λο μα με μο να".split(),
 }
 LETTERS = {"latin": "abcdefghijklmnop", "cyrillic": "абвгдежзиклмнопр", "greek": "αβγδεζηθικλμνξοπ"}
+INITIALS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЭЮЯ", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ")
 
 _WORD = r"[\p{L}\p{N}]"
 _BEFORE = rf"(?<!{_WORD})"
-_NAME = r"\p{Lu}[\p{Ll}'’-]+"
 _GAP = r"\h"  # any blank within a line, the no-break ones too
 _FORM = "(?:" + "|".join(a for g in ADDRESS.values() for a in g) + ")"
+_FORMS = rf"(?:{_FORM}\.?{_GAP})+"
+# A name part has a capital and two letters at least, and runs to the last letter, over ', ’ and -
+# but not over a possessive 's. Jr, II and the next form of address are no parts.
+_LETTER = r"[\p{L}\p{M}]"
+_JOIN = rf"(?:-|['’](?!s(?!{_LETTER})))"
+_PART = (
+    rf"(?!(?:{_FORM}|Jr|II|III|IV)(?!{_LETTER}))(?=\p{{Lu}}(?:{_LETTER}|{_JOIN}\p{{L}}))"
+    rf"\p{{Lu}}{_LETTER}*+(?:{_JOIN}{_LETTER}++)*+"
+)
+_INITIALS = rf"(?:\p{{Lu}}\.(?:-?\p{{Lu}}\.)*+{_GAP}?|\p{{Lu}}{_GAP}(?=\p{{Lu}}))*+"
+_NAME = rf"{_INITIALS}{_PART}(?:{_GAP}{_INITIALS}{_PART})*+"
+_TOKEN = rf"((?:(?!{_GAP})[^.])+\.?)({_GAP}?)"
 PATTERNS = {
     "mail": rf"(?<![\p{{L}}\p{{N}}._%+-])[\p{{L}}\p{{N}}._%+-]++@(?:[\p{{L}}\p{{N}}-]+\.)+\p{{L}}{{2,}}",
     "iban": rf"{_BEFORE}[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?(?!{_WORD})",
@@ -68,7 +86,7 @@ PATTERNS = {
         rf"|(?<![\p{{L}}\p{{N}}+])\+\d{{1,3}}[ .-]?\(?\d{{1,4}}\)?(?:[ .-]?\d{{2,4}}){{2,4}}(?!\d)"
         rf"|{_BEFORE}\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}(?!\d)|{_BEFORE}\d{{3}}[ .-]\d{{3}}[ .-]\d{{4}}(?!\d)"
     ),
-    "name": rf"{_BEFORE}{_FORM}\.?{_GAP}{_NAME}(?:{_GAP}{_NAME})?",
+    "name": rf"{_BEFORE}{_FORMS}{_NAME}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # A part of whatever ANY matches: mail, numbers, short phone numbers, an IBAN of letters, names.
@@ -98,19 +116,32 @@ def _script(norm: Column) -> Column:
     return F.when(norm.rlike(r"\p{IsCyrillic}"), "cyrillic").when(norm.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
+def _tokens(written: Column, group: int) -> Column:
+    """Parts of a name without its forms of address (group 1) or the blank after each (group 2)."""
+    return F.regexp_extract_all(F.regexp_replace(written, f"^{_FORMS}", ""), F.lit(_TOKEN), F.lit(group))
+
+
+def _initial(key: str, token: Column) -> Column:
+    """Another letter of the script for each capital, in a keyed order, so that no two fall together."""
+    rings = [sorted(letters, key=lambda c: hashlib.sha256(f"{key}\u0001{c}".encode()).digest()) for letters in INITIALS]
+    known = F.translate(token, "".join(map("".join, rings)), "".join("".join(r[1:] + r[:1]) for r in rings))
+    return F.when(token.rlike(f"[{''.join(INITIALS)}]"), known).otherwise(F.regexp_replace(token, r"\p{Lu}", "X"))
+
+
 def units(written: Column) -> Column:
-    """array of (kind, norm): what of an entity is looked up. A name has its given name
-    (by gender) and its surname; all others are one unit."""
+    """array of (kind, norm): what of an entity is looked up. A name has its given names
+    (by gender), initials and its surname, in order; all others are one unit."""
     kind = _kind(written)
 
     def unit(k: Column, n: Column) -> Column:
         return F.struct(k.alias("kind"), n.alias("norm"))
 
-    tokens = F.split(F.lower(F.regexp_replace(written, rf"^{_FORM}\.?{_GAP}", "")), _GAP)
-    given = unit(F.concat(F.lit("given_"), _gender(written)), F.get(tokens, F.lit(0)))
-    surname = unit(F.lit("surname"), F.element_at(tokens, -1))
+    given = F.concat(F.lit("given_"), _gender(written))
+    name = let(_tokens(written, 1), lambda tokens: F.transform(tokens, lambda t, i: unit(
+        F.when(t.rlike(r"^-?\p{Lu}\.?$"), "initial").when(i == F.size(tokens) - 1, "surname").otherwise(given),
+        F.lower(F.translate(t, "’", "'")))))
     return (
-        F.when(kind == "name", F.when(F.size(tokens) > 1, F.array(given, surname)).otherwise(F.array(surname)))
+        F.when(kind == "name", name)
         .when(kind.isin(*DIGIT_KINDS), F.array(unit(kind, F.regexp_replace(written, r"\D", ""))))
         .when(kind == "iban", F.array(unit(kind, F.regexp_replace(written, " ", ""))))
         .otherwise(F.array(unit(kind, F.lower(written))))
@@ -210,7 +241,7 @@ def surrogate_table(entities: DataFrame, key: str, scratch: Scratch) -> DataFram
             return table.select("kind", "norm", "surrogate")
 
 
-def _in_format(written: Column, kind: Column, norms: Column, found: Column) -> Column:
+def _in_format(written: Column, kind: Column, key: str, found: Column) -> Column:
     """``found`` surrogates of an entity's units in the format in which it is written."""
     one = F.get(found, F.lit(0))
     digits = F.aggregate(
@@ -220,7 +251,11 @@ def _in_format(written: Column, kind: Column, norms: Column, found: Column) -> C
         .otherwise(F.struct(F.concat(a["text"], c).alias("text"), a["n"].alias("n"))),
         lambda a: a["text"],
     )
-    name = F.concat(F.regexp_extract(written, rf"^{_FORM}\.?{_GAP}", 0), F.array_join(found, " "))
+    gaps = _tokens(written, 2)
+    parts = F.transform(_tokens(written, 1), lambda t, i: F.concat(
+        F.when(F.get(found, i).isNull(), _initial(key, t)).when(t == F.upper(t), F.upper(F.get(found, i))).otherwise(F.get(found, i)),
+        F.get(gaps, i)))
+    name = F.concat(F.regexp_extract(written, f"^{_FORMS}", 0), F.array_join(parts, ""))
     spaced = F.aggregate(
         F.split(written, ""), F.struct(F.lit("").alias("text"), F.lit(0).alias("n")),
         lambda a, c: F.when(c == " ", F.struct(F.concat(a["text"], c).alias("text"), a["n"].alias("n"))).otherwise(
@@ -246,7 +281,7 @@ def replace_entities(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
         "holds",
     )
     met = holds.select("_key", F.explode(F.array_distinct(F.flatten(F.col("_units.units")))).alias("u")).select("_key", "u.*").distinct()
-    met = scratch.put(met, "met")
+    met = scratch.put(met.filter(F.col("kind") != "initial"), "met")
     table = surrogate_table(met.select("kind", "norm"), key, scratch)
     per_row = met.join(table, ["kind", "norm"]).groupBy("_key").agg(
         F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "kind", "norm"), "surrogate"))).alias("_map")
@@ -257,12 +292,13 @@ def replace_entities(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     def put_together(u: Column, m: Column) -> Column:
         made = F.transform(u, lambda e: F.struct(
             e["kind"].alias("kind"),
-            _in_format(e["written"], e["kind"], e["units"]["norm"], F.transform(e["units"], lambda x: look(x, m))).alias("surrogate")))
+            _in_format(e["written"], e["kind"], key, F.transform(e["units"], lambda x: look(x, m))).alias("surrogate")))
         alone = F.array_distinct(F.filter(F.flatten(u["units"]), lambda x: x["kind"] == "surname"))
         gaps = F.split(F.col("text"), ANY, -1)
         bare = F.transform(gaps, lambda g: F.when(F.size(alone) == 0, g).otherwise(F.aggregate(
             alone, g, lambda t, n: F.regexp_replace(
-                t, F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), F.initcap(n["norm"]), F.lit(r"\E(?![\p{L}\p{N}])")), look(n, m)))))
+                t, F.concat(F.lit(r"(?<![\p{L}\p{N}])(?=\p{Lu})(?iu:\Q"), F.replace(n["norm"], F.lit("'"), F.lit(r"\E['’]\Q")),
+                            F.lit(r"\E)(?![\p{L}\p{M}\p{N}])")), look(n, m)))))
         return let(F.struct(made.alias("made"), bare.alias("gaps")), lambda p: F.struct(
             F.array_join(F.transform(p["gaps"], lambda g, i: F.concat(g, F.coalesce(F.get(p["made"], i)["surrogate"], F.lit("")))), "").alias("text"),
             p["made"].alias("entities")))
