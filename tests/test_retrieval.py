@@ -73,6 +73,20 @@ def test_cells_find_most_and_only_real_neighbours(frames, vectors, monkeypatch):
     assert lists(everything) == want
 
 
+def test_tuned_probes_keep_recall_as_cells_grow(spark):
+    rng = np.random.default_rng(8)
+    users, items = rng.normal(size=(40, 32)), rng.normal(size=(2500, 32))
+    frames = table(spark, "user_id", enumerate(users)), table(spark, "movie_id", enumerate(items))
+    exact = retrieval.top_k_exact(*frames, 5)
+    assert lists(exact) == brute(users, items, 5)
+    row = retrieval.recall_of(retrieval.top_k_by_cells(*frames, 5), exact).first()
+    assert (row["users"], row["wanted"]) == (40, 200) and row["recall"] >= 0.9
+    centres = retrieval.fit_cells(frames[1])
+    fixed = retrieval.recall_of(retrieval.top_k_by_cells(*frames, 5, retrieval.PROBES, centres), exact).first()["recall"]
+    probes, reached = retrieval.tuned_probes(*frames, 5, centres)
+    assert fixed < 0.9 <= reached and retrieval.PROBES < probes < len(centres) == 50
+
+
 def test_hash_buckets_find_the_own_point(frames, vectors, monkeypatch):
     small_blocks(monkeypatch)
     users, items = frames

@@ -22,7 +22,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from tidemark.functions.arrow import as_lists, as_matrix
 from tidemark.session import stage
 
-PROBES = 10  # fixed value: cells searched per user
+PROBES = 10  # fixed value: cells searched per user around given centres
+RECALL = 0.9  # fixed value: share of the nearest that a search of fitted cells has to find
+MARGIN = 0.03  # fixed value: added to it on the sample, which other users may fall short of
+SAMPLE_USERS = 256  # users on whom probes are tuned, against the exact search
 
 BLOCK_ITEMS = 4096
 CHUNK_USERS = 1024
@@ -197,10 +200,46 @@ def _check_k(k: int) -> None:
         raise ValueError("k must be positive")
 
 
-def top_k_by_cells(users: DataFrame, items: DataFrame, k: int, probes: int = PROBES, centres: np.ndarray | None = None) -> DataFrame:
-    """Approximate top k: only the ``probes`` nearest cells of each user are searched."""
+def tuned_probes(users: DataFrame, items: DataFrame, k: int, centres: np.ndarray, recall: float = RECALL + MARGIN) -> tuple[int, float]:
+    """(probes, their recall on a sample of users): the fewest cells that hold the share
+    ``recall`` of the k nearest.
+
+    For each of ``SAMPLE_USERS`` users in hash order, the place in the user's order of
+    cells is found for the cell of every item that the exact search returns; the probes
+    are a quantile of these places, so they grow with the number of cells.
+    """
+    sample = users.select("user_id", "vector").orderBy(F.xxhash64("user_id"), "user_id").limit(SAMPLE_USERS)
+    sample = stage(sample, "sample-users")
+    true = top_k_exact(sample, items, k, centres=centres).select("user_id", "movie_id")
+    celled = assign_cells(items.select("movie_id", "vector"), centres).select("movie_id", "cell")
+    ordered = _with_cell_order(sample, centres).select("user_id", F.posexplode("_order.cell").alias("at", "cell"))
+    places = true.join(celled, "movie_id").join(ordered, ["user_id", "cell"]).groupBy("at").agg(F.count("*").alias("n")).orderBy("at").collect()
+    total, found = sum(r["n"] for r in places), 0  # a row per place at most, so no more than cells
+    for r in places:
+        found += r["n"]
+        if found >= recall * total:
+            return r["at"] + 1, found / total
+    return len(centres), 1.0
+
+
+def recall_of(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """One row (users, wanted, found, recall): the share of the ``exact`` (user_id, movie_id) that was ``found``."""
+    hits = exact.select("user_id", "movie_id").join(
+        found.select("user_id", "movie_id", F.lit(1).alias("_hit")), ["user_id", "movie_id"], "left")
+    return hits.agg(
+        F.count_distinct("user_id").alias("users"), F.count("*").alias("wanted"), F.count("_hit").alias("found"),
+        F.try_divide(F.count("_hit"), F.count("*")).alias("recall"))
+
+
+def top_k_by_cells(users: DataFrame, items: DataFrame, k: int, probes: int | None = None, centres: np.ndarray | None = None) -> DataFrame:
+    """Approximate top k: only the ``probes`` nearest cells of each user are searched.
+
+    Without ``probes`` their number is tuned on a sample of the users until recall is
+    ``RECALL``.
+    """
     _check_k(k)
     centres = fit_cells(items) if centres is None else centres
+    probes = tuned_probes(users, items, k, centres)[0] if probes is None else probes
     celled = assign_cells(items.select("movie_id", "vector"), centres)
     ordered = _with_cell_order(users.select("user_id", "vector"), centres)
     wanted = ordered.select("user_id", "vector", F.explode(F.slice("_order", 1, probes)["cell"]).alias("cell"))

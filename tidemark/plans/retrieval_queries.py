@@ -63,7 +63,16 @@ def knn_ivf(t: Tables) -> DataFrame:
     """Cells around given centres, so that the choice of cells can be checked too."""
     users, items = sized_vectors(t)
     given = items.filter(F.col("movie_id") < CENTRES).orderBy("movie_id").select("vector").toArrow()
-    return rounded(retrieval.top_k_by_cells(users, items, K, centres=as_matrix(given.column("vector"))))
+    return rounded(retrieval.top_k_by_cells(users, items, K, retrieval.PROBES, as_matrix(given.column("vector"))))
+
+
+@query("knn_ivf_fitted")
+def knn_ivf_fitted(t: Tables) -> DataFrame:
+    """Fitted cells and tuned probes: each user's list, with the recall over all users."""
+    users, items = sized_vectors(t)
+    found = retrieval.top_k_by_cells(users, items, K)
+    recall = retrieval.recall_of(found, retrieval.top_k_exact(users, items, K)).select(F.round("recall", 6).alias("recall"))
+    return rounded(found).crossJoin(F.broadcast(recall))  # one row
 
 
 @query("knn_lsh")
