@@ -56,8 +56,8 @@ def line_fault(line: Column) -> Column:
 
 def cleaned_lines(text: Column) -> Column:
     """struct(text, n_punctuation, n_navigation, n_boilerplate): the text without its
-    failing lines and how many failed each rule. A line equal to an earlier one of five
-    words and more counts as boilerplate, but stays in the text once."""
+    failing lines and how many failed each rule. Each line is judged by itself: one that
+    repeats an earlier line fails no rule by that."""
     lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
     judged = F.transform(lines, lambda x: F.struct(x.alias("line"), line_fault(x).alias("fault")))
 
