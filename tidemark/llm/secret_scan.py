@@ -32,7 +32,7 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
+MIN_VALUE, MIN_ACCESS, MIN_HEX, MIN_RUN = 6, 20, 24, 20
 MIN_DISTINCT = 8
 CUES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
@@ -147,8 +147,11 @@ def spans_of(text: str, model: MarkovPair) -> list[tuple[int, int, int]]:
         found += [(start + m.start(), 2, start + m.end()) for m in HEX.finditer(text[start:end]) if m.end() - m.start() >= MIN_HEX]
     taken = sorted((s, e) for s, _, e in found)
     for start, end in runs:
-        if not any(s < end and start < e for s, e in taken) and model.is_secret(text[start:end]):
-            found.append((start, 3, end))
+        at = start
+        for s, e in [*((s, e) for s, e in taken if s < end and start < e), (end, end)]:
+            if s - at >= MIN_RUN and model.is_secret(text[at:s]):  # what lies beside other spans is judged by itself
+                found.append((at, 3, s))
+            at = max(at, e)
     return sorted(found)
 
 
