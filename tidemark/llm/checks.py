@@ -146,10 +146,54 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id =
 FROM d LEFT JOIN sizes USING (doc_id) JOIN named ON id = d.doc_id
 """
 
+# crc32 by half bytes: the table of its 16 steps, from the rule
+_HALVES = [0] * 16
+for _i in range(16):
+    _h = _i
+    for _ in range(4):
+        _h = (_h >> 1) ^ (0xEDB88320 if _h & 1 else 0)
+    _HALVES[_i] = _h
+
+VARIANTS = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, lower_run AS run, count(*) AS c, coalesce(doc_id::VARCHAR, '') || ':' || lower_run AS named
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[a-z\u00C0-\u00FF]+')) AS lower_run
+    FROM documents WHERE text IS NOT NULL)
+  GROUP BY ALL),
+halves AS (
+  SELECT run, c, list_transform(range(0, length(hex(named))::BIGINT), lambda i:
+    instr('123456789ABCDEF', substr(hex(named), (CASE WHEN i % 2 = 0 THEN i + 2 ELSE i END)::INT, 1))::BIGINT) AS hs
+  FROM runs),
+hashed AS (
+  SELECT run, c, xor(list_reduce(list_prepend(4294967295::BIGINT, hs), lambda h, x:
+    xor(h >> 4, {_HALVES}[(xor(h, x) & 15) + 1])), 4294967295::BIGINT) AS h
+  FROM halves),
+damaged AS (
+  SELECT CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, c FROM hashed),
+words AS (SELECT word, sum(c)::BIGINT AS n FROM damaged WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+cut AS (SELECT word, i, word[:i - 1] || word[i + 1:] AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cut c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word FROM cut c JOIN words w ON c.rest = w.word),
+best AS (
+  SELECT a AS word, count(*) AS n_near, min({{'less': -w.n, 'form': b}}) AS best FROM pairs JOIN words w ON w.word = b GROUP BY a),
+formed AS (
+  SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.less >= 2 * n THEN best.form END AS form,
+    CASE WHEN -best.less >= 2 * n THEN -best.less END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+climb AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT c.word, f.form FROM climb c JOIN formed f ON f.word = c.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n
+FROM formed f JOIN climb c USING (word) JOIN formed last ON last.word = c.at AND last.form IS NULL
+"""
+
 CHECKS: dict[str, str] = {
     "op3_line_rules": LINE_RULES,
     "op5_water_filling_mix": MIX,
     "op8_vantage_point_search": NEAREST,
     "op9_seed_extend": REPEATS,
     "op10_coordinate_join": NEAR,
+    "op12_pivotal_grams": VARIANTS,
 }

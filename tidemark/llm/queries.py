@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import line_rules, mixing, near_dedup, packing, quality_gam, secret_scan, substring_dedup, surrogates, token_counts, vp_search
+from tidemark.llm import (
+    feast_whitening, license_notices, line_rules, mixing, near_dedup, packing, quality_gam, secret_scan, spelling_variants,
+    substring_dedup, surrogates, token_counts, vp_search,
+)
 from tidemark.llm.text import read_table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +104,33 @@ def op9_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_coordinate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op11_fuzzy_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases and fuzzy license notices of every document."""
+    found = license_notices.find_notices(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base, words = F.col("licenses.base"), F.col("licenses.base.word")
+    joined = lambda labels: F.concat_ws(",", F.array_sort(F.array_distinct(labels)))
+    return found.select(
+        "doc_id", "licenses.n_words", F.size(base).cast("bigint").alias("n_base"), F.array_min(words).alias("first_word"),
+        F.array_max(words).alias("last_word"), joined(base["label"]).alias("base_labels"),
+        joined(F.concat(base["label"], F.col("licenses.notices.label"))).alias("labels"), "licenses.score",
+    )
+
+
+@query
+def op12_pivotal_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among all words of all documents, and the forms they belong to."""
+    return spelling_variants.variant_groups(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the 32 strongest components, whitened."""
+    white = feast_whitening.whiten(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    each = white.select("*", F.posexplode("whitened").alias("at", "one"))
+    return each.select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", F.col("one").alias("whitened"),
+        F.get("explained", F.col("at")).alias("explained"), "identity_error",
+    )
