@@ -20,8 +20,10 @@ All steps are DataFrame functions, joins and grouped counts; an entity met in ve
 texts is one row of the table of surrogates.
 
 Defined cases: a null text stays null and holds nothing; rows that repeat get equal
-results; very long texts are read whole; an empty table gives no rows; other columns,
-whatever their names, are kept.
+results; very long texts are read whole; an empty table gives no rows; an input column
+named ``entities`` is replaced, all others, whatever their names, are kept. A name has at
+most ``MOST_FORMS`` forms of address (of more, the last ones) and ``MOST_PARTS`` parts;
+capitalised words after those are no part of it.
 """
 
 from __future__ import annotations
@@ -59,11 +61,13 @@ SYLLABLES = {
 LETTERS = {"latin": "abcdefghijklmnop", "cyrillic": "абвгдежзиклмнопр", "greek": "αβγδεζηθικλμνξοπ"}
 INITIALS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЭЮЯ", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ")
 
+MOST_PARTS, MOST_FORMS = 8, 4  # parts of a name, initials before each not counted; forms of address before it
+
 _WORD = r"[\p{L}\p{N}]"
 _BEFORE = rf"(?<!{_WORD})"
 _GAP = r"\h"  # any blank within a line, the no-break ones too
 _FORM = "(?:" + "|".join(a for g in ADDRESS.values() for a in g) + ")"
-_FORMS = rf"(?:{_FORM}\.?{_GAP})+"
+_FORMS = rf"(?:{_FORM}\.?{_GAP}){{1,{MOST_FORMS}}}+"
 # A name part has a capital and two letters at least, and runs to the last letter, over ', ’ and -
 # but not over a possessive 's. Jr, II and the next form of address are no parts.
 _LETTER = r"[\p{L}\p{M}]"
@@ -72,11 +76,11 @@ _PART = (
     rf"(?!(?:{_FORM}|Jr|II|III|IV)(?!{_LETTER}))(?=\p{{Lu}}(?:{_LETTER}|{_JOIN}\p{{L}}))"
     rf"\p{{Lu}}{_LETTER}*+(?:{_JOIN}{_LETTER}++)*+"
 )
-_INITIALS = rf"(?:\p{{Lu}}\.(?:-?\p{{Lu}}\.)*+{_GAP}?|\p{{Lu}}{_GAP}(?=\p{{Lu}}))*+"
-_NAME = rf"{_INITIALS}{_PART}(?:{_GAP}{_INITIALS}{_PART})*+"
-_TOKEN = rf"((?:(?!{_GAP})[^.])+\.?)({_GAP}?)"
+_INITIALS = rf"(?:\p{{Lu}}\.(?:-?\p{{Lu}}\.){{0,3}}+{_GAP}?|\p{{Lu}}{_GAP}(?=\p{{Lu}})){{0,{MOST_PARTS}}}+"
+_NAME = rf"{_INITIALS}{_PART}(?:{_GAP}{_INITIALS}{_PART}){{0,{MOST_PARTS - 1}}}+"
+_TOKEN = rf"([^.{_GAP}]+\.?)({_GAP}?)"
 PATTERNS = {
-    "mail": rf"(?<![\p{{L}}\p{{N}}._%+-])[\p{{L}}\p{{N}}._%+-]++@(?:[\p{{L}}\p{{N}}-]+\.)+\p{{L}}{{2,}}",
+    "mail": rf"(?<![\p{{L}}\p{{N}}._%+-])[\p{{L}}\p{{N}}._%+-]++@[\p{{L}}\p{{N}}-][\p{{L}}\p{{N}}.-]*\.\p{{L}}{{2,}}",
     "iban": rf"{_BEFORE}[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?(?!{_WORD})",
     "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\p{L}\p{N}]|\.\d)",
     "ssn": rf"{_BEFORE}\d{{3}}-\d{{2}}-\d{{4}}(?!{_WORD})",
@@ -295,10 +299,10 @@ def replace_entities(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
             _in_format(e["written"], e["kind"], key, F.transform(e["units"], lambda x: look(x, m))).alias("surrogate")))
         alone = F.array_distinct(F.filter(F.flatten(u["units"]), lambda x: x["kind"] == "surname"))
         gaps = F.split(F.col("text"), ANY, -1)
-        bare = F.transform(gaps, lambda g: F.when(F.size(alone) == 0, g).otherwise(F.aggregate(
-            alone, g, lambda t, n: F.regexp_replace(
+        bare = let(alone, lambda names: F.transform(gaps, lambda g: F.when(F.size(names) == 0, g).otherwise(F.aggregate(
+            names, g, lambda t, n: F.regexp_replace(
                 t, F.concat(F.lit(r"(?<![\p{L}\p{N}])(?=\p{Lu})(?iu:\Q"), F.replace(n["norm"], F.lit("'"), F.lit(r"\E['’]\Q")),
-                            F.lit(r"\E)(?![\p{L}\p{M}\p{N}])")), look(n, m)))))
+                            F.lit(r"\E)(?![\p{L}\p{M}\p{N}])")), look(n, m))))))
         return let(F.struct(made.alias("made"), bare.alias("gaps")), lambda p: F.struct(
             F.array_join(F.transform(p["gaps"], lambda g, i: F.concat(g, F.coalesce(F.get(p["made"], i)["surrogate"], F.lit("")))), "").alias("text"),
             p["made"].alias("entities")))
