@@ -240,7 +240,8 @@ def _cross_pairs(posts: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFr
 
 
 def link(docs: DataFrame) -> tuple[DataFrame, Scratch]:
-    """(doc_id, s1, s2, n_shingles, component_id, kept) per row of ``docs`` (doc_id, text)."""
+    """(doc_id, s1, s2, n_shingles, comp, component_id, kept) per row of ``docs`` (doc_id, text);
+    comp numbers the components, null for texts without words."""
     scratch = Scratch(docs.sparkSession, "near")
     prints = scratch.put(_fingerprints(docs), "prints")
     classes = scratch.put(
@@ -272,7 +273,7 @@ def link(docs: DataFrame) -> tuple[DataFrame, Scratch]:
         labels = components(links.unionByName(more), scratch, "second")
     named = scratch.put(_named(classes, labels), "named")
     out = prints.select("doc_id", "n_shingles", "s1", "s2").join(named, ["s1", "s2"], "left").select(
-        "doc_id", "s1", "s2", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "doc_id", "s1", "s2", "n_shingles", "comp", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     out = scratch.put(out.withColumn("kept", kept), "out")
@@ -281,12 +282,12 @@ def link(docs: DataFrame) -> tuple[DataFrame, Scratch]:
 
 
 def _named(classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """(s1, s2, component_id): the smallest document id of each class's component."""
+    """(s1, s2, comp, component_id): each class's component and its smallest document id."""
     placed = classes.select("s1", "s2", "doc_id", "cid").join(labels.withColumnRenamed("node", "cid"), "cid", "left").select(
         "s1", "s2", "doc_id", F.coalesce("comp", "cid").alias("comp")
     )
     least = placed.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(least, "comp").select("s1", "s2", "component_id")
+    return placed.join(least, "comp").select("s1", "s2", "comp", "component_id")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -295,14 +296,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: the one with its smallest
-    id, or one of them where rows repeat. Texts without words all stay."""
+    """``docs`` with one row of each component of near-duplicates: the first by (doc_id,
+    digest of the set), null ids last, and one of them where rows repeat. Ids may be null
+    or stand for several texts. Texts without words all stay."""
     out, _ = link(docs)
-    rows = out.groupBy("doc_id", "s1", "s2").agg(
-        F.count("*").alias("n"), F.min("kept").alias("kept"), F.max("n_shingles").alias("size")
-    )
-    odd = rows.filter("NOT kept OR (n > 1 AND size > 0)").select(
-        F.col("doc_id").alias("_id"), F.col("s1").alias("_t1"), F.col("s2").alias("_t2"), F.col("kept").alias("_stays")
+    rows = out.groupBy("doc_id", "s1", "s2").agg(F.count("*").alias("n"), F.first("comp").alias("comp"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "s1", "s2")
+    first = rows.filter("comp IS NOT NULL").groupBy("comp").agg(F.min(place).alias("first"))
+    stays = F.col("first").eqNullSafe(place)
+    odd = rows.join(first, "comp").filter(~stays | (F.col("n") > 1)).select(
+        F.col("doc_id").alias("_id"), F.col("s1").alias("_t1"), F.col("s2").alias("_t2"), stays.alias("_stays")
     )
     d1, d2 = unused(docs, "_s1"), unused(docs, "_s2")
     marked = _with_digests(docs, d1, d2).select(F.struct(*docs.columns).alias("_row"), "doc_id", F.col(d1).alias("_s1"), F.col(d2).alias("_s2"))
