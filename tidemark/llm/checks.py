@@ -75,19 +75,19 @@ plan AS (
 missing AS (SELECT *, target - whole * source_size AS need FROM plan),
 run AS (
   SELECT s.*, m.source_size, m.target, m.whole, m.need,
-    sum(size) OVER (PARTITION BY s.source ORDER BY draw, size ROWS UNBOUNDED PRECEDING) AS upto
-  FROM sizes s JOIN missing m ON s.source IS NOT DISTINCT FROM m.source),
+    sum(size) OVER o AS upto, row_number() OVER o AS place
+  FROM sizes s JOIN missing m ON s.source IS NOT DISTINCT FROM m.source
+  WINDOW o AS (PARTITION BY s.source ORDER BY draw, size ROWS UNBOUNDED PRECEDING)),
 last AS (
-  SELECT source, max(draw) FILTER (upto <= need) AS last_draw, coalesce(max(upto) FILTER (upto <= need), 0) AS filled
+  SELECT source, coalesce(max(upto) FILTER (upto <= need), 0) AS filled
   FROM run WHERE need > 0 GROUP BY source),
 filler AS (
-  SELECT r.source, arg_min(draw, (abs(size - (need - filled)), draw)) AS fill_draw
+  SELECT r.source, arg_min(place, (abs(size - (need - filled)), draw, place)) AS fill_place
   FROM run r JOIN last l ON r.source IS NOT DISTINCT FROM l.source
   WHERE need > 0 AND upto > need AND abs(size - (need - filled)) < need - filled GROUP BY r.source),
 taken AS (
-  SELECT r.*, whole + CASE WHEN draw <= last_draw OR draw = fill_draw THEN 1 ELSE 0 END AS n
-  FROM run r LEFT JOIN last l ON r.source IS NOT DISTINCT FROM l.source
-  LEFT JOIN filler f ON r.source IS NOT DISTINCT FROM f.source)
+  SELECT r.*, whole + CASE WHEN (need > 0 AND upto <= need) OR place = fill_place THEN 1 ELSE 0 END AS n
+  FROM run r LEFT JOIN filler f ON r.source IS NOT DISTINCT FROM f.source)
 SELECT doc_id, size, source_size, target, (size * n)::BIGINT AS taken, n::BIGINT AS copies FROM taken
 """
 

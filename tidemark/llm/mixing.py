@@ -7,14 +7,19 @@ stopped ones are a prefix, so the fixed point needs one running sum and no loop.
 
 A document is then taken ``floor(target / size of source)`` times, and once more if its
 seeded draw does not exceed its source's threshold: the last draw up to which the extra
-words still fit. One more document, the one whose size comes nearest to the gap then
-left, closes most of it. Draws are ordered in range partitions with
+words still fit. Of rows that share that draw (equal id and text) as many are taken as fit.
+One more document, the one whose size comes nearest to the gap then left, closes most of
+it. Draws are ordered in range partitions with
 carried sums: a source that holds most rows is spread over many tasks, and only thin
 rows (source, draw, size) are moved, never texts.
 
 Defined cases: a null text has size 0; a null source is a source of its own, last in
-order; rows that repeat are documents of their own that share one draw; a source
-without words has target 0 and is taken once by nobody; an empty table gives no rows.
+order; rows that repeat are documents of their own that share one draw, and which of them
+are taken goes by a hash of all their columns, so only rows equal throughout are
+interchangeable; a source without words has target 0 and is taken once by nobody; an empty
+table gives no rows; input columns named ``size``, ``source_size``, ``target`` or ``copies``
+are no part of the plan's rows (``mix``), and all are kept in the mix itself
+(``mixed_documents``).
 """
 
 from __future__ import annotations
@@ -90,9 +95,9 @@ def source_targets(
 
 
 def repetitions(sizes: DataFrame, targets: DataFrame, scratch: Scratch) -> DataFrame:
-    """Per source: ``whole`` copies of each document, ``last_draw``, up to which a
-    document is taken once more, and ``fill_draw``, the one taken to close the gap
-    (null: none). ``sizes`` has (source, size, draw)."""
+    """Per source: ``whole`` copies of each document, ``below``, the draw before which each
+    document is taken once more, and ``edges``: draws of which only some rows are taken
+    once more, with their number. ``sizes`` has (source, size, draw)."""
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = targets.withColumn("whole", F.floor(epochs).cast("bigint"))
     plan = scratch.put(plan.withColumn("_missing", F.col("target") - F.col("whole") * F.col("source_size")), "whole")
@@ -103,35 +108,48 @@ def repetitions(sizes: DataFrame, targets: DataFrame, scratch: Scratch) -> DataF
     placed = thin.join(starts, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_mine", F.col("_upto") - F.col("_start"))
     # rows that fit whole, in order of their draws; then the one row that best fills the gap left
     last = scratch.put(placed.filter("_mine <= _missing").groupBy("source").agg(
-        F.max("draw").alias("last_draw"), F.max("_mine").alias("_filled")), "last").withColumnRenamed("source", "_s")
+        F.max("draw").alias("_last"), F.max("_mine").alias("_filled")), "last").withColumnRenamed("source", "_s")
+    found = placed.join(last, F.col("source").eqNullSafe(F.col("_s")), "left")
     off = F.abs(F.col("size") - F.col("_gap"))
-    fillers = (
-        placed.filter("_mine > _missing").join(last, F.col("source").eqNullSafe(F.col("_s")), "left")
-        .withColumn("_gap", F.col("_missing") - F.coalesce("_filled", F.lit(0))).filter(off < F.col("_gap"))
-        .groupBy("source").agg(F.min(F.struct(off.alias("off"), F.col("draw"))).alias("_filler"))
-        .select(F.col("source").alias("_f"), F.col("_filler.draw").alias("fill_draw"))
+    edges = (
+        found.withColumn("_gap", F.col("_missing") - F.coalesce("_filled", F.lit(0))).groupBy("source").agg(
+            F.first("_last").alias("below"),
+            F.count_if((F.col("draw") == F.col("_last")) & (F.col("_mine") <= F.col("_missing"))).alias("_fit"),
+            F.min(F.when((F.col("_mine") > F.col("_missing")) & (off < F.col("_gap")), F.struct(off.alias("off"), F.col("draw")))).alias("_fill"),
+        )
+    ).select(
+        F.col("source").alias("_f"), "below",
+        F.filter(F.array(F.struct(F.col("below").alias("draw"), F.col("_fit").alias("n")), F.struct(F.col("_fill.draw").alias("draw"), F.lit(1).cast("bigint").alias("n"))),
+                 lambda e: e["draw"].isNotNull()).alias("edges"),
     )
-    return (
-        plan.join(last.select("_s", "last_draw"), F.col("source").eqNullSafe(F.col("_s")), "left")
-        .join(fillers, F.col("source").eqNullSafe(F.col("_f")), "left")
-        .select("source", "source_size", "target", "whole", "last_draw", "fill_draw")
-    )
-
-
-def with_copies(docs: DataFrame, plan: DataFrame, draw: Column) -> DataFrame:
-    """``docs`` with source_size, target and copies. ``plan`` has a row per source."""
-    named = plan.select(
-        F.col("source").alias("_source"), F.struct("source_size", "target", "whole", "last_draw", "fill_draw").alias("_plan")
-    )
-    found = docs.withColumn("_draw", draw).join(named, F.col("source").eqNullSafe(F.col("_source")), "left")
-    drawn = F.coalesce(F.col("_draw") <= F.col("_plan.last_draw"), F.lit(False))
-    fills = F.coalesce(F.col("_draw") == F.col("_plan.fill_draw"), F.lit(False))
-    more = (drawn | fills).cast("bigint")
-    return found.select(
-        *[c for c in docs.columns if c not in ("source_size", "target", "copies")],
+    return plan.join(edges, F.col("source").eqNullSafe(F.col("_f")), "left").select("source", "source_size", "target", "whole", "below", "edges")
+
+
+def with_copies(docs: DataFrame, plan: DataFrame, draw: Column, scratch: Scratch) -> DataFrame:
+    """``docs`` with source_size, target and copies. ``plan`` has a row per source.
+
+    The few rows at a source's edges, or many where rows repeat, are written down and
+    numbered by running sums, in order of a hash of all columns."""
+    named = plan.select(F.col("source").alias("_source"), F.struct("source_size", "target", "whole", "below", "edges").alias("_plan"))
+    kept = [c for c in docs.columns if c not in ("source_size", "target", "copies")]
+    found = docs.select(F.struct(*kept).alias("_doc"), "source", draw.alias("_draw")).join(
+        named, F.col("source").eqNullSafe(F.col("_source")), "left")
+    taken = F.coalesce(F.aggregate("_plan.edges", F.lit(0).cast("bigint"), lambda a, e: a + F.when(e["draw"] == F.col("_draw"), e["n"]).otherwise(0)), F.lit(0))
+    found = found.withColumn("_taken", taken)
+    edge = scratch.put(found.filter("_taken > 0").select("*", F.xxhash64(F.to_json("_doc")).alias("_hash"), F.monotonically_increasing_id().alias("_nr")), "edge")
+    order = [F.col("source").isNull(), F.col("source"), F.col("_draw"), F.col("_hash"), F.col("_nr")]
+    counted = running_sums(edge.select("source", "_draw", "_hash", "_nr", "_taken"), order, {"_upto": F.lit(1).cast("bigint")}, scratch, "edges")
+    before = counted.groupBy(F.col("source").alias("_s"), F.col("_draw").alias("_d")).agg((F.min("_upto") - 1).alias("_before"))
+    numbered = counted.join(before, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_draw") == F.col("_d")))
+    more = numbered.filter("_upto - _before <= _taken").select(F.col("_nr").alias("_more"))
+    at_edge = edge.join(more, F.col("_nr") == F.col("_more"), "left").withColumn("_extra", F.col("_more").isNotNull())
+    inside = found.filter("_taken = 0").withColumn("_extra", F.coalesce(F.col("_draw") < F.col("_plan.below"), F.lit(False)))
+    columns = ["_doc", "_plan", "_extra"]
+    return inside.select(*columns).unionByName(at_edge.select(*columns)).select(
+        "_doc.*",
         F.col("_plan.source_size").alias("source_size"),
         F.col("_plan.target").alias("target"),
-        (F.coalesce(F.col("_plan.whole"), F.lit(0)) + more).alias("copies"),
+        (F.coalesce(F.col("_plan.whole"), F.lit(0)) + F.col("_extra").cast("bigint")).alias("copies"),
     )
 
 
@@ -147,7 +165,7 @@ def mix(docs: DataFrame, size: Column, seed: str = SEED, **targets: object) -> D
         "sizes",
     )
     plan = scratch.put(repetitions(sizes, source_targets(sizes, scratch, **targets), scratch), "plan")
-    return with_copies(sizes, plan, F.col("draw")).drop("draw")
+    return with_copies(sizes, plan, F.col("draw"), scratch).drop("draw")
 
 
 def mixed_documents(docs: DataFrame, size: Column, seed: str = SEED, **targets: object) -> DataFrame:
@@ -157,5 +175,5 @@ def mixed_documents(docs: DataFrame, size: Column, seed: str = SEED, **targets:
     sizes = scratch.put(docs.select("source", size.alias("size"), draw.alias("draw")), "sizes")
     plan = scratch.put(repetitions(sizes, source_targets(sizes, scratch, **targets), scratch), "plan")
     row = docs.select(F.struct("*").alias("_row"), "doc_id", "source", "text")  # any other column may clash
-    taken = with_copies(row, plan, draw).filter("copies > 0")
+    taken = with_copies(row, plan, draw, scratch).filter("copies > 0")
     return taken.select("_row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
