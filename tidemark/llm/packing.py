@@ -4,15 +4,18 @@ Documents are encoded once and cut into pieces of at most ``capacity`` tokens. F
 pieces are sequences as they are. All others are dealt by hash to shards of about
 ``SHARD_PIECES``, small enough to be solved in one task and large enough to lose next
 to nothing at the shard's edge. A shard is solved by several islands, each one task
-with a population of its own: crossover puts whole well-filled bins of one parent into
-the other, removes the bins that held their pieces before, and places the displaced
-pieces by best fit, largest first. After each epoch the best solution of an island
+with a population of its own: crossover ranks the bins of one parent by fill and puts the
+best into the other, removes the bins that held their pieces before, and exchanges the
+displaced pieces with one or two of an open bin's wherever that fills it better; what is
+still displaced is placed by best fit, largest first. After each epoch the best solution of an island
 moves to the next one. Islands are rows of a staged table, so a lost executor repeats
 one island's epoch and nothing else. A shard stops when it reaches its lower bound.
 
 Defined cases: a null text is empty and becomes a piece that holds the end token alone;
-rows that repeat are packed each; very long texts become many pieces; an empty table
-gives no rows.
+rows that repeat are packed each; pieces of equal length are interchangeable, and which one
+goes where depends on their order in the written table; very long texts become many pieces;
+an empty table gives no rows. ``pack`` replaces input columns named ``sequence_id``,
+``offset`` or ``_unit``.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
 CHILDREN = 8
+OPEN_SHARE, FULL_SHARE = 0.5, 0.02  # of bins that a mutation dissolves
+ROUNDS = 4  # of exchanges over all open bins
 SEED = 5
 
 Bins = list[list[int]]  # each bin: its pieces' places in the shard
@@ -109,12 +114,90 @@ def lower_bound(sizes: list[int], capacity: int) -> int:
     return max(-(-sum(sizes) // capacity), sum(2 * s > capacity for s in sizes))
 
 
+class Pool:
+    """Pieces without a bin, by size; bit s of ``sizes`` is set if there is one of size s."""
+
+    def __init__(self, pieces: list[int], sizes: list[int]) -> None:
+        self.of, self.by_size, self.sizes, self.pairs = sizes, {}, 0, None
+        for i in pieces:
+            self.add(i)
+
+    def add(self, i: int) -> None:
+        self.by_size.setdefault(self.of[i], []).append(i)
+        self.sizes |= 1 << self.of[i]
+
+    def take(self, size: int) -> int:
+        held = self.by_size[size]
+        i = held.pop()
+        if not held:
+            self.sizes ^= 1 << size
+        return i
+
+    def largest(self, limit: int) -> int:
+        """Size of the largest piece up to ``limit``; 0 if none."""
+        return max((self.sizes & ((2 << limit) - 1)).bit_length() - 1, 0)
+
+    def two(self, total: int) -> tuple[int, int] | None:
+        """Sizes of two pieces of ``total`` together."""
+        if self.pairs is None:
+            self.pairs = 0
+            for size in self.by_size:
+                self.pairs |= self.sizes << size
+        if self.pairs >> total & 1:
+            for size, held in self.by_size.items():
+                other = total - size
+                if held and other > 0 and self.sizes >> other & 1 and (other != size or len(held) > 1):
+                    return size, other
+        return None
+
+    def pieces(self) -> list[int]:
+        return sorted((i for held in self.by_size.values() for i in held), key=lambda i: -self.of[i])
+
+
+def exchange(bins: Bins, pieces: list[int], sizes: list[int], capacity: int, rounds: int = ROUNDS) -> Bins:
+    """``pieces`` put into ``bins``, each open bin filled better by what it can get for one
+    or two of its own; the pool shrinks by every gain. Pieces left are placed by best fit."""
+    pool = Pool(pieces, sizes)
+    room = [capacity - sum(sizes[i] for i in b) for b in bins]
+    for _ in range(rounds):
+        pool.pairs, gained = None, 0
+        for n, b in enumerate(bins):
+            if not room[n] or not pool.sizes:
+                continue
+            r = room[n]
+            best, out = pool.largest(r), ()
+            for x, i in enumerate(b):
+                if best == r:
+                    break
+                for given in ((i,), *((i, j) for j in b[x + 1 :])):
+                    size = sum(sizes[g] for g in given)
+                    gain = pool.largest(size + r) - size
+                    if gain > best:
+                        best, out = gain, given
+            got = (best + sum(sizes[g] for g in out),) if best > 0 else ()
+            if best < r:  # two for one, if they fill the bin
+                for i in b:
+                    two = pool.two(sizes[i] + r)
+                    if two:
+                        best, out, got = r, (i,), two
+                        break
+            if best <= 0:
+                continue
+            b = [i for i in b if i not in out] + [pool.take(size) for size in got]
+            for i in out:
+                pool.add(i)
+            bins[n], room[n] = b, r - best
+            gained += best
+        if not gained:
+            break
+    return Shop(sizes, capacity, bins).place(pool.pieces())
+
+
 def crossover(host: Bins, donor: Bins, sizes: list[int], capacity: int, rng: random.Random) -> Bins:
-    """Whole bins of ``donor``, well-filled ones first choice, put into ``host``."""
-    waste = [capacity - sum(sizes[i] for i in b) for b in donor]
-    limit = sorted(waste)[len(waste) // 2]
-    share = rng.uniform(0.1, 0.4)
-    injected = [b for b, w in zip(donor, waste) if w <= limit and rng.random() < share]
+    """The fullest bins of ``donor``, some left out by chance, put into ``host``."""
+    ranked = sorted(donor, key=lambda b: (-sum(sizes[i] for i in b), rng.random()))
+    share = rng.uniform(0.2, 0.6)
+    injected = [b for b in ranked[: int(len(donor) * share) + 1] if rng.random() < 0.8]
     inside = {i for b in injected for i in b}
     kept, displaced = [], []
     for b in host:
@@ -122,17 +205,17 @@ def crossover(host: Bins, donor: Bins, sizes: list[int], capacity: int, rng: ran
             kept.append(b)
         else:
             displaced += [i for i in b if i not in inside]
-    displaced.sort(key=lambda i: -sizes[i])
-    return Shop(sizes, capacity, [*kept, *injected]).place(displaced)
+    return exchange([*kept, *injected], displaced, sizes, capacity)
 
 
 def mutation(bins: Bins, sizes: list[int], capacity: int, rng: random.Random) -> Bins:
-    """The emptiest bins and a few others are dissolved and placed anew."""
-    order = sorted(range(len(bins)), key=lambda n: sum(sizes[i] for i in bins[n]) + rng.uniform(0, capacity / 16))
-    gone = set(order[: max(2, len(bins) // 50)])
+    """The emptiest bin, half of the other open ones and a few full ones are dissolved and
+    their pieces exchanged, so that the room of many open bins gathers in fewer."""
+    room = [capacity - sum(sizes[i] for i in b) for b in bins]
+    emptiest = max(range(len(bins)), key=room.__getitem__)
+    gone = {n for n, r in enumerate(room) if n == emptiest or rng.random() < (OPEN_SHARE if r else FULL_SHARE)}
     pieces = [i for n in gone for i in bins[n]]
-    rng.shuffle(pieces)
-    return Shop(sizes, capacity, [b for n, b in enumerate(bins) if n not in gone]).place(pieces)
+    return exchange([b for n, b in enumerate(bins) if n not in gone], pieces, sizes, capacity)
 
 
 def first_population(sizes: list[int], capacity: int, n: int, rng: random.Random) -> list[Bins]:
