@@ -195,7 +195,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Additi
     )
     picked = one.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(rows)
     known = docs.join(F.broadcast(picked), "doc_id")  # at most ``rows`` pairs of numbers
-    table = known.select(features(F.col("text")).alias("f"), "label").select("f.*", "label").toPandas()
+    ready = known.select("doc_id", F.struct("label", features(F.col("text")).alias("f")).alias("row"))
+    table = ready.groupBy("doc_id").agg(F.min("row").alias("row")).select("row.f.*", "row.label").toPandas()  # one row per id
     table = table.sort_values(list(table.columns))  # sums in one order in every run
     return fit(table[list(FEATURES)].to_numpy("float64"), table["label"].to_numpy("float64"))
 
