@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators import features as feats, store
+from tidemark.operators.snapshots import VersionedTable
 from tidemark.plans.check_tables import add_table
 from tidemark.plans.feature_queries import USER_COLUMNS, item_features_sql, rounded, user_activity_sql, user_features_sql
 from tidemark.plans.registry import query
@@ -247,12 +248,51 @@ def store_upsert(t: Tables) -> DataFrame:
       CASE WHEN entity_id IN (SELECT entity_id FROM first_saved) THEN 2 ELSE 1 END::INTEGER FROM second_saved""",
 )
 def feature_versions(t: Tables) -> DataFrame:
-    """Save two snapshots, then the first again."""
+    """Save two snapshots, then the first again; versions are read from the stored table."""
+    table = VersionedTable(t.spark, scratch_path(t.spark, "versioned-store"))
     first, second = (user_snapshot(t, s) for s in SNAPSHOTS[:2])
-    versions = t.spark.createDataFrame([], store.VERSIONS)
     for saved in (first, second, first):
-        versions = store.next_versions(versions, saved)
-    return versions
+        table.save(saved)
+    return table.versions()
+
+
+@query(
+    "feature_snapshots",
+    f"""
+    WITH first_saved AS (SELECT DISTINCT entity_id FROM user_store WHERE as_of_date = TIMESTAMP '{SNAPSHOTS[0]}'),
+      changed AS (SELECT DISTINCT entity_id FROM user_store WHERE as_of_date = TIMESTAMP '{SNAPSHOTS[0]}'
+        AND feature_name = 'skip_rate' AND feature_value::DOUBLE > 0),
+      rows AS (SELECT entity_id, feature_name, feature_value, as_of_date FROM user_store WHERE as_of_date IN (TIMESTAMP '{SNAPSHOTS[0]}', TIMESTAMP '{SNAPSHOTS[1]}'))
+    SELECT 2::BIGINT AS save, as_of_date, feature_name, count(*) AS n, count(feature_value) AS n_set, 1::INTEGER AS lowest, max(v)::INTEGER AS highest FROM (
+      SELECT r.*, CASE WHEN as_of_date > TIMESTAMP '{SNAPSHOTS[0]}' AND entity_id IN (FROM first_saved) THEN 2 ELSE 1 END AS v,
+      FROM rows r) GROUP BY ALL HAVING min(v) = 1
+    UNION ALL
+    SELECT 2, as_of_date, feature_name, count(*), count(feature_value), 2, 2 FROM rows
+    GROUP BY as_of_date, feature_name HAVING bool_and(as_of_date > TIMESTAMP '{SNAPSHOTS[0]}' AND entity_id IN (FROM first_saved))
+    UNION ALL
+    SELECT 3, as_of_date, feature_name, count(*), count(feature_value), min(v)::INTEGER, max(v)::INTEGER FROM (
+      SELECT r.*, CASE WHEN as_of_date > TIMESTAMP '{SNAPSHOTS[0]}' THEN CASE WHEN entity_id IN (FROM first_saved) THEN 2 ELSE 1 END
+          WHEN entity_id NOT IN (FROM changed) THEN 1
+          WHEN entity_id IN (SELECT entity_id FROM rows WHERE as_of_date > TIMESTAMP '{SNAPSHOTS[0]}') THEN 3 ELSE 2 END AS v
+      FROM rows r WHERE NOT (as_of_date = TIMESTAMP '{SNAPSHOTS[0]}' AND entity_id IN (FROM changed) AND feature_name <> 'skip_rate'))
+    GROUP BY as_of_date, feature_name""",
+)
+def feature_snapshots(t: Tables) -> DataFrame:
+    """The stored table after its second and its third save, by feature, with the lowest and highest version of its rows.
+
+    The third save replaces some users' rows of the first day by one feature."""
+    table = VersionedTable(t.spark, scratch_path(t.spark, "versioned-store"))
+    first, second = (user_snapshot(t, s) for s in SNAPSHOTS[:2])
+    again = first.filter("feature_name = 'skip_rate' AND cast(feature_value AS double) > 0")
+    saves = [table.save(rows).number for rows in (first, second, again)]
+
+    def state(number: int) -> DataFrame:
+        rows = table.read(number=number).join(table.versions(number), [*store.ENTITY_KEY, "as_of_date"])
+        return rows.groupBy("as_of_date", "feature_name").agg(
+            F.count("*").alias("n"), F.count("feature_value").alias("n_set"), F.min("version").alias("lowest"), F.max("version").alias("highest"),
+        ).withColumn("save", F.lit(number).cast("bigint"))
+
+    return reduce(DataFrame.unionByName, [state(n) for n in saves[1:]])
 
 
 @query(

@@ -66,7 +66,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str) -> None:
         self.spark = spark
         self.root = scratch_path(spark, label)
-        self._fs, self._root = _file_system(spark, self.root)
+        self._fs, self._root = file_system(spark, self.root)
         self._fs.mkdirs(self._root)  # only a path that exists can be marked
         self._fs.deleteOnExit(self._root)
 
@@ -80,10 +80,10 @@ class Scratch:
 
     def drop(self, *names: str) -> None:
         for name in names:
-            self._fs.delete(_file_system(self.spark, self.path(name))[1], True)
+            self._fs.delete(file_system(self.spark, self.path(name))[1], True)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """Hadoop's file system and path object of ``path``, whatever store it is in."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
