@@ -1,5 +1,7 @@
 """Streams fed in several runs must agree with one batch over the same rows."""
 
+import random
+from collections import Counter
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -90,3 +92,40 @@ def test_a_batch_run_again_leaves_nothing_of_its_first_run(spark, tmp_path):
     write(spark.createDataFrame([(1, "quarantine"), (2, "good")], "id int, outcome string"), 0)
     write(spark.createDataFrame([(1, "good"), (2, "good")], "id int, outcome string"), 0)
     assert {r["outcome"] for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {"good"}
+
+
+def test_a_batch_touches_its_own_ids_only(spark, tmp_path):
+    """Four runs, each with new ids, late ones and repeats: state grows by the new ids, written rows are not read again."""
+    folder, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    schema = "event_id int, timestamp timestamp_ntz"
+    touched = []
+    for first in (0, 100, 200, 300):
+        ids = [*range(first, first + 100), *range(0, first, 7), first]
+        deliver(spark, folder, [(i, START - timedelta(days=i)) for i in ids], schema)
+        started = jobs.dedup(sources.file_stream(spark, folder, spark.read.parquet(folder).schema, "*.parquet"), out, check).trigger(availableNow=True).start()
+        started.awaitTermination()
+        state = [p["stateOperators"][0] for p in started.recentProgress if p["numInputRows"]]
+        touched.append((sum(o["numRowsUpdated"] for o in state), state[-1]["numRowsTotal"]))
+        assert sum(p["numInputRows"] for p in started.recentProgress) == len(ids)  # the source's rows and no others
+    assert touched == [(100, 100), (100, 200), (100, 300), (100, 400)]
+    assert sorted(r["event_id"] for r in spark.read.parquet(out).collect()) == list(range(400))
+
+
+def test_windows_of_three_widths_from_one_state_of_panes(spark, tmp_path):
+    rng = random.Random(2)
+    base, folder = str(tmp_path), str(tmp_path / "in")
+    schema = "ts timestamp_ntz, endpoint string, status int, cached boolean, duration_s double"
+    made = [(START + timedelta(seconds=rng.randrange(9_000)), rng.choice("ab"), rng.choice((200, 500)), rng.choice((True, False, None)), rng.random()) for _ in range(300)]
+    for n in range(3):
+        deliver(spark, folder, [r for r in made if n * 3_000 <= (r[0] - START).seconds < (n + 1) * 3_000], schema)
+        stream = sources.file_stream(spark, folder, spark.read.parquet(folder).schema, "*.parquet")
+        jobs.drain(jobs.request_panes(stream, f"{base}/panes", f"{base}/windows", f"{base}/check"))
+    want = Counter()
+    for ts, endpoint, status, _, _ in made:
+        end = 30 * ((ts - START).seconds // 30 + 1)
+        for width in jobs.WINDOW_WIDTHS:
+            for later in range(0, width, 30):
+                want[width, endpoint, START + timedelta(seconds=end + later)] += 1
+    got = jobs.latest_windows(spark, f"{base}/windows", ["width", "endpoint"], "window_end").collect()
+    assert {(r.width, r.endpoint, r.window_end): r.requests for r in got} == want
+    assert all(r.latency_counts[-1] == r.requests >= r.errors for r in got)

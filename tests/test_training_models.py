@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import two_sided_p
-from tidemark.operators import evaluate, models, training
+from tidemark.operators import evaluate, models, selection, training
 
 
 @pytest.fixture(scope="module")
@@ -163,3 +163,39 @@ def test_als_prefers_the_own_group(spark):
     wanted = spark.createDataFrame([(0, 8), (0, 7)], "user_id int, movie_id int")
     got = {r["movie_id"]: r["score"] for r in models.factor_score(wanted, users, items).collect()}
     assert got[8] > got[7]
+
+
+def test_the_chosen_model_is_the_best_on_held_out_pairs(spark):
+    """Two groups of users with items of their own, all items equally popular."""
+    rng = random.Random(3)
+    seen = {(u, i): rng.random() for u in range(60) for i in range(40) if i % 2 == u % 2}
+    train = [(u, i, 1.0) for (u, i), r in seen.items() if r < 0.5]
+    held = [(u, i, 1) for (u, i), r in seen.items() if r >= 0.5] + [(u, rng.randrange(20) * 2 + 1 - u % 2, 0) for u in range(60) for _ in range(12)]
+    held += [(99, 3, 0), (5, 77, 0)]  # unknown user, unknown item
+    frames = spark.createDataFrame(train, "user int, item int, weight float"), spark.createDataFrame(held, "user int, item int, label int")
+    trials = selection.grid((2, 6), (0.01, 50.0))
+    assert [(t.trial, t.rank, t.reg) for t in trials] == [(1, 2, 0.01), (2, 2, 50.0), (3, 6, 0.01), (4, 6, 50.0)]
+    found = selection.select_als(*frames, trials, iterations=4)
+    rows = {r.trial: r.auc for r in found.trials.collect()}
+    assert len(rows) == 4 and found.auc == max(rows.values()) == rows[found.winner.trial]
+    scores = selection.scored(found.model, frames[1])
+    assert scores.count() == len(held) and evaluate.auc(scores).first().auc == found.auc
+    assert found.auc > 0.9 > selection.popularity_auc(*frames)
+
+
+def test_trials_stop_when_patience_ends(spark, monkeypatch):
+    values = {1: 0.6, 2: 0.7, 3: 0.7, 4: 0.65, 5: 0.69, 6: 0.9}
+    monkeypatch.setattr(models, "fit_als", lambda train, rank, *_: rank)
+    monkeypatch.setattr(selection, "scored", lambda model, held: model)
+
+    class Result:
+        def __init__(self, auc):
+            self.auc = auc
+
+        def first(self):
+            return {"auc": self.auc}
+
+    monkeypatch.setattr(evaluate, "auc", lambda rank: Result(values[rank]))
+    pairs = spark.createDataFrame([(1, 1, 1.0)], "user int, item int, weight float")
+    found = selection.select_als(pairs, pairs, selection.grid(list(values), (0.1,)), at_once=1)
+    assert found.trials.count() == 6 - 1 and (found.winner.trial, found.auc) == (2, 0.7)

@@ -22,14 +22,41 @@ def as_time(seconds: Column) -> Column:
 
 
 def sliding(steps: DataFrame, keys: Sequence[str], aggregates: dict[str, Column], window: int, step: int = STEP_SECONDS) -> DataFrame:
-    """Aggregate pre-aggregated ``steps`` over (t - window, t] at each grid second t.
+    """Aggregates (sum, max, min, count) of ``steps`` over (t - window, t] at each grid second t.
 
-    ``steps`` has one row per (step, keys), so the fan-out of a sliding window
-    falls on grid rows, not on raw rows. Windows without any row are absent.
+    A window only changes where a row enters it and where one leaves it, so each row gives
+    these two points, and the value between two points is unfolded to the grid afterwards.
+    Aggregates move along the points of one (keys, day); a row near midnight counts in both
+    days, so no task orders more than a day of a key and nothing is carried. Windows without
+    any row are absent.
     """
-    later = F.explode(F.sequence(F.lit(0), F.lit(window - step), F.lit(step)))
-    spread = steps.withColumn("_later", later).withColumn("eval_at", F.col("step") + F.col("_later"))
-    return spread.groupBy("eval_at", *keys).agg(*[c.alias(n) for n, c in aggregates.items()])
+    day = 86_400
+    if window > day:
+        raise ValueError("a window longer than a day does not fit its partitions")
+    day_of = lambda at: F.floor(at / day).cast("bigint")
+    at = F.col("step")
+    last_day = day_of(at + window - step)
+    over = last_day > day_of(at)
+
+    def point(d: Column, t: Column, row: bool) -> Column:
+        return F.struct(d.alias("_day"), t.cast("bigint").alias("step"), F.lit(row).alias("_row"))
+
+    points = F.array_compact(F.array(
+        point(day_of(at), at, True), point(day_of(at + window), at + window, False),
+        F.when(over, point(last_day, at, True)), F.when(over, point(last_day, last_day * day, False)),
+    ))
+    values = [c for c in steps.columns if c not in (*keys, "step")]
+    placed = steps.withColumn("_p", F.explode(points)).select(
+        *keys, "_p.*", *[F.when(F.col("_p._row"), F.col(c)).alias(c) for c in values])
+    order = W.partitionBy(*keys, "_day").orderBy("step")
+    frame = order.rangeBetween(-(window - 1), 0)
+    moved = placed.select(
+        *keys, "_day", "step", F.lead("step").over(order).alias("_next"), F.count_if("_row").over(frame).alias("_rows"),
+        *[c.over(frame).alias(n) for n, c in aggregates.items()])
+    end = (F.col("_day") + 1) * day
+    until = F.least(F.coalesce("_next", end), end) - step
+    kept = moved.filter((F.col("_rows") > 0) & (at >= F.col("_day") * day) & (until >= at))  # of equal points the last
+    return kept.select(F.explode(F.sequence(at, until, F.lit(step).cast("bigint"))).alias("eval_at"), *keys, *aggregates)
 
 
 def bucket_counts(value: Column, bounds: Sequence[float]) -> Column:

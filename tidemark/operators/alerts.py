@@ -62,9 +62,19 @@ def step_totals(log: DataFrame) -> DataFrame:
     )
 
 
+def whole_steps(totals: DataFrame) -> DataFrame:
+    """The step totals of all endpoints together, for the rules without labels."""
+    made = len(STAGE_BOUNDS["recommendation"]) + 1
+    plain = ("requests", "errors", "hits", "operations", "score_sum", "scores")
+    return totals.groupBy("step").agg(
+        *[F.sum(c).alias(c) for c in plain],
+        F.sum(F.when(F.col("endpoint") == "/health", F.col("requests"))).alias("health"),
+        F.array(*[F.sum(F.get("made", F.lit(i))) for i in range(made)]).alias("made"))
+
+
 def low_request_rate(totals: DataFrame, window: int = 10 * MINUTE) -> DataFrame:
     """Requests per second at every grid step from the first to the last; silence counts as 0."""
-    counts = sliding(totals, [], {"requests": F.sum("requests")}, window)
+    counts = sliding(totals.select("step", "requests"), [], {"requests": F.sum("requests")}, window)
     span = totals.agg(F.min("step").alias("first"), F.max("step").alias("last"))
     day = F.lit(86_400).cast("bigint")  # by days first, so that no row holds the whole time
     days = span.select("last", F.explode(F.sequence("first", "last", day)).alias("from"))
@@ -85,33 +95,34 @@ def active_at_steps(log: DataFrame) -> DataFrame:
     return running_by_time(steps, [], "eval_at", day, "move", "active").select("eval_at", "active")
 
 
-def _summed(counts: str, bounds: Sequence[float]) -> Column:
-    return F.array(*[F.sum(F.get(counts, F.lit(i))) for i in range(len(bounds) + 1)])
-
-
 def _p95(totals: DataFrame, keys: Sequence[str], counts: str, bounds: Sequence[float]) -> DataFrame:
-    summed = sliding(totals, keys, {"counts": _summed(counts, bounds)}, 5 * MINUTE)
-    return summed.withColumn("p95", bucket_quantile(F.col("counts"), 0.95, bounds)).filter(F.col("p95").isNotNull())
+    parts = {f"_c{i}": F.sum(F.get(counts, F.lit(i))) for i in range(len(bounds) + 1)}
+    summed = sliding(totals.select("step", *keys, counts), keys, parts, 5 * MINUTE)
+    return summed.withColumn("p95", bucket_quantile(F.array(*parts), 0.95, bounds)).filter(F.col("p95").isNotNull())
 
 
 def request_metrics(totals: DataFrame) -> list[DataFrame]:
     """The figures of the request rules, all from the step totals."""
     short, middle, long = 5 * MINUTE, 10 * MINUTE, 30 * MINUTE
-    errors = sliding(totals, [], {"percent": ratio(F.sum("errors") * 100, F.sum("requests"))}, short)
-    health = F.sum(F.when(F.col("endpoint") == "/health", F.col("requests")))
-    lost = sliding(totals, [], {"health": health, "operations": F.sum("operations")}, short).filter("health > 0")
-    hits = sliding(totals.filter("operations > 0"), [], {"rate": ratio(F.sum("hits"), F.sum("operations"))}, middle)
-    scores = sliding(totals.filter("scores > 0"), [], {"mean": ratio(F.sum("score_sum"), F.sum("scores"))}, long)
-    used = sliding(totals.filter("fallback_type IS NOT NULL"), ["fallback_type", "endpoint"], {"rate": F.sum("requests") / middle}, middle)
+    whole = stage(whole_steps(totals), "whole-steps")
+
+    def sums(rows: DataFrame, window: int, *columns: str, keys: Sequence[str] = ()) -> DataFrame:
+        return sliding(rows.select("step", *keys, *columns), keys, {c: F.sum(c) for c in columns}, window)
+
+    recent = sums(whole, short, "errors", "requests", "health", "operations")
+    lost = recent.filter("health > 0").withColumn("lost", (F.col("operations") == 0).cast("int"))
+    hits = sums(whole.filter("operations > 0"), middle, "hits", "operations")
+    scores = sums(whole.filter("scores > 0"), long, "score_sum", "scores")
+    used = sums(totals.filter("fallback_type IS NOT NULL"), middle, "requests", keys=["fallback_type", "endpoint"])
     return [
-        _series(errors, "HighErrorRate", "percent"),
-        _series(lost.withColumn("lost", (F.col("operations") == 0).cast("int")), "RedisConnectionFailure", "lost"),
+        _series(recent.withColumn("percent", ratio(F.col("errors") * 100, F.col("requests"))), "HighErrorRate", "percent"),
+        _series(lost, "RedisConnectionFailure", "lost"),
         _series(_p95(totals, ["endpoint"], "latency", REQUEST_BOUNDS), "HighLatency", "p95", "endpoint"),
-        _series(hits, "LowCacheHitRate", "rate"),
-        _series(scores, "ModelScoreAnomaly", "mean"),
-        _series(_p95(totals, [], "made", STAGE_BOUNDS["recommendation"]), "SlowRecommendationGeneration", "p95"),
-        _series(used, "FrequentFallbackUsage", "rate", "fallback_type", "endpoint"),
-        _series(low_request_rate(totals), "LowRequestRate", "rate"),
+        _series(hits.withColumn("rate", ratio(F.col("hits"), F.col("operations"))), "LowCacheHitRate", "rate"),
+        _series(scores.withColumn("mean", ratio(F.col("score_sum"), F.col("scores"))), "ModelScoreAnomaly", "mean"),
+        _series(_p95(whole, [], "made", STAGE_BOUNDS["recommendation"]), "SlowRecommendationGeneration", "p95"),
+        _series(used.withColumn("rate", F.col("requests") / middle), "FrequentFallbackUsage", "rate", "fallback_type", "endpoint"),
+        _series(low_request_rate(whole), "LowRequestRate", "rate"),
     ]
 
 

@@ -19,11 +19,11 @@ HIDDEN_LAYERS = (128, 64, 32)
 BATCH_NORM_EPSILON = 1e-5
 
 
-def fit_als(pairs: DataFrame, rank: int = EMBEDDING_DIM, iterations: int = 10, reg: float = 0.01, seed: int = 42) -> ALSModel:
+def fit_als(pairs: DataFrame, rank: int = EMBEDDING_DIM, iterations: int = 10, reg: float = 0.01, seed: int = 42, alpha: float = 1.0) -> ALSModel:
     """Implicit ALS on (user, item, weight), with integer user and item indexes."""
     als = ALS(
         userCol="user", itemCol="item", ratingCol="weight", rank=rank, maxIter=iterations, regParam=reg,
-        implicitPrefs=True, seed=seed, coldStartStrategy="drop",
+        implicitPrefs=True, alpha=alpha, seed=seed, coldStartStrategy="drop",
     )
     return als.fit(pairs)
 

@@ -65,13 +65,14 @@ def request_steps(log: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
 def request_rate(log: DataFrame, window: int = 5 * MINUTE) -> DataFrame:
     """Requests per second of each (endpoint, method, status) series."""
     steps = request_steps(log, ["endpoint", "method", status_class(F.col("status")).alias("status")])
-    return sliding(steps, ["endpoint", "method", "status"], {"rate": F.sum("requests") / window}, window)
+    return sliding(steps, ["endpoint", "method", "status"], {"rate": F.sum("requests")}, window).withColumn("rate", F.col("rate") / window)
 
 
 def error_rate(log: DataFrame, window: int = 5 * MINUTE) -> DataFrame:
     """Percent of requests that failed with a 5xx status."""
     steps = request_steps(log, [])
-    return sliding(steps, [], {"error_percent": ratio(F.sum("errors") * 100, F.sum("requests"))}, window)
+    sums = sliding(steps, [], {"errors": F.sum("errors"), "requests": F.sum("requests")}, window)
+    return sums.select("eval_at", ratio(F.col("errors") * 100, F.col("requests")).alias("error_percent"))
 
 
 def recommendations_served(log: DataFrame) -> DataFrame:
@@ -161,7 +162,8 @@ def fallback_usage(log: DataFrame, window: int = 10 * MINUTE) -> DataFrame:
     """Fallbacks per second of each (type, endpoint), and whether that is too many."""
     used = log.filter(F.col("fallback_type").isNotNull())
     steps = request_steps(used, ["fallback_type", "endpoint"])
-    rates = sliding(steps, ["fallback_type", "endpoint"], {"used": F.sum("requests"), "rate": F.sum("requests") / window}, window)
+    used = sliding(steps, ["fallback_type", "endpoint"], {"used": F.sum("requests")}, window)
+    rates = used.withColumn("rate", F.col("used") / window)
     return rates.withColumn("frequent", F.col("rate") > FALLBACK_RATE_LIMIT)
 
 
@@ -199,9 +201,10 @@ def gauge_steps(samples: DataFrame) -> DataFrame:
 
 
 def slide_gauges(steps: DataFrame, window: int) -> DataFrame:
-    return sliding(steps, ["metric", "instance"], {
-        "last_value": F.max("latest")["value"], "mean_value": ratio(F.sum("total"), F.sum("n")),
-        "low": F.min("low"), "high": F.max("high")}, window)
+    moved = sliding(steps, ["metric", "instance"], {
+        "latest": F.max("latest"), "total": F.sum("total"), "n": F.sum("n"), "low": F.min("low"), "high": F.max("high")}, window)
+    return moved.select("eval_at", "metric", "instance", F.col("latest.value").alias("last_value"),
+                        ratio(F.col("total"), F.col("n")).alias("mean_value"), "low", "high")
 
 
 def gauge_windows(samples: DataFrame, window: int) -> DataFrame:

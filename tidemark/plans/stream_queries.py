@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.plans.ingest_queries import NOW, records
 from tidemark.plans.registry import query
-from tidemark.plans.tables import Tables, interactions, request_log
+from tidemark.plans.tables import Tables, request_log
 from tidemark.session import scratch_path
 from tidemark.sources.events import file_stream
 from tidemark.streaming import jobs
@@ -29,6 +31,16 @@ def _streamed(t: Tables, rows: DataFrame, label: str) -> DataFrame:
     return file_stream(t.spark, folder, rows.schema, "*.parquet", files_per_batch=1)
 
 
+def _deliver(t: Tables, rows: DataFrame, at: str, label: str, run: Callable[[DataFrame], None]) -> None:
+    """``rows`` in four deliveries in order of time, each taken by a stream run of its own
+    that goes on from the last."""
+    folder, day = scratch_path(t.spark, label), F.dayofmonth(at)
+    schema = T.StructType(rows.schema.fields)
+    for first, last in ((1, 8), (9, 15), (16, 22), (23, 31)):
+        rows.filter(day.between(first, last)).write.mode("append").parquet(folder)
+        run(file_stream(t.spark, folder, schema, "*.parquet"))
+
+
 @query("stream_ingest", """
     SELECT event_type, CASE WHEN errors = '' THEN 'good' ELSE 'quarantine' END AS outcome, errors, count(*) AS events,
       count(DISTINCT id) AS event_ids
@@ -54,11 +66,39 @@ def stream_dedup(t: Tables) -> DataFrame:
 
 
 @query("stream_request_windows", """
+    WITH panes AS (
+      SELECT time_bucket(INTERVAL 30 SECOND, ts) + INTERVAL 30 SECOND AS pane_end, endpoint, count(*) AS requests,
+        count(*) FILTER (status >= 500) AS errors, count(*) FILTER (cached) AS hits, count(cached) AS operations,
+        count(*) FILTER (duration_s <= 0.1) AS within_100ms FROM requests GROUP BY 1, 2),
+    windows AS (
+      SELECT width, endpoint, pane_end + to_seconds(30 * i) AS window_end, sum(requests) AS requests, sum(errors) AS errors, sum(hits) AS hits,
+        sum(operations) AS operations, sum(within_100ms) AS within_100ms
+      FROM panes, (VALUES (300), (600), (1800)) w(width), range(0, 60) r(i) WHERE i * 30 < width GROUP BY 1, 2, 3)
+    SELECT width::INTEGER AS width, endpoint, date_trunc('hour', window_end)::TIMESTAMP AS hour, count(*) AS windows, sum(requests)::BIGINT AS requests,
+      max(requests)::BIGINT AS most, sum(errors)::BIGINT AS errors, sum(hits)::BIGINT AS hits, sum(operations)::BIGINT AS operations,
+      sum(within_100ms)::BIGINT AS within_100ms
+    FROM windows GROUP BY 1, 2, 3""")
+def stream_request_windows(t: Tables) -> DataFrame:
+    """Windows of 5, 10 and 30 minutes moved on by 30 seconds, summed up by hour."""
+    base = scratch_path(t.spark, "request-panes")
+
+    def run(log: DataFrame) -> None:
+        jobs.drain(jobs.request_panes(log, f"{base}/panes", f"{base}/windows", f"{base}/checkpoint"))
+
+    _deliver(t, t.requests, "ts", "request-deliveries", run)
+    out = jobs.latest_windows(t.spark, f"{base}/windows", ["width", "endpoint"], "window_end")
+    within = F.get("latency_counts", F.lit(4))
+    return out.groupBy("width", "endpoint", F.date_trunc("hour", "window_end").cast("timestamp_ntz").alias("hour")).agg(
+        F.count("*").alias("windows"), F.sum("requests").alias("requests"), F.max("requests").alias("most"), F.sum("errors").alias("errors"),
+        F.sum("hits").alias("hits"), F.sum("operations").alias("operations"), F.sum(within).alias("within_100ms"))
+
+
+@query("stream_coarse_windows", """
     SELECT time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 5 MINUTE * i AS window_start, endpoint, count(*) AS requests,
       count(*) FILTER (status >= 500) AS errors, count(*) FILTER (cached) AS hits, count(cached) AS operations,
       count(*) FILTER (duration_s <= 0.1) AS within_100ms
     FROM requests, range(0, 2) r(i) GROUP BY 1, 2""")
-def stream_request_windows(t: Tables) -> DataFrame:
+def stream_coarse_windows(t: Tables) -> DataFrame:
     path, checkpoint = _folders(t, "request-windows")
     jobs.drain(jobs.request_windows(request_log(event_stream(t)), path, checkpoint))
     out = jobs.latest_windows(t.spark, path, ["endpoint"])
@@ -71,7 +111,7 @@ def stream_request_windows(t: Tables) -> DataFrame:
           UNION ALL SELECT "timestamp", event_type, 'item', movie_id FROM interactions WHERE movie_id IS NOT NULL) GROUP BY 1, 2, 3""")
 def stream_daily_counts(t: Tables) -> DataFrame:
     path, checkpoint = _folders(t, "daily-counts")
-    jobs.drain(jobs.daily_counts(interactions(event_stream(t)), path, checkpoint))
+    _deliver(t, t.interactions, "timestamp", "interaction-deliveries", lambda rows: jobs.drain(jobs.daily_counts(rows, path, checkpoint)))
     return jobs.latest_windows(t.spark, path, ["kind", "id"])
 
 

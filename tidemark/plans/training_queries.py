@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators import evaluate, models, training
+from tidemark.operators import evaluate, models, selection, training
 from tidemark.operators.validate import with_label
 from tidemark.plans.check_tables import add_table
 from tidemark.plans.feature_queries import rounded
@@ -247,20 +247,50 @@ def deploy_gate(t: Tables) -> DataFrame:
     return rounded(evaluate.deploy_gate(evaluate.evaluation(t.predictions)), 5)
 
 
-@query("best_trial", """
+@query("trial_patience", """
     WITH trials AS (SELECT substr(source, 4)::INTEGER AS trial, round(avg(n_chars), 6) AS auc FROM documents GROUP BY source),
     marked AS (SELECT *, row_number() OVER (ORDER BY trial) AS n,
       auc > coalesce(max(auc) OVER (ORDER BY trial ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS gained FROM trials),
     counted AS (SELECT *, n - max(CASE WHEN gained THEN n END) OVER (ORDER BY trial) AS since FROM marked),
     run AS (SELECT * FROM counted WHERE n <= coalesce((SELECT min(n) FROM counted WHERE since >= 3), n))
     SELECT arg_max(trial, auc) AS best_trial, max(auc) AS best_auc, count(*) AS trials_run FROM run""")
-def best_trial(t: Tables) -> DataFrame:
-    """Trials stand for document sources, their metric for the mean length."""
+def trial_patience(t: Tables) -> DataFrame:
+    """The stopping rule alone: trials stand for document sources, their metric for the mean length."""
     trials = t.raw("documents").groupBy(F.substring("source", 4, 10).cast("int").alias("trial")).agg(
         F.round(F.avg("n_chars"), 6).alias("auc"))
     return evaluate.best_trial(trials)
 
 
+def indexed_pairs(rows: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """``rows`` (user_id, item_id, ...) with dense integer indexes in place of the ids."""
+    with_user = training.with_index(rows, users, "user_id", "user")
+    both = training.with_index(with_user, items, "item_id", "item")
+    return both.withColumns({c: F.col(c).cast("int") for c in ("user", "item")}).drop("user_id", "item_id")
+
+
+def trial_split(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """(train: view counts up to the split, held out: later views and sampled negatives)."""
+    before, after = training.temporal_split(t.interactions, SPLIT)
+    views = lambda rows: with_label(rows.select("event_id", "user_id", F.col("movie_id").alias("item_id"), "event_type")).filter("label = 1")
+    users, items = training.id_index(t.interactions, "user_id"), training.id_index(t.interactions, "movie_id")
+    counts = views(before).groupBy("user_id", "item_id").agg(F.count("*").cast("float").alias("weight"))
+    held_out = training.eval_set(views(after).select("event_id", "user_id", "item_id"), items)
+    return (indexed_pairs(counts, users, items),
+            indexed_pairs(held_out.select("user_id", "item_id", "label"), users, items).select("user", "item", "label"))
+
+
+@query("best_trial")
+def best_trial(t: Tables) -> DataFrame:
+    """Six ALS settings trained on the views before the split, with their AUC on the views
+    after it and sampled negatives, beside that of plain popularity."""
+    train, held_out = trial_split(t)
+    chosen = selection.select_als(train, held_out, selection.grid((8, 16), (0.01, 0.1, 1.0), (10.0,)), iterations=5)
+    return chosen.trials.withColumns({
+        "popularity_auc": F.lit(selection.popularity_auc(train, chosen.held_out)),
+        "chosen": F.col("trial") == chosen.winner.trial,
+    })
+
+
 @query("compare_metrics", """
     SELECT coalesce(a.lang, b.lang) AS metric, a.v AS version_1, b.v AS version_2, round(b.v - a.v, 6) AS difference,
       round(CASE WHEN a.v <> 0 THEN (b.v - a.v) * 100 / a.v END, 6) AS percent_change
@@ -278,14 +308,23 @@ def compare_metrics(t: Tables) -> DataFrame:
     return rounded(evaluate.compare_metrics(table("quality", "es"), table("toxic", "fr")))
 
 
+# the p-value by Simpson's rule over the density of Student's t
 @query("paired_t", """
-    SELECT count(*) AS n, round(avg(d), 6) AS mean, round(stddev_samp(d), 6) AS sd,
-      round(avg(d) / (stddev_samp(d) / sqrt(count(*))), 5) AS t
-    FROM (SELECT score - (0.25::DOUBLE + label * 0.1::DOUBLE) AS d FROM predictions)""")
+    WITH stats AS (
+      SELECT count(*) AS n, avg(d) AS mean, stddev_samp(d) AS sd, avg(d) / (stddev_samp(d) / sqrt(count(*))) AS t, count(*) - 1 AS v
+      FROM (SELECT score - (0.3::DOUBLE + label * 0.28::DOUBLE) AS d FROM predictions)),
+    steps AS (SELECT *, i, least(abs(t), 50.0) / 20000 AS h, i * h AS x FROM stats, range(0, 20001) r(i)),
+    inside AS (
+      SELECT sum(CASE WHEN i IN (0, 20000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * pow(1 + x * x / v, -(v + 1) / 2.0)) * any_value(h) / 3
+        * exp(lgamma((any_value(v) + 1) / 2.0) - lgamma(any_value(v) / 2.0)) / sqrt(any_value(v) * pi()) AS half FROM steps)
+    SELECT n, round(mean, 6) AS mean, round(sd, 6) AS sd, round(t, 5) AS t, abs(round(1 - 2 * half, 6)) AS p_value, 1 - 2 * half < 0.05 AS significant
+    FROM stats, inside""")
 def paired_t(t: Tables) -> DataFrame:
-    pairs = t.predictions.withColumn("other", F.lit(0.25) + F.col("label") * F.lit(0.1))
+    """Two scorers of the same rows, close to each other."""
+    pairs = t.predictions.withColumn("other", F.lit(0.3) + F.col("label") * F.lit(0.28))
     out = evaluate.paired_t(pairs, "score", "other")
-    return out.select("n", F.round("mean", 6).alias("mean"), F.round("sd", 6).alias("sd"), F.round("t", 5).alias("t"))
+    return out.select("n", F.round("mean", 6).alias("mean"), F.round("sd", 6).alias("sd"), F.round("t", 5).alias("t"),
+                      F.abs(F.round("p_value", 6)).alias("p_value"), "significant")
 
 
 @query("latest_version", """

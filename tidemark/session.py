@@ -20,6 +20,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         )
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")  # a batch writes its changes only
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call-site look-up per expression
     )
     if master:

@@ -7,16 +7,19 @@ again after a failure replaces its output instead of adding to it.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidemark.functions.timegrid import bucket_counts
+from tidemark.functions.timegrid import STEP_SECONDS, as_time, bucket_counts, sliding
 from tidemark.operators.features import VIEW
 from tidemark.operators.monitor import REQUEST_BOUNDS, is_server_error
-from tidemark.operators.validate import dedup as first_copies, normalise_timestamp, stamp, validate_mixed
+from tidemark.operators.validate import normalise_timestamp, stamp, validate_mixed
 from tidemark.sources.events import decode
 
+WINDOW_WIDTHS = (300, 600, 1_800)  # fixed values: seconds the alert rules look back
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 
@@ -61,25 +64,13 @@ def ingested(spark: SparkSession, path: str, outcome: str) -> DataFrame:
 def dedup(events: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Each event_id once, however late or far apart its copies come.
 
-    A batch keeps the first of its own copies and leaves out the ids that earlier
-    batches have written; its own folder does not count, so a batch run again gives
-    the same rows. No row is dropped for being late.
+    The ids seen are keyed state on disk, one entry an id, without a watermark, so no row
+    is dropped for being late. A batch looks up and adds its own ids only; nothing that
+    earlier batches wrote is read. Of copies within one batch any one is kept: copies of an
+    id are taken to be the same event.
     """
-    write = into_batches(path)
-
-    def unseen(batch: DataFrame, batch_id: int) -> None:
-        once = first_copies(batch)
-        if batch_id:
-            written = batch.sparkSession.read.schema(f"event_id {_kind(batch)}, batch int").parquet(path)
-            ids = written.filter(F.col("batch") < batch_id).select(F.col("event_id").alias("_seen"))
-            once = once.join(ids, F.col("event_id").eqNullSafe(F.col("_seen")), "left_anti")
-        write(once, batch_id)
-
-    return events.writeStream.foreachBatch(unseen).option("checkpointLocation", checkpoint)
-
-
-def _kind(batch: DataFrame) -> str:
-    return batch.schema["event_id"].dataType.simpleString()
+    once = events.dropDuplicates(["event_id"])
+    return once.writeStream.foreachBatch(into_batches(path)).option("checkpointLocation", checkpoint)
 
 
 # ---------------------------------------------------------------- windows
@@ -104,12 +95,12 @@ def windowed(
     )
 
 
-def latest_windows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Newest version of each (window_start, keys)."""
+def latest_windows(spark: SparkSession, path: str, keys: Sequence[str], at: str = "window_start") -> DataFrame:
+    """Newest version of each (``at``, keys)."""
     versions = spark.read.parquet(path)
-    values = [c for c in versions.columns if c not in ("window_start", "batch", *keys)]
+    values = [c for c in versions.columns if c not in (at, "batch", *keys)]
     newest = F.max_by(F.struct(*values), "batch").alias("_v")
-    return versions.groupBy("window_start", *keys).agg(newest).select("window_start", *keys, "_v.*")
+    return versions.groupBy(at, *keys).agg(newest).select(at, *keys, "_v.*")
 
 
 def request_windows(log: DataFrame, path: str, checkpoint: str, width: str = "10 minutes", slide: str = "5 minutes", delay: str = "10 minutes") -> DataStreamWriter:
@@ -127,6 +118,55 @@ def request_windows(log: DataFrame, path: str, checkpoint: str, width: str = "10
     )
 
 
+def request_panes(
+    log: DataFrame, panes: str, windows: str, checkpoint: str, widths: Sequence[int] = WINDOW_WIDTHS, delay: str = "10 minutes",
+) -> DataStreamWriter:
+    """Requests, errors, cache hits and the latency histogram over windows of several widths,
+    each moved on by one pane (``STEP_SECONDS``), from one state of panes.
+
+    The stream keeps a pane's counts per endpoint until the watermark passes it. A batch
+    writes the panes it changed to ``panes`` and then merges, from the panes within the widest
+    window of these, all windows they touch into ``windows``. A window is named by its end
+    and holds the panes that start in [end - width, end).
+    """
+    timed = log.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+    counted = timed.groupBy(F.window("ts", f"{STEP_SECONDS} seconds"), "endpoint").agg(
+        F.count("*").alias("requests"),
+        F.count_if(is_server_error(F.col("status"))).alias("errors"),
+        F.count_if(F.col("cached")).alias("hits"),
+        F.count("cached").alias("operations"),
+        bucket_counts(F.col("duration_s"), REQUEST_BOUNDS).alias("latency_counts"),
+    )
+    flat = counted.withColumn("step", F.unix_seconds("window.end")).drop("window")
+    plain, buckets = ("requests", "errors", "hits", "operations"), [f"_c{i}" for i in range(len(REQUEST_BOUNDS) + 1)]
+    keep, publish, widest = into_batches(panes), into_batches(windows), max(widths)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        keep(batch, batch_id)
+        spark = batch.sparkSession
+        changed = spark.read.schema(batch.schema).parquet(f"{panes}/batch={batch_id}").agg(F.min("step").alias("lo"), F.max("step").alias("hi")).first()
+        if changed["lo"] is None:
+            return
+        upto = spark.read.schema(f"{_ddl(batch)}, batch int").parquet(panes).filter(
+            (F.col("batch") <= batch_id) & F.col("step").between(changed["lo"] - widest + STEP_SECONDS, changed["hi"] + widest))
+        newest = upto.groupBy("step", "endpoint").agg(F.max_by(F.struct(*plain, "latency_counts"), "batch").alias("_v")).select("step", "endpoint", "_v.*")
+        single = newest.select("step", "endpoint", *plain, *[F.get("latency_counts", F.lit(i)).alias(c) for i, c in enumerate(buckets)])
+
+        def of(width: int) -> DataFrame:
+            sums = sliding(single, ["endpoint"], {c: F.sum(c) for c in (*plain, *buckets)}, width)
+            touched = sums.filter(F.col("eval_at").between(changed["lo"], changed["hi"] + width - STEP_SECONDS))
+            return touched.select(
+                as_time(F.col("eval_at")).alias("window_end"), F.lit(width).alias("width"), "endpoint", *plain, F.array(*buckets).alias("latency_counts"))
+
+        publish(reduce(DataFrame.unionByName, [of(w) for w in widths]), batch_id)
+
+    return flat.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", checkpoint)
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+
+
 def daily_counts(interactions: DataFrame, path: str, checkpoint: str, delay: str = "1 day") -> DataStreamWriter:
     """Events and views per day of every user and every item, from one pass over the stream."""
     sides = F.array(F.struct(F.lit("user").alias("kind"), F.col("user_id").alias("id")),
