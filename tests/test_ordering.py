@@ -1,7 +1,9 @@
 """Global order, top-n and as-of look-ups against plain Python, with hot keys."""
 
 import random
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.ordering import asof_lookup, numbered, running_total, top_n
@@ -75,3 +77,16 @@ def test_running_by_time_carries_over_periods(spark):
     for i in range(40):
         total += 1 if i % 3 else -1
         assert got[i] == total
+
+
+@pytest.mark.parametrize("most", [1, 3, 64])
+def test_asof_arrays_have_a_bound(spark, most):
+    """A hot key with most rows in one bucket, cut into parts of any size."""
+    rng = random.Random(most)
+    right = [("hot", at, f"h{at}") for at in sorted(rng.sample(range(1_000), 200))] + [("hot", 5_000 + i, f"z{i}") for i in range(0, 40, 3)]
+    right += [("b", at, f"b{at}") for at in rng.sample(range(4_000), 9)]
+    left = [(k, at) for k in ("hot", "b", "none", None) for at in rng.sample(range(-50, 7_000), 120)]
+    frames = spark.createDataFrame(left, "k string, t long"), spark.createDataFrame(right, "k string, at long, v string")
+    got = asof_lookup(*frames, ["k"], "t", "at", ["v"], 1_000, most)
+    want = Counter((k, t, max(((at, v) for key, at, v in right if key == k and at <= t), default=(0, None))[1]) for k, t in left)
+    assert Counter(tuple(r) for r in got.collect()) == want

@@ -1,12 +1,13 @@
 """Vector search and recommendation lists against brute force, with hot cells."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import recommend, retrieval
+from tidemark.operators.served import ServedLists
 
 DIM = 8
 
@@ -205,3 +206,27 @@ def test_saved_centres_all_come_back(spark, frames, tmp_path):
     retrieval.save_vectors(items, retrieval.pick_centres(items, 150), str(tmp_path / "v"))
     loaded, centres = retrieval.load_vectors(spark, str(tmp_path / "v"))
     assert len(centres) == 150 and loaded.count() == items.count()
+
+
+def test_served_lists_are_replaced_dropped_and_kept_by_bucket(spark, tmp_path):
+    day = datetime(2024, 1, 20)
+    table = ServedLists(spark, f"{tmp_path}/served", buckets=4)
+    lists = lambda *rows: spark.createDataFrame([(u, k, m, day - timedelta(hours=h)) for u, k, m, h in rows], "user_id int, k int, movie_id int, generated_at timestamp_ntz")
+    users = lambda *ids: spark.createDataFrame([(i,) for i in ids], "user_id int")
+    held = lambda: {(r.user_id, r.k): r.movie_id for r in table.read().collect()}
+    table.drop(users(1))
+    assert table.read() is None
+    table.put(lists(*[(u, 10, u, 30) for u in range(20)], (3, 10, 99, 29), (3, 20, 7, 30)))
+    assert held() == {(u, 10): u for u in range(20)} | {(3, 10): 99, (3, 20): 7}
+    files = {p: p.stat().st_mtime_ns for p in tmp_path.glob("served/bucket=*/*.parquet")}
+    table.put(lists((5, 10, 50, 2)))
+    assert held()[5, 10] == 50 and len(held()) == 21
+    same = [p for p in tmp_path.glob("served/bucket=*/*.parquet") if files.get(p) == p.stat().st_mtime_ns]
+    assert len({p.parent for p in files}) - len({p.parent for p in same}) == 1  # one bucket was rewritten
+    assert [(r.user_id, r.movie_id) for r in table.fresh(day, 6 * 3600).collect()] == [(5, 50)]
+    table.drop(users(*range(1, 20)))
+    assert held() == {(0, 10): 0}
+    table.drop(users(0, 77))
+    assert table.read() is None or table.read().count() == 0
+    table.put(lists((1, 10, 1, 1)))
+    assert held() == {(1, 10): 1}

@@ -67,6 +67,29 @@ def test_archive(spark, tmp_path):
     assert archive.read(spark, path).count() == 4
 
 
+def rows_scanned(df):
+    """Rows that the scan of a plan without shuffles handed on, once it has run."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_a_look_up_skips_row_groups(spark, tmp_path):
+    """Ids of no order in four appends: ranges leave one file of each, Bloom filters almost none."""
+    path = str(tmp_path / "archive")
+    for part in range(4):
+        made = spark.range(part, 80_000, 4).select(F.md5(F.col("id").cast("string")).alias("event_id"), F.concat(F.lit("u"), F.col("id") % 50).alias("user_id"))
+        archive.append(made.repartition(8), path)
+    events = spark.read.parquet(f"{path}/events")
+    some = [r.event_id for r in events.orderBy(F.xxhash64("event_id")).limit(10).collect()]
+    read = [rows_scanned(archive.find(events, event_id=i)) for i in some]
+    assert all(0 < n <= 20_000 for n in read)  # the ranges of all four appends hold every id
+    absent = [rows_scanned(archive.find(events, event_id=f"{n:032x}"[::-1])) for n in range(20)]
+    assert sum(n == 0 for n in absent) >= 16
+    assert archive.lookup(spark, path, some).count() == 10
+    archive.delete(spark, path, f"^{some[0]}$")
+    assert {r.event_id for r in archive.lookup(spark, path, some).collect()} == set(some[1:])
+
+
 def test_write_events_layout(spark, tmp_path):
     path = str(tmp_path / "events")
     df = spark.createDataFrame([(1, "view", START), (2, "skip", START + timedelta(days=1))], "event_id int, event_type string, timestamp timestamp_ntz")

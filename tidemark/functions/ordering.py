@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark.session import stage
 
+MOST_ENTRIES = 4_096  # right rows in one array of an as-of look-up
 _POSITION_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row position here
 
 
@@ -95,37 +96,47 @@ def asof_lookup(
     right_at: str,
     payload: Sequence[str],
     width: int,
+    most: int = MOST_ENTRIES,
 ) -> DataFrame:
     """Add to each left row the ``payload`` of the last right row of its key with
     ``right_at <= left_at`` (null when there is none).
 
     ``left_at`` and ``right_at`` are integers and (key, right_at) is unique on the
-    right. Time is cut into buckets of ``width``: right rows become one sorted
-    array per (key, bucket), at most ``width`` long; a bucket with nothing before
-    the left row takes the last value carried from earlier buckets. The left side
-    only meets the right in an equi-join on (key, bucket), so a hot key spreads
-    over its buckets and adaptive execution can split it further.
+    right. Time is cut into buckets of ``width``, and a bucket with many right rows
+    into parts of ``most`` rows: right rows become one sorted array per (key, bucket,
+    part), at most ``most`` long. A left row finds its part by the parts' first
+    instants; one with nothing before it in its part takes the last value carried
+    from earlier parts. The left side only meets the right in equi-joins on (key,
+    bucket) and (key, bucket, part), so a hot key spreads over them and adaptive
+    execution can split it further.
     """
     key = list(key)
     entry = F.struct(F.col(right_at).alias("at"), *[F.col(c) for c in payload])
     left = left.withColumn("_bucket", F.floor(F.col(left_at) / F.lit(width)).cast("bigint"))
-    history = (
-        right.withColumn("_bucket", F.floor(F.col(right_at) / F.lit(width)).cast("bigint"))
-        .groupBy(*key, "_bucket")
-        .agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
-    )
-    needed = left.select(*key, "_bucket", F.lit(None).cast(history.schema["_entries"].dataType).alias("_entries"))
-    buckets = history.unionByName(needed.distinct()).groupBy(*key, "_bucket").agg(
+    placed = right.withColumn("_bucket", F.floor(F.col(right_at) / F.lit(width)).cast("bigint"))
+    if width > most:  # a bucket has no more rows than instants
+        number = F.row_number().over(W.partitionBy(*key, "_bucket").orderBy(right_at))
+        placed = placed.withColumn("_part", F.floor((number - 1) / most).cast("int"))
+        starts = placed.groupBy(*key, "_bucket", "_part").agg(F.min(right_at).alias("_first")).filter("_part > 0")
+        starts = starts.groupBy(*key, "_bucket").agg(F.collect_list("_first").alias("_starts"))
+        part = F.coalesce(F.size(F.filter("_starts", lambda s: s <= F.col(left_at))), F.lit(0))
+        left = left.join(starts, [*key, "_bucket"], "left").withColumn("_part", F.when(F.col("_starts").isNull(), 0).otherwise(part)).drop("_starts")
+    else:
+        placed, left = placed.withColumn("_part", F.lit(0)), left.withColumn("_part", F.lit(0))
+    place = ["_bucket", "_part"]
+    history = placed.groupBy(*key, *place).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
+    needed = left.select(*key, *place, F.lit(None).cast(history.schema["_entries"].dataType).alias("_entries"))
+    buckets = history.unionByName(needed.distinct()).groupBy(*key, *place).agg(
         F.first("_entries", ignorenulls=True).alias("_entries")
     )
-    earlier = W.partitionBy(*key).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy(*key).orderBy(*place).rowsBetween(W.unboundedPreceding, -1)
     carried = buckets.withColumn(
         "_carry", F.last(F.try_element_at("_entries", F.lit(-1)), ignorenulls=True).over(earlier)
     )
-    found = left.join(carried, [*key, "_bucket"], "left")
+    found = left.join(carried, [*key, *place], "left")
     here = F.filter("_entries", lambda e: e["at"] <= F.col(left_at))
     hit = F.when(F.size(here) > 0, F.try_element_at(here, F.lit(-1))).otherwise(F.col("_carry"))
     return (
         found.withColumn("_hit", hit)
-        .select(*[c for c in left.columns if c != "_bucket"], *[F.col("_hit")[c].alias(c) for c in payload])
+        .select(*[c for c in left.columns if c not in place], *[F.col("_hit")[c].alias(c) for c in payload])
     )

@@ -54,6 +54,10 @@ def rank_candidates(candidates: DataFrame, users: DataFrame, items: DataFrame, k
     i = items.select("movie_id", F.col("vector").alias("_i"))
     scored = candidates.select("user_id", "movie_id").join(u, "user_id").join(i, "movie_id").select(
         "user_id", "movie_id", sigmoid(dot(F.col("_u"), F.col("_i"))).alias("score"))
+    return best_by_score(scored, k)
+
+
+def best_by_score(scored: DataFrame, k: int) -> DataFrame:
     order = F.row_number().over(W.partitionBy("user_id").orderBy(F.desc("score"), "movie_id"))
     return scored.withColumn("rank", order).filter(F.col("rank") <= k)
 
@@ -61,9 +65,10 @@ def rank_candidates(candidates: DataFrame, users: DataFrame, items: DataFrame, k
 def two_stage(
     users: DataFrame, items: DataFrame, k: int = LIST_LENGTH, candidates: int = CANDIDATES, centres: np.ndarray | None = None
 ) -> DataFrame:
-    """Nearest ``candidates`` items per user, scored, best k: (user_id, movie_id, score, rank)."""
-    found = top_k_exact(users, items, candidates, centres=centres)
-    return rank_candidates(found, users, items, k)
+    """Nearest ``candidates`` items per user, scored by the product the search has made, best k:
+    (user_id, movie_id, score, rank)."""
+    found = top_k_exact(users, items, candidates, centres=centres, with_product=True)
+    return best_by_score(found.select("user_id", "movie_id", sigmoid(F.col("product")).alias("score")), k)
 
 
 # ---------------------------------------------------------------- popular lists

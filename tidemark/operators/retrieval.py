@@ -12,7 +12,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH
@@ -118,15 +117,15 @@ def _with_pack_order(users: DataFrame, centres: np.ndarray, packs: np.ndarray, n
     return users.withColumn("_o", udf("vector")).select(*users.columns, zipped.alias("_order"))
 
 
-def _nearest_in_block(k: int):
-    """Top k of a block for each user of a chunk.
+def _nearest_in_block(k: int, products: bool = False):
+    """Top k of a block for each user of a chunk; ``products`` adds the vectors' inner product.
 
     Distances are first estimated by one matrix product; only items within the
     k-th estimate (plus slack) are measured exactly and ranked by (distance, id).
     """
 
     def kernel(users: pa.Table, items: pa.Table) -> pa.Table:
-        out_users, out_items, out_d = [], [], []
+        out_users, out_items, out_d, out_p = [], [], [], []
         user_column, item_column = users.column("user_id"), items.column("movie_id")
         if users.num_rows and items.num_rows:
             x, u = as_matrix(items.column("vector")), as_matrix(users.column("vector"))
@@ -147,9 +146,12 @@ def _nearest_in_block(k: int):
                     out_users.append(np.full(len(best), start + row))
                     out_items.append(near[best])
                     out_d.append(d[best])
+                    if products:
+                        out_p.append(x[near[best]] @ u[start + row])
         at = lambda parts: pa.array(np.concatenate(parts) if parts else np.array([], dtype="int64"))
-        distances = pa.array(np.concatenate(out_d) if out_d else np.array([]))
-        return pa.table({"user_id": user_column.take(at(out_users)), "movie_id": item_column.take(at(out_items)), "distance": distances})
+        real = lambda parts: pa.array(np.concatenate(parts) if parts else np.array([]))
+        out = {"user_id": user_column.take(at(out_users)), "movie_id": item_column.take(at(out_items)), "distance": real(out_d)}
+        return pa.table(out | ({"product": real(out_p)} if products else {}))
 
     return kernel
 
@@ -166,8 +168,8 @@ def _part_of(id_column: str, parts: Column) -> Column:
     return F.pmod(F.xxhash64(id_column), parts.cast("bigint")).cast("int")
 
 
-def search_cells(probes: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    """(user_id, movie_id, distance): per user, the k nearest of every block looked into.
+def search_cells(probes: DataFrame, items: DataFrame, k: int, products: bool = False) -> DataFrame:
+    """(user_id, movie_id, distance) and, if asked for, product: per user, the k nearest of every block looked into.
 
     ``probes`` has user_id, vector, cell; ``items`` has movie_id, vector, cell.
     """
@@ -177,12 +179,13 @@ def search_cells(probes: DataFrame, items: DataFrame, k: int) -> DataFrame:
     chunk, block = _part_of("user_id", F.col("_chunks")), _part_of("movie_id", F.col("_blocks"))
     left = probes.join(layout, "cell").select("cell", _each(F.col("_blocks")).alias("block"), chunk.alias("chunk"), "user_id", "vector")
     right = items.join(layout, "cell").select("cell", block.alias("block"), _each(F.col("_chunks")).alias("chunk"), "movie_id", "vector")
-    return _compare(left, right, ["cell", "block", "chunk"], k)
+    return _compare(left, right, ["cell", "block", "chunk"], k, products)
 
 
-def _compare(left: DataFrame, right: DataFrame, key: list[str], k: int) -> DataFrame:
+def _compare(left: DataFrame, right: DataFrame, key: list[str], k: int, products: bool) -> DataFrame:
     schema = f"user_id {_type(left, 'user_id')}, movie_id {_type(right, 'movie_id')}, distance double"
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_nearest_in_block(k), schema)
+    kernel, schema = (_nearest_in_block(k, True), f"{schema}, product double") if products else (_nearest_in_block(k), schema)
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(kernel, schema)
 
 
 def _type(df: DataFrame, column: str) -> str:
@@ -259,9 +262,9 @@ def _packs(sizes: dict[int, int], cells: int, block_items: int) -> np.ndarray:
 
 def top_k_exact(
     users: DataFrame, items: DataFrame, k: int, probes: int = PROBES, centres: np.ndarray | None = None,
-    block_items: int = BLOCK_ITEMS,
+    block_items: int = BLOCK_ITEMS, with_product: bool = False,
 ) -> DataFrame:
-    """Exact top k, by one way at every size.
+    """Exact top k, by one way at every size; ``with_product`` adds the inner product of the vectors.
 
     The packs holding a user's nearest cells are searched first; the k-th distance
     found then rules out every other cell that the triangle inequality puts farther
@@ -271,7 +274,7 @@ def top_k_exact(
     users, items = users.select("user_id", "vector"), items.select("movie_id", "vector")
     centres = pick_centres(items) if centres is None else centres
     if not len(centres):
-        schema = f"user_id {_type(users, 'user_id')}, movie_id {_type(items, 'movie_id')}, distance double"
+        schema = f"user_id {_type(users, 'user_id')}, movie_id {_type(items, 'movie_id')}, distance double{', product double' if with_product else ''}"
         return nearest(items.sparkSession.createDataFrame([], schema), k)
     celled = stage(assign_cells(items, centres), "celled-items")
     stats = celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("radius").alias("far"), F.min("radius").alias("near")).collect()
@@ -284,13 +287,13 @@ def top_k_exact(
     packed = celled.select("movie_id", "vector", pack_of("cell").alias("cell"))
     ordered = _with_pack_order(users, centres, packs, near, far)
     first = F.array_distinct(F.slice("_order", 1, probes)["pack"])
-    found = nearest(search_cells(ordered.select("user_id", "vector", F.explode(first).alias("cell")), packed, k), k).drop("rank")
+    found = nearest(search_cells(ordered.select("user_id", "vector", F.explode(first).alias("cell")), packed, k, with_product), k).drop("rank")
     found = stage(found, "nearest-so-far")
     bound = found.groupBy("user_id").agg(F.when(F.count("*") >= k, F.max("distance")).alias("_bound"))
     limit = F.coalesce("_bound", F.lit(float("inf"))) + _SLACK
     rest = F.array_except(F.array_distinct(F.filter("_order", lambda c: c["bound"] <= limit)["pack"]), first)
     more = ordered.join(bound, "user_id", "left").select("user_id", "vector", F.explode(rest).alias("cell"))
-    return nearest(found.unionByName(search_cells(more, packed, k)), k)
+    return nearest(found.unionByName(search_cells(more, packed, k, with_product)), k)
 
 
 def top_k_by_hash(
@@ -327,23 +330,31 @@ def mmr_rerank(candidates: DataFrame, users: DataFrame, items: DataFrame, k: int
     a few times k rows per user. Choosing is sequential within a user, and users
     run apart.
     """
-    rows = (
-        candidates.select("user_id", "movie_id", "rank")
-        .join(users.select("user_id", F.col("vector").alias("user_vector")), "user_id")
-        .join(items.select("movie_id", F.col("vector").alias("item_vector")), "movie_id")
-    )
+    candidates = stage(candidates.select("user_id", "movie_id", "rank"), "mmr-pool")  # read three times
+    chunks = -(-candidates.agg(F.count_distinct("user_id")).first()[0] // CHUNK_USERS) or 1
+    chunk = F.pmod(F.xxhash64("user_id"), F.lit(chunks)).alias("chunk")
+    pools = candidates.select("user_id", "movie_id", "rank", chunk).join(items.select("movie_id", "vector"), "movie_id")
+    asked = candidates.select("user_id").distinct().join(users.select("user_id", "vector"), "user_id").select(
+        F.col("user_id").alias("of"), F.col("vector").alias("own"), chunk.alias("of_chunk"))  # no name or origin shared with the pools
     schema = f"user_id {_type(candidates, 'user_id')}, movie_id {_type(candidates, 'movie_id')}, position int, mmr double"
 
-    def stacked(vectors: pd.Series) -> np.ndarray:
-        return np.stack(vectors.to_numpy()).astype("float64")
-
-    def rerank(pool: pd.DataFrame) -> pd.DataFrame:
-        pool = pool.sort_values("rank").reset_index(drop=True)
-        chosen, scores = mmr_order(stacked(pool["user_vector"])[0], stacked(pool["item_vector"]), k, weight)
-        return pd.DataFrame({"user_id": pool["user_id"].iloc[chosen].to_numpy(), "movie_id": pool["movie_id"].iloc[chosen].to_numpy(),
-                             "position": np.arange(1, len(chosen) + 1, dtype="int32"), "mmr": scores})
-
-    return rows.groupBy("user_id").applyInPandas(rerank, schema)
+    def rerank(pool: pa.Table, of: pa.Table) -> pa.Table:
+        pool = pool.sort_by([("user_id", "ascending"), ("rank", "ascending")])
+        vectors = as_matrix(pool.column("vector")) if pool.num_rows else np.zeros((0, 0))
+        own = dict(zip(of.column("of").to_pylist(), as_matrix(of.column("own")) if of.num_rows else ()))
+        ids = pool.column("user_id").to_pylist()
+        edges = [0, *(i for i in range(1, len(ids)) if ids[i] != ids[i - 1]), len(ids)]
+        at, position, scores = [], [], []
+        for first, end in zip(edges, edges[1:]):
+            if end > first and ids[first] in own:
+                chosen, values = mmr_order(own[ids[first]], vectors[first:end], k, weight)
+                at += [first + c for c in chosen]
+                position += range(1, len(chosen) + 1)
+                scores += values
+        taken = pool.select(["user_id", "movie_id"]).take(pa.array(at, pa.int64()))
+        return taken.append_column("position", pa.array(position, pa.int32())).append_column("mmr", pa.array(scores, pa.float64()))
+
+    return pools.groupBy("chunk").cogroup(asked.groupBy("of_chunk")).applyInArrow(rerank, schema)
 
 
 def mmr_order(user: np.ndarray, pool: np.ndarray, k: int, weight: float) -> tuple[list[int], list[float]]:

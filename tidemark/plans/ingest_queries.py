@@ -432,6 +432,6 @@ def archive_lookup(t: Tables) -> DataFrame:
     archive.append(rows, path)
     archive.delete(t.spark, path, "[05]$")
     stored = archive.read(t.spark, path)
-    found = {"id": archive.find(stored, event_id="event_42"), "user": archive.find(stored, user_id="user_7"),
+    found = {"id": archive.lookup(t.spark, path, ["event_42", "event_40"]), "user": archive.find(stored, user_id="user_7"),
              "pattern": archive.find(stored, id_pattern="^event_[0-9]*3$")}
     return sources.union_events(*[df.withColumn("found_by", F.lit(how)) for how, df in found.items()])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.timegrid import as_time
-from tidemark.operators import alerts, monitor, profile
+from tidemark.operators import alerts, monitor, profile, sketches
 from tidemark.plans.check_tables import add_table
 from tidemark.plans.feature_queries import rounded
 from tidemark.plans.registry import query
@@ -315,6 +315,51 @@ def alerts_routed(t: Tables) -> DataFrame:
         F.count("*").alias("steps"), F.sum("alerts").alias("alerts"))
 
 
+# ---------------------------------------------------------------- sketches
+
+
+@query("sketched_quantiles", """
+    SELECT d.day AS last_day, d.endpoint, q.name AS quantile, count(*) AS n, true AS within
+    FROM (SELECT DISTINCT ts::DATE AS day, endpoint FROM requests) d
+      JOIN requests r ON r.endpoint = d.endpoint AND r.ts::DATE BETWEEN d.day - 6 AND d.day,
+      (VALUES ('p50'), ('p95'), ('p99')) q(name)
+    WHERE d.day % 7 = 0 GROUP BY 1, 2, 3""".replace("d.day % 7 = 0", "day(d.day) % 7 = 0"))
+def sketched_quantiles(t: Tables) -> DataFrame:
+    """Quantiles of seven days merged from daily sketches, and whether each has a rank in the
+    raw durations within 3 % of the one asked for."""
+    log, wanted = t.requests.select("ts", "endpoint", "duration_s"), {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    daily = sketches.daily_sketches(log, ["endpoint"], "ts", value="duration_s")
+    found = sketches.quantiles(sketches.merged(daily, ["endpoint"], 7).filter(F.dayofmonth("last_day") % 7 == 0), wanted)
+    rows = found.select("last_day", "endpoint", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("quantile"), F.lit(q).alias("rank"), F.col(n).alias("estimate")) for n, q in wanted.items()])).alias("_q")).select(
+        "last_day", "endpoint", "_q.*")
+    raw = log.select("endpoint", "duration_s", F.explode(F.transform(F.sequence(F.lit(0), F.lit(6)), lambda i: F.date_add(F.to_date("ts"), i))).alias("last_day"))
+    ranks = raw.join(rows, ["last_day", "endpoint"]).groupBy("last_day", "endpoint", "quantile", "rank").agg(
+        F.count("*").alias("n"), F.count_if(F.col("duration_s") <= F.col("estimate")).alias("upto"), F.count_if(F.col("duration_s") < F.col("estimate")).alias("under"))
+    fits = (F.col("upto") / F.col("n") >= F.col("rank") - 0.03) & (F.col("under") / F.col("n") <= F.col("rank") + 0.03)
+    return ranks.select("last_day", "endpoint", "quantile", "n", fits.alias("within"))
+
+
+@query("sketched_viewers", """
+    SELECT d.day AS last_day, d.movie_id, count(DISTINCT i.user_id) AS viewers, true AS within
+    FROM (SELECT DISTINCT "timestamp"::DATE AS day, movie_id FROM interactions WHERE event_type = 'view') d
+      JOIN interactions i ON i.movie_id = d.movie_id AND i.event_type = 'view' AND i."timestamp"::DATE BETWEEN d.day - 29 AND d.day
+    WHERE day(d.day) IN (10, 20, 30) GROUP BY 1, 2""")
+def sketched_viewers(t: Tables) -> DataFrame:
+    """Viewers of an item in thirty days merged from daily sketches: the exact number, and
+    whether the estimate is within 8 % of it, or 1."""
+    views = t.interactions.filter("event_type = 'view'").select("timestamp", "movie_id", "user_id")
+    daily = sketches.daily_sketches(views, ["movie_id"], "timestamp", ids="user_id")
+    at = F.dayofmonth("last_day").isin(10, 20, 30)
+    found = sketches.distinct_ids(sketches.merged(daily, ["movie_id"], 30).filter(at), "estimate")
+    once = views.select("movie_id", "user_id", F.to_date("timestamp").alias("day")).distinct()
+    spread = once.select("movie_id", "user_id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(29)), lambda i: F.date_add("day", i))).alias("last_day"))
+    exact = spread.filter(at).groupBy("last_day", "movie_id").agg(F.count_distinct("user_id").alias("viewers"))
+    off = F.abs(F.col("estimate") - F.col("viewers"))
+    return found.join(exact, ["last_day", "movie_id"]).select(
+        "last_day", "movie_id", "viewers", (off <= F.greatest(F.lit(1.0), F.col("viewers") * 0.08)).alias("within"))
+
+
 # ---------------------------------------------------------------- profiles
 
 

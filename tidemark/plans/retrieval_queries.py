@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.arrow import as_matrix
 from tidemark.operators import recommend, retrieval
+from tidemark.operators.served import ServedLists
 from tidemark.plans.check_tables import add_table
 from tidemark.plans.feature_queries import rounded
 from tidemark.plans.registry import query
@@ -90,13 +91,47 @@ def cosine_sim(t: Tables) -> DataFrame:
     return rounded(recommend.cosine_pairs(viewed_pairs(t), *vector_tables(t)))
 
 
-@query("mmr_rerank")
+@query("mmr_rerank", f"""
+    SELECT * FROM (WITH RECURSIVE pool AS (
+      SELECT user_id, movie_id, rank, v, list_dot_product(v, u) / (sqrt(list_dot_product(v, v)) * sqrt(list_dot_product(u, u)) + 1e-8::DOUBLE) AS rel
+      FROM ({_nearest_sql('vector_users', 5 * K)}) JOIN (SELECT vec_id AS movie_id, embedding::DOUBLE[] AS v FROM embeddings) USING (movie_id)
+        JOIN (SELECT user_id, vector AS u FROM vector_users) USING (user_id) WHERE movie_id <> user_id),
+    steps AS (
+      SELECT user_id, movie_id, rank, v, rel, NULL::DOUBLE AS closest, rel AS score, 1 AS position,
+        row_number() OVER (PARTITION BY user_id ORDER BY rel DESC, rank) = 1 AS picked FROM pool
+      UNION ALL
+      SELECT user_id, movie_id, rank, v, rel, closest, score, position,
+        row_number() OVER (PARTITION BY user_id ORDER BY score DESC, rank) = 1 AS picked
+      FROM (
+        SELECT *, 0.5::DOUBLE * rel - 0.5::DOUBLE * closest AS score FROM (
+          SELECT s.user_id, s.movie_id, s.rank, s.v, s.rel, s.position + 1 AS position,
+            greatest(s.closest, list_dot_product(s.v, p.v) / (sqrt(list_dot_product(s.v, s.v)) * sqrt(list_dot_product(p.v, p.v)) + 1e-8::DOUBLE)) AS closest
+          FROM steps s JOIN steps p ON p.user_id = s.user_id AND p.position = s.position AND p.picked
+          WHERE NOT s.picked AND s.position < {K})))
+    SELECT user_id, movie_id, position::INTEGER AS position, round(score, 6) AS mmr FROM steps WHERE picked)""")
 def mmr_rerank(t: Tables) -> DataFrame:
+    """Every user's pool without the item of the same vector, which all others would tie behind."""
     users, items = sized_vectors(t)
-    pool = retrieval.top_k_exact(users, items, 5 * K)
+    pool = retrieval.top_k_exact(users, items, 5 * K).filter("movie_id <> user_id")
     return rounded(retrieval.mmr_rerank(pool, users, items, K))
 
 
+@query("vector_misfits", """
+    SELECT 'user' AS side, vec_id AS id, 63::INTEGER AS dimension FROM embeddings WHERE vec_id % 7 = 3
+    UNION ALL SELECT 'user', vec_id, -1::INTEGER FROM embeddings WHERE vec_id % 7 = 5
+    UNION ALL SELECT 'item', vec_id, 65::INTEGER FROM embeddings WHERE vec_id % 11 = 4""")
+def vector_misfits(t: Tables) -> DataFrame:
+    """Vectors a search leaves out, with the dimension they have; -1 where there is none."""
+    users, items = vector_tables(t)
+    vector, odd = F.col("vector"), F.col("user_id") % 7
+    users = users.withColumn("vector", F.when(odd == 3, F.slice(vector, 1, 63)).when(odd != 5, vector))
+    items = items.withColumn("vector", F.when(F.col("movie_id") % 11 == 4, F.array_append(vector, F.lit(0.0).cast("float"))).otherwise(vector))
+    sides = ((users, "user_id", "user"), (items, "movie_id", "item"))
+    parts = [retrieval.split_by_dimension(df, "vector", 64)[1].select(
+        F.lit(side).alias("side"), F.col(key).alias("id"), F.coalesce(F.size("vector"), F.lit(-1)).alias("dimension")) for df, key, side in sides]
+    return parts[0].unionByName(parts[1])
+
+
 @query("vector_stats", """
     SELECT count(*) AS vectors, max(len(embedding))::INTEGER AS dimension,
       greatest(1, floor(sqrt(count(*))))::INTEGER AS cells, 10::INTEGER AS probes FROM embeddings""")
@@ -225,10 +260,15 @@ def batch_recs(t: Tables) -> DataFrame:
       AND user_id NOT IN (SELECT user_id FROM interactions WHERE event_type = 'rating' AND "timestamp" >= TIMESTAMP '2024-01-29')
     GROUP BY user_id, k""")
 def fresh_recs(t: Tables) -> DataFrame:
-    """Views stand for served lists; users who rated lately have theirs dropped."""
-    served = t.interactions.filter("event_type = 'view'").select(
+    """Views stand for served lists, written in two rounds; users who rated lately have theirs dropped."""
+    lists = t.interactions.filter("event_type = 'view'").select(
         "user_id", F.when(F.col("event_id") % 2 == 0, 10).otherwise(20).alias("k"), "movie_id",
         F.col("timestamp").alias("generated_at"))
-    changed = t.interactions.filter("event_type = 'rating'").filter(
-        F.col("timestamp") >= F.lit("2024-01-29 00:00:00").cast("timestamp_ntz"))
-    return recommend.fresh_lists(recommend.drop_users(served, changed), "2024-01-20 00:00:00", 86400)
+    at = lambda when: F.lit(when).cast("timestamp_ntz")
+    changed = t.interactions.filter("event_type = 'rating'").filter(F.col("timestamp") >= at("2024-01-29 00:00:00"))
+    table = ServedLists(t.spark, scratch_path(t.spark, "served"))
+    noon, now = at("2024-01-19 12:00:00"), at("2024-01-20 00:00:00")
+    table.put(lists.filter(F.col("generated_at") <= noon))
+    table.put(lists.filter((F.col("generated_at") > noon) & (F.col("generated_at") <= now)))
+    table.drop(changed)
+    return table.fresh("2024-01-20 00:00:00", 86400)
