@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from tidemark.operators import features
-from tidemark.sources import archive, events as sources
+from tidemark.sources import archive, events as sources, record_log
 from tidemark.streaming import jobs
 
 START = datetime(2024, 1, 1)
@@ -152,3 +152,33 @@ def test_windows_of_three_widths_from_one_state_of_panes(spark, tmp_path):
     got = jobs.latest_windows(spark, f"{base}/windows", ["width", "endpoint"], "window_end").collect()
     assert {(r.width, r.endpoint, r.window_end): r.requests for r in got} == want
     assert all(r.latency_counts[-1] == r.requests >= r.errors for r in got)
+
+
+def test_a_log_of_records_is_read_in_order_capped_and_resumed(spark, tmp_path):
+    log, out, check = (str(tmp_path / n) for n in ("log", "out", "check"))
+    schema = "topic string, partition int, offset long, key string, value string, timestamp timestamp"
+
+    def add(topic, partition, first, n):
+        record_log.append(spark.createDataFrame([(topic, partition, first + i, None, f"v{first + i}", START) for i in range(n)], schema), log)
+
+    def run(cap=None):
+        """(topic, partition) and offsets of each batch, in order of reading."""
+        rows = record_log.stream(spark, log, cap, topics="a.*")
+        started = rows.writeStream.foreachBatch(jobs.into_batches(out)).option("checkpointLocation", check).start()
+        started.processAllAvailable()
+        started.stop()
+        batches = [p for p in started.recentProgress if p["numInputRows"]]
+        return [p["numInputRows"] for p in batches]
+
+    add("a", 0, 0, 25), add("a", 1, 5, 3), add("a b", 0, 0, 4), add("other", 0, 0, 9)
+    assert run(cap=10) == [10 + 3 + 4, 10, 5]
+    add("a", 0, 25, 12), add("a", 2, 0, 1)
+    again = run(cap=10)  # counted from what the group committed, which may be a batch behind
+    assert sum(again) == 12 + 1 and max(again) <= 10 + 1
+    assert run() == []
+    add("a", 1, 8, 30)
+    assert run() == [30]
+    got = spark.read.parquet(out).collect()
+    assert Counter((r.topic, r.partition, r.offset) for r in got) == Counter(
+        [("a", 0, i) for i in range(37)] + [("a", 1, i) for i in range(5, 38)] + [("a", 2, 0)] + [("a b", 0, i) for i in range(4)])
+    assert all(r.value == f"v{r.offset}" and r.key is None for r in got)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tidemark.functions.columns import endpoint_template as template_of, status_class as class_of
 from tidemark.operators import validate
@@ -13,8 +13,9 @@ from tidemark.plans.feature_queries import rounded
 from tidemark.plans.registry import query
 from tidemark.plans.tables import Tables
 from tidemark.session import scratch_path, stage
-from tidemark.sources import archive, events as sources
+from tidemark.sources import archive, events as sources, record_log
 from tidemark.sources.schemas import CORRUPT
+from tidemark.streaming.jobs import drain, into_batches
 
 NOW = "2024-01-28 00:00:00"
 
@@ -299,6 +300,27 @@ def resume_per_topic(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, runs)
 
 
+@query("topic_stream", """
+    SELECT 'movie-events-' || event_type AS _kafka_topic, (event_id % 3)::INTEGER AS _kafka_partition, event_id AS _kafka_offset,
+      event_id % 29 = 0 AS corrupt, row_number() OVER (PARTITION BY event_type, event_id % 3 ORDER BY event_id) > n // 3 AS later
+    FROM raw_events JOIN (SELECT event_type, event_id % 3 AS p, count(*) AS n FROM raw_events GROUP BY 1, 2) c USING (event_type)
+    WHERE c.p = event_id % 3""")
+def topic_stream(t: Tables) -> DataFrame:
+    """Topics read as a stream from a log of records: a third of each partition is there at
+    first, the rest comes later; the second run goes on where the first stopped."""
+    base = scratch_path(t.spark, "topics")
+    every = records(t).select("topic", "partition", "offset", F.lit(None).cast("string").alias("key"), F.col("value").cast("string"), F.current_timestamp().alias("timestamp"))
+    place = F.row_number().over(W.partitionBy("topic", "partition").orderBy("offset"))
+    part = F.floor(F.count("*").over(W.partitionBy("topic", "partition")) / 3)
+    dealt = stage(every.withColumn("later", place > part), "records")
+    for number, later in enumerate((False, True)):
+        record_log.append(dealt.filter(F.col("later") == later).drop("later"), f"{base}/log")
+        read = sources.with_origin(sources.decode(record_log.stream(t.spark, f"{base}/log")))
+        kept = read.select("_kafka_topic", "_kafka_partition", "_kafka_offset", F.col(CORRUPT).isNotNull().alias("corrupt"), F.lit(bool(number)).alias("later"))
+        drain(kept.writeStream.foreachBatch(into_batches(f"{base}/table")).option("checkpointLocation", f"{base}/checkpoint"))
+    return t.spark.read.parquet(f"{base}/table").drop("batch")
+
+
 @query(
     "extraction_summary",
     """SELECT CASE WHEN grouping(event_type) = 1 THEN 'all' ELSE 'movie-events-' || event_type END AS topic,

@@ -18,12 +18,13 @@ SNAPSHOTS = ("2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00"
 READ_AT = "2024-01-18 12:00:00"
 USER_FEATURES = [c.strip() for c in USER_COLUMNS.split(",")]
 MORE_FEATURES = ["unique_genres_watched", "favorite_genre", "peak_activity_hour"]
-ITEM_FEATURES = ["total_views", "unique_viewers", "avg_rating", "popularity_trend"]
+ALL_USER_FEATURES = [*USER_FEATURES, *MORE_FEATURES]
+ITEM_FEATURES = ["total_views", "unique_viewers", "avg_rating", "popularity_trend", "completion_rate", "days_since_release"]
 
 
 def user_snapshot(t: Tables, when: str) -> DataFrame:
     """Long user features as of ``when``, created some hours later by user."""
-    wide = rounded(feats.user_activity(t.interactions, when)).select("user_id", *USER_FEATURES)
+    wide = rounded(feats.user_features(t.interactions, when, t.items)).select("user_id", *ALL_USER_FEATURES)
     return store.to_long(wide, ["user_id"], F.lit(when), F.lit(when).cast("timestamp_ntz")).select(
         F.lit("user").alias("entity_type"), F.col("user_id").alias("entity_id"), "feature_name", "feature_value",
         "feature_type", "as_of_date",
@@ -33,7 +34,7 @@ def user_snapshot(t: Tables, when: str) -> DataFrame:
 
 
 def item_snapshot(t: Tables, when: str) -> DataFrame:
-    wide = rounded(feats.item_activity(t.interactions, when)).select("movie_id", *ITEM_FEATURES)
+    wide = rounded(feats.item_features(t.interactions, when, t.items)).select("movie_id", *ITEM_FEATURES)
     return store.entity_rows(wide, "movie_id", "movie", F.lit(when), F.lit(when))
 
 
@@ -58,10 +59,10 @@ def _long_sql(table: str, kind: str, key: str, columns: list[str], ints: set[str
 
 _USER_INTS = {c for c in USER_FEATURES if c.startswith(("watch_count", "days_since"))}
 _MORE_INTS = {"unique_genres_watched", "peak_activity_hour"}
-_ITEM_INTS = {"total_views", "unique_viewers"}
+_ITEM_INTS = {"total_views", "unique_viewers", "days_since_release"}
 
 add_table("user_store", " UNION ALL ".join(
-    _long_sql(user_activity_sql(s), "user", "user_id", USER_FEATURES, _USER_INTS, s,
+    _long_sql(user_features_sql(s), "user", "user_id", ALL_USER_FEATURES, _USER_INTS | _MORE_INTS, s,
               f"TIMESTAMP '{s}' + to_hours((user_id % 24)::INTEGER)")
     for s in SNAPSHOTS))
 add_table("movie_store", " UNION ALL ".join(
@@ -341,9 +342,9 @@ def pair_store(t: Tables) -> DataFrame:
     " UNION ALL ".join(
         _long_sql(sql, kind, key, columns, ints, "2024-01-20 00:00:00", "TIMESTAMP '2024-01-20'")
         for sql, kind, key, columns, ints in (
-            (user_features_sql("2024-01-20 00:00:00"), "user", "user_id", [*USER_FEATURES, *MORE_FEATURES], _USER_INTS | _MORE_INTS),
+            (user_features_sql("2024-01-20 00:00:00"), "user", "user_id", ALL_USER_FEATURES, _USER_INTS | _MORE_INTS),
             (item_features_sql("2024-01-20 00:00:00"), "movie", "movie_id",
-             [*ITEM_FEATURES, "completion_rate", "days_since_release"], _ITEM_INTS | {"days_since_release"}),
+             ITEM_FEATURES, _ITEM_INTS),
         )
     ),
 )
@@ -351,9 +352,9 @@ def feature_run(t: Tables) -> DataFrame:
     """The daily run: features of every user and movie as of one instant, saved and read back."""
     when = "2024-01-20 00:00:00"
     path = scratch_path(t.spark, "feature-run")
-    users = rounded(feats.user_features(t.interactions, when, t.items)).select("user_id", *USER_FEATURES, *MORE_FEATURES)
+    users = rounded(feats.user_features(t.interactions, when, t.items)).select("user_id", *ALL_USER_FEATURES)
     movies = rounded(feats.item_features(t.interactions, when, t.items)).select(
-        "movie_id", *ITEM_FEATURES, "completion_rate", "days_since_release")
+        "movie_id", *ITEM_FEATURES)
     rows = store.entity_rows(users, "user_id", "user", F.lit(when), F.lit(when)).unionByName(
         store.entity_rows(movies, "movie_id", "movie", F.lit(when), F.lit(when)))
     store.save_features(path, rows)
