@@ -11,8 +11,10 @@
    other's prefix.
 4. Pivots are joined with prefixes by gram, length and place: a place may shift by the
    difference of the lengths if the edit is before the gram, and not at all if it is after
-   it. The characters on the other side are then equal and part of the key, so a common gram
-   is no hot key. Pairs met are verified by their edit distance inside the join.
+   it. The characters on the other side are then equal and part of the key. Where there are
+   few of them, the side of the edit is cut in two: one half is equal as well, so it is
+   joined once by either. A common gram is no hot key that way. Pairs met are verified by
+   their edit distance inside the join.
 5. A word's form is its near word met most often, if at least twice as often as itself. Forms
    are followed to their roots by doubling steps.
 
@@ -41,6 +43,7 @@ LEAST_LENGTH, LEAST_COUNT = 5, 3
 RARITY = 97  # one run of so many is damaged
 LEAD = 2  # how many times as often as a word its form must be met
 PREFIX, PIVOTS = 3, 2
+SHORT = 3  # characters beside a gram that tell too few words apart
 FLUSH = 200_000  # distinct words a task holds before it passes their counts on
 RUN = re.compile("[a-zÀ-ÿ]{%d,}" % LEAST_LENGTH)
 
@@ -129,25 +132,44 @@ def with_grams(words: DataFrame, order: dict[str, tuple[int, int]]) -> DataFrame
     return words.select("word", "n").mapInArrow(place, "word string, n bigint, last int, prefix array<int>, pivots array<int>")
 
 
-def _key(word: Column, at: Column, other_length: Column, other_at: Column, left: bool) -> Column:
-    """Gram, the other word's length, the gram's place there, and the characters on the side that is equal."""
-    side = F.substr(word, F.lit(1), at) if left else F.substr(word, at + 3)
-    return F.xxhash64(F.substr(word, at + 1, F.lit(2)), other_length, other_at, F.lit(left), side)
+def _keys(word: Column, at: Column, change: int, left: bool, asking: bool) -> Column:
+    """Join keys of a gram for an edit on one side of it: right of it if ``left`` is the equal
+    side. ``change`` is by how much the posted word is longer than the asking one.
+
+    One edit in two strings leaves a common beginning and a common end that together are as
+    long as the shorter string, or one less if they are equally long; so one of two halves
+    of that length is equal.
+    """
+    length = F.length(word)
+    posted_length, posted_at = (length + change, at if left else at + change) if asking else (length, at)
+    asking_length = posted_length - change
+    equal, other = F.substr(word, F.lit(1), at), F.substr(word, at + 3)
+    if not left:
+        equal, other = other, equal
+    shorter = F.length(other) + (min(change, 0) if asking else min(-change, 0))
+    span = shorter - 1 if change == 0 else shorter
+    half = F.floor(F.greatest(span, F.lit(0)) / 2).cast("int")
+    base = F.xxhash64(F.substr(word, at + 1, F.lit(2)), posted_length, posted_at, F.lit(left), equal)
+    first = F.xxhash64(base, asking_length, F.lit(1), F.substr(other, F.lit(1), half))
+    last = F.xxhash64(base, asking_length, F.lit(2), F.substr(other, F.length(other) - (span - half) + 1))
+    # an unrefined key does not tell changes apart, so a posted word has it once
+    plain = F.array(base) if asking or change == 0 else F.array().cast("array<bigint>")
+    halves = F.when(span >= 0, F.array(first, last)).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.length(equal) < SHORT, halves).otherwise(plain)
 
 
 def near_pairs(words: DataFrame, scratch: Scratch) -> DataFrame:
     """(word, n, other, other_n): every two words one edit apart, both ways round."""
     grams = scratch.put(with_grams(words, gram_order(words)), "grams")
-    word, at, length = F.col("word"), F.col("at"), F.length("word")
-    keys = F.array(
-        _key(word, at, length, at, True), _key(word, at, length, at, False),
-        *[_key(word, at, length + d, at, True) for d in (-1, 1)], *[_key(word, at, length + d, at + d, False) for d in (-1, 1)],
-    )
+    word, at = F.col("word"), F.col("at")
+
+    def keyed(asking: bool) -> Column:
+        return F.explode(F.array_distinct(F.flatten(F.array(*[_keys(word, at, d, left, asking) for left in (True, False) for d in (-1, 0, 1)]))))
+
     asking = grams.select("word", "n", "last", F.explode("pivots").alias("at")).select(
-        F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("last").alias("a_last"), F.explode(keys).alias("key"))
+        word.alias("a"), F.col("n").alias("a_n"), F.col("last").alias("a_last"), keyed(True).alias("key"))
     posted = grams.select("word", "n", "last", F.explode("prefix").alias("at")).select(
-        F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("last").alias("b_last"),
-        F.explode(F.array(*[_key(word, at, length, at, left) for left in (True, False)])).alias("key"))
+        word.alias("b"), F.col("n").alias("b_n"), F.col("last").alias("b_last"), keyed(False).alias("key"))
     met = asking.join(
         posted, (asking["key"] == posted["key"]) & (F.col("a_last") <= F.col("b_last")) & (F.levenshtein("a", "b", 1) == 1))
     first = F.col("a") < F.col("b")
