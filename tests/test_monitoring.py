@@ -1,12 +1,13 @@
 """Histograms, windows, alert holds and routing, worked by hand."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.timegrid import bucket_quantile, sliding, step_of
-from tidemark.operators import alerts, monitor, profile, search
+from tidemark.operators import alerts, monitor, profile, search, sketches
 
 START = datetime(2024, 1, 1)
 LOG = "ts timestamp_ntz, endpoint string, method string, status int, duration_s double, cached boolean, stage string, fallback_type string, score double"
@@ -134,3 +135,38 @@ def test_a_counter_grows_over_its_restarts(spark):
         rows = [(start + timedelta(minutes=i), "restarts", "svc", v) for i, v in enumerate(values)]
         df = spark.createDataFrame(rows, "ts timestamp_ntz, metric string, instance string, value double")
         assert sum(r.rise for r in monitor.gauge_steps(df).collect()) == grown
+
+
+@pytest.mark.parametrize("window", [30, 300, 1_800, 86_400])
+def test_windows_by_change_points_equal_every_window(spark, window):
+    """Two series over four days with rows at and around midnight, several rows a step."""
+    rng = random.Random(window)
+    day = 86_400
+    steps = [d * day + o for d in range(1, 4) for o in (-60, -30, 0, 30, 1_770, 1_800)] + [rng.randrange(day, 4 * day) // 30 * 30 for _ in range(40)]
+    rows = [(rng.choice("ab"), s, rng.randrange(9), rng.choice((None, rng.randrange(5)))) for s in steps for _ in range(rng.randint(1, 2))]
+    frame = spark.createDataFrame(rows, "k string, step long, x int, y int")
+    got = sliding(frame, ["k"], {"x": F.sum("x"), "top": F.max("x"), "y": F.sum("y")}, window)
+    want = {}
+    for k, s, x, y in rows:
+        for later in range(0, window, 30):
+            at = want.setdefault((k, s + later), [0, 0, None])
+            at[0], at[1] = at[0] + x, max(at[1], x)
+            at[2] = at[2] if y is None else (at[2] or 0) + y
+    assert {(r.k, r.eval_at): [r.x, r.top, r.y] for r in got.collect()} == want
+    assert got.count() == len(want)
+
+
+def test_sketches_merge_to_the_whole(spark):
+    rng = random.Random(5)
+    start = datetime(2024, 1, 1)
+    rows = [(rng.choice(("a", "b")), start + timedelta(days=rng.randrange(10)), f"u{rng.randrange(3_000)}", rng.expovariate(1)) for _ in range(20_000)]
+    frame = spark.createDataFrame(rows, "k string, ts timestamp_ntz, user string, v double")
+    daily = sketches.daily_sketches(frame, ["k"], "ts", ids="user", value="v")
+    found = sketches.quantiles(sketches.distinct_ids(sketches.merged(daily, ["k"], 4)), {"p50": 0.5, "p95": 0.95}).collect()
+    assert len(found) == 20
+    for r in found:
+        inside = [(u, v) for k, ts, u, v in rows if k == r.k and 0 <= (r.last_day - ts.date()).days < 4]
+        values = sorted(v for _, v in inside)
+        assert r.n == len(inside) and abs(r.distinct_ids - len({u for u, _ in inside})) <= 0.08 * r.distinct_ids
+        for q, p in ((0.5, r.p50), (0.95, r.p95)):
+            assert abs(sum(v <= p for v in values) / len(values) - q) <= 0.03
