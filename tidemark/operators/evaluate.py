@@ -143,3 +143,11 @@ def latest_version(runs: DataFrame, stage: str | None = None) -> DataFrame:
         runs = runs.filter(F.col("stage") == stage)
     newest = F.max_by(F.struct("version", "stage", "created_at"), F.struct("created_at", "version"))
     return runs.groupBy("model").agg(newest.alias("_r")).select("model", "_r.*")
+
+
+def list_versions(runs: DataFrame, stage: str | None = None) -> DataFrame:
+    """(model, version, stage, created_at) of every version, in the stage it was last moved
+    to; those of one stage only, if given."""
+    newest = F.max(F.struct("created_at", "stage")).alias("_r")
+    listed = runs.groupBy("model", "version").agg(newest).select("model", "version", "_r.stage", "_r.created_at")
+    return listed if stage is None else listed.filter(F.col("stage") == stage)

@@ -30,6 +30,8 @@ STAGE_BOUNDS = {
     "retrieval": (0.001, 0.005, 0.01, 0.025, 0.05, 0.1),
     "ranking": (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5),
 }
+INFERENCE_BOUNDS = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0)
+CACHE_BOUNDS = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1)
 STAGE_QUANTILES = {"recommendation": 0.95, "retrieval": 0.5, "ranking": 0.5}
 SCORE_BOUNDS = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
 SCORE_MEAN_RANGE = (0.3, 0.9)
@@ -114,6 +116,17 @@ def latency_histogram(log: DataFrame, keys: Sequence[str | Column] = ("endpoint"
     return bucket_rows(counted, "counts", bounds)
 
 
+def inference_histogram(log: DataFrame) -> DataFrame:
+    """Durations of each model stage, as cumulative counts per upper bound and stage."""
+    return latency_histogram(log.filter(F.col("stage").isNotNull()), ["stage"], INFERENCE_BOUNDS)
+
+
+def cache_histogram(log: DataFrame) -> DataFrame:
+    """Durations of cache operations per endpoint: a hit is a ``get``, a miss a ``set``."""
+    operation = F.when(F.col("cached"), "get").otherwise("set").alias("operation")
+    return latency_histogram(log.filter(F.col("cached").isNotNull()), [operation, "endpoint"], CACHE_BOUNDS)
+
+
 def histogram_quantiles(
     log: DataFrame, keys: Sequence[str | Column] = ("endpoint",), quantiles: Sequence[float] = QUANTILES,
     bounds: Sequence[float] = REQUEST_BOUNDS,

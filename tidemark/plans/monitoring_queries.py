@@ -98,6 +98,23 @@ def latency_histogram(t: Tables) -> DataFrame:
     return monitor.latency_histogram(t.requests)
 
 
+def _histogram_sql(keys: str, columns: str, where: str, bounds: tuple) -> str:
+    labels = ", ".join(f"{b}::DOUBLE" for b in bounds)
+    return f"""SELECT {columns}, unnest([{labels}, 'inf'::DOUBLE]) AS le, unnest(c) AS cumulative
+      FROM (SELECT {keys}, {counts_sql('duration_s', bounds)} AS c FROM requests WHERE {where} GROUP BY ALL)"""
+
+
+@query("inference_histogram", _histogram_sql("stage", "stage", "stage IS NOT NULL", monitor.INFERENCE_BOUNDS))
+def inference_histogram(t: Tables) -> DataFrame:
+    return monitor.inference_histogram(t.requests)
+
+
+@query("cache_histogram", _histogram_sql(
+    "CASE WHEN cached THEN 'get' ELSE 'set' END AS operation, endpoint", "operation, endpoint", "cached IS NOT NULL", monitor.CACHE_BOUNDS))
+def cache_histogram(t: Tables) -> DataFrame:
+    return monitor.cache_histogram(t.requests)
+
+
 @query("histogram_quantile", f"""
     SELECT endpoint, round(a.v, 6) AS p50, round(b.v, 6) AS p95, round(d.v, 6) AS p99
     FROM ({quantile_sql(_BY_ENDPOINT, "endpoint", 0.5, monitor.REQUEST_BOUNDS)}) a

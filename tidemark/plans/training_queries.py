@@ -341,3 +341,17 @@ def latest_version(t: Tables) -> DataFrame:
     both = evaluate.latest_version(runs).withColumn("wanted", F.lit("any")).unionByName(
         evaluate.latest_version(runs, "production").withColumn("wanted", F.lit("production")))
     return both.drop("stage")
+
+
+@query("versions_by_stage", """
+    SELECT event_type AS model, user_id AS version, ['none', 'staging', 'production'][arg_max((props->>'$.k')::BIGINT % 3, (ts, event_id))::INTEGER + 1] AS stage,
+      max(ts) AS created_at
+    FROM events GROUP BY 1, 2 HAVING stage <> 'none'""")
+def versions_by_stage(t: Tables) -> DataFrame:
+    """Every event moves the version of its user to a stage; those now staged or in production."""
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    names = F.array(F.lit("none"), F.lit("staging"), F.lit("production"))
+    last = F.max_by(F.struct(F.get(names, (k % 3).cast("int")).alias("stage"), F.col("ts").alias("created_at")), F.struct("ts", "event_id"))
+    moved = t.raw("events").groupBy(F.col("event_type").alias("model"), F.col("user_id").alias("version"), "ts").agg(last.alias("_r")).select(
+        "model", "version", "_r.*")
+    return evaluate.list_versions(moved, "staging").unionByName(evaluate.list_versions(moved, "production"))
