@@ -230,3 +230,40 @@ def test_served_lists_are_replaced_dropped_and_kept_by_bucket(spark, tmp_path):
     assert table.read() is None or table.read().count() == 0
     table.put(lists((1, 10, 1, 1)))
     assert held() == {(1, 10): 1}
+
+
+def test_two_levels_of_cells(spark):
+    """Clusters of very unequal size: all items are assigned, each to a cell of the nearest
+    coarse cell, and the tuned search keeps its recall."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(12, DIM)) * 4
+    items = np.concatenate([centres[0] + 0.5 * rng.normal(size=(1200, DIM)), centres[rng.integers(0, 12, 800)] + 0.5 * rng.normal(size=(800, DIM))])
+    frames = table(spark, "user_id", enumerate(items[::50] + 0.01)), table(spark, "movie_id", enumerate(items))
+    cells = retrieval.fit_two_level(frames[1], sample=1_000)
+    assert len(cells.coarse) == 6 and 20 <= len(cells.centres) <= 50 and set(cells.owner) <= set(range(6))
+    for r in retrieval.assign_cells(frames[1], cells).collect():
+        v = np.array(r.vector)
+        inside = cells.owner == cells.owner[r.cell]
+        away = np.sqrt(((cells.centres - v) ** 2).sum(axis=1))
+        assert r.radius == pytest.approx(away[r.cell]) and away[r.cell] == pytest.approx(away[inside].min())
+        held = np.unique(cells.owner)
+        assert cells.owner[r.cell] == held[((cells.coarse[held] - v) ** 2).sum(axis=1).argmin()]
+    exact = retrieval.top_k_exact(*frames, 5)
+    probes, _ = retrieval.tuned_probes(*frames, 5, cells)
+    found = retrieval.top_k_by_cells(*frames, 5, centres=cells)
+    assert retrieval.recall_of(found, exact).first()["recall"] >= 0.9 and probes < len(cells.centres) / 2
+    with pytest.raises(ValueError):
+        retrieval.fit_two_level(frames[1].limit(0))
+    for few in (frames[1].limit(1), table(spark, "movie_id", [(i, [1.0] * DIM) for i in range(30)])):
+        cells = retrieval.fit_two_level(few)
+        assert len(cells.centres) == 1 and {r.cell for r in retrieval.assign_cells(few, cells).collect()} == {0}
+
+
+def test_probes_are_handed_on_in_bounded_batches(frames, monkeypatch):
+    monkeypatch.setattr(retrieval, "USERS_AT_ONCE", 7)
+    monkeypatch.setattr(retrieval, "EMIT_ROWS", 5)
+    users, items = frames
+    centres = retrieval.pick_centres(items, 20)
+    got = {(r.user_id, r.cell) for r in retrieval._nearest_cells(users, centres, 6).collect()}
+    want = {(r.user_id, c.cell) for r in retrieval._with_cell_order(users, centres).collect() for c in r._order[:6]}
+    assert got == want

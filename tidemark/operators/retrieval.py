@@ -10,9 +10,12 @@ equal tasks, and no more than k rows per user leave any of them.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -26,6 +29,9 @@ RECALL = 0.9  # fixed value: share of the nearest that a search of fitted cells
 MARGIN = 0.03  # fixed value: added to it on the sample, which other users may fall short of
 SAMPLE_USERS = 256  # users on whom probes are tuned, against the exact search
 
+FIT_ROWS = 1 << 18  # items that cells are fitted on, about
+USERS_AT_ONCE, EMIT_ROWS = 256, 8_192  # users compared with all cells at once, and rows of a batch handed on
+
 BLOCK_ITEMS = 4096
 CHUNK_USERS = 1024
 _SLACK = 1e-9  # keeps float error from dropping a candidate at a bound
@@ -63,6 +69,58 @@ def fit_cells(items: DataFrame, seed: int = 42, cells: int | None = None) -> np.
     return np.array(model.clusterCenters())
 
 
+@dataclass(frozen=True)
+class TwoLevel:
+    """Cells inside coarse cells: ``owner`` names the coarse cell of each."""
+
+    coarse: np.ndarray
+    centres: np.ndarray
+    owner: np.ndarray
+
+
+def fit_two_level(items: DataFrame, seed: int = 42, cells: int | None = None, sample: int = FIT_ROWS) -> TwoLevel:
+    """About the square root of the items as cells, fitted in two levels: coarse cells, about
+    the square root of the cells, and then the cells of each coarse cell by a task of its own.
+
+    Fitted on about ``sample`` items, those lowest in hash order; all items are assigned.
+    """
+    n_items = items.count()
+    if n_items == 0:
+        raise ValueError("there are no vectors to search")
+    cells = min(cells or cell_count(n_items), n_items)
+    share, parts = min(1.0, sample / n_items), 1 << 30
+    taken = items if share == 1.0 else items.filter(F.pmod(F.xxhash64("movie_id"), F.lit(parts)) < int(share * parts))
+    taken = stage(taken.select("movie_id", F.col("vector").cast("array<double>").alias("vector")), "fit-sample")
+    size = taken.count()
+    if size < 2:  # the clustering takes no fewer
+        only = as_matrix((taken if size else items).select(F.col("vector").cast("array<double>").alias("vector")).limit(1).toArrow().column("vector"))
+        return TwoLevel(only, only, np.zeros(1, dtype="int64"))
+    points = taken.select("movie_id", "vector", array_to_vector("vector").alias("features"))
+    model = KMeans(k=max(2, math.isqrt(cells)), seed=seed, maxIter=10, predictionCol="owner").fit(points)
+    coarse = np.array(model.clusterCenters())
+
+    def split(table: pa.Table) -> pa.Table:
+        rows = as_matrix(table.sort_by("movie_id").column("vector"))
+        inner = lloyd(rows, max(1, round(cells * len(rows) / size)))
+        return pa.table({"owner": pa.array(np.full(len(inner), table.column("owner")[0].as_py(), dtype="int32")), "centre": as_lists(inner)})
+
+    owned = model.transform(points).select("owner", "movie_id", "vector").groupBy("owner").applyInArrow(split, "owner int, centre array<double>")
+    found = owned.orderBy("owner", "centre").collect()  # one row per cell
+    return TwoLevel(coarse, np.array([r["centre"] for r in found]), np.array([r["owner"] for r in found]))
+
+
+def lloyd(points: np.ndarray, cells: int, rounds: int = 8) -> np.ndarray:
+    """Centres of at most ``cells`` clusters, from evenly spaced points; clusters left empty go."""
+    centres = np.unique(points[np.linspace(0, len(points) - 1, cells).astype(int)], axis=0)
+    for _ in range(rounds):
+        nearest_centre = np.concatenate([_distances(part, centres).argmin(axis=1) for part in np.array_split(points, len(points) // 4096 + 1)])
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest_centre, points)
+        sizes = np.bincount(nearest_centre, minlength=len(centres))
+        centres = sums[sizes > 0] / sizes[sizes > 0, None]
+    return centres
+
+
 def _distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Exact differences, in slices that keep the working set small."""
     step = max(1, 2_000_000 // centres.size)
@@ -70,14 +128,28 @@ def _distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def assign_cells(items: DataFrame, centres: np.ndarray) -> DataFrame:
-    """Add each item's nearest ``cell`` and its distance to that cell's centre."""
+def assign_cells(items: DataFrame, centres: np.ndarray | TwoLevel) -> DataFrame:
+    """Add each item's nearest ``cell`` and its distance to that cell's centre; of two levels
+    the nearest of the cells in the nearest coarse cell that has any."""
     shared = items.sparkSession.sparkContext.broadcast(centres)  # one row per cell
 
+    def nearest_of(points: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        d = _distances(points, rows)
+        at = d.argmin(axis=1)
+        return at, d[np.arange(len(d)), at]
+
     def nearest_cell(vectors: pa.Array) -> pa.Array:
-        d = _distances(as_matrix(vectors), shared.value)
-        cell = d.argmin(axis=1)
-        radius = d[np.arange(len(d)), cell]
+        points, given = as_matrix(vectors), shared.value
+        if isinstance(given, TwoLevel):
+            held = np.unique(given.owner)
+            owner = held[nearest_of(points, given.coarse[held])[0]]
+            cell, radius = np.zeros(len(points), dtype="int64"), np.zeros(len(points))
+            for o in np.unique(owner):
+                inside = np.flatnonzero(given.owner == o)
+                at, radius[owner == o] = nearest_of(points[owner == o], given.centres[inside])
+                cell[owner == o] = inside[at]
+        else:
+            cell, radius = nearest_of(points, given)
         return pa.StructArray.from_arrays([pa.array(cell.astype("int32")), pa.array(radius)], ["cell", "radius"])
 
     udf = F.arrow_udf(nearest_cell, "cell int, radius double")
@@ -99,22 +171,58 @@ def _with_cell_order(users: DataFrame, centres: np.ndarray) -> DataFrame:
     return ordered.select(*users.columns, F.arrays_zip("_o.cell", "_o.to_centre").alias("_order"))
 
 
-def _with_pack_order(users: DataFrame, centres: np.ndarray, packs: np.ndarray, near: np.ndarray, far: np.ndarray) -> DataFrame:
-    """Add ``_order``: the (pack, bound) of all cells that hold items, nearest centre
-    first; no item of a cell is nearer to the user than its bound."""
-    shared = users.sparkSession.sparkContext.broadcast((centres, packs, near, far))  # one row per cell
+def _probes(users: DataFrame, shared: Broadcast, choose: Callable[..., tuple[np.ndarray, np.ndarray]], cell_type: str = "int") -> DataFrame:
+    """(user_id, vector, cell): a row for each cell that ``choose`` names for a user.
 
-    def order(vectors: pa.Array) -> pa.Array:
-        points, pack, low, high = shared.value
-        d = _distances(as_matrix(vectors), points)
-        ranks = np.argsort(d, axis=1, kind="stable")
-        away = np.take_along_axis(d, ranks, axis=1)
-        bound = np.maximum(np.maximum(away - high[ranks], low[ranks] - away), 0.0)
-        return pa.StructArray.from_arrays([as_lists(pack[ranks].astype("int32")), as_lists(bound)], ["pack", "bound"])
+    Users are compared with the cells some at a time and rows handed on in bounded batches,
+    so no row or array holds all cells of a user.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, USERS_AT_ONCE):
+                part = batch.slice(start, USERS_AT_ONCE)
+                user, cell = choose(shared.value, part)
+                for first in range(0, len(user), EMIT_ROWS):
+                    at = pa.array(user[first : first + EMIT_ROWS])
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("user_id").take(at), part.column("vector").take(at), pa.array(cell[first : first + EMIT_ROWS].astype("int32"))],
+                        names=["user_id", "vector", "cell"])
+
+    return users.mapInArrow(run, f"user_id {_type(users, 'user_id')}, vector {_type(users, 'vector')}, cell {cell_type}")
+
+
+def _nearest_cells(users: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
+    """(user_id, vector, cell) of each user's ``probes`` nearest cells."""
+    def choose(points: np.ndarray, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        ranks = np.argsort(_distances(as_matrix(part.column("vector")), points), axis=1, kind="stable")[:, :probes]
+        return np.repeat(np.arange(len(ranks)), ranks.shape[1]), ranks.ravel()
+
+    return _probes(users, users.sparkSession.sparkContext.broadcast(centres), choose)
 
-    udf = F.arrow_udf(order, "pack array<int>, bound array<double>")
-    zipped = F.filter(F.arrays_zip("_o.pack", "_o.bound"), lambda c: c["pack"] >= 0)
-    return users.withColumn("_o", udf("vector")).select(*users.columns, zipped.alias("_order"))
+
+def _packs_of(users: DataFrame, shared: Broadcast, probes: int, beyond: bool) -> DataFrame:
+    """(user_id, vector, cell) of the packs that hold a user's ``probes`` nearest cells; or,
+    ``beyond`` these, of all others with a cell whose bound is within the user's ``_limit``.
+
+    No item of a cell is nearer to the user than the cell's bound. ``shared``: centres, pack
+    number of each cell (-1: empty), and the least and the largest distance of its items.
+    """
+    def choose(given: tuple, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        centres, pack, low, high = given
+        held = np.flatnonzero(pack >= 0)
+        away = _distances(as_matrix(part.column("vector")), centres[held])
+        first = np.argsort(away, axis=1, kind="stable")[:, :probes]
+        wanted = np.zeros((len(away), pack.max() + 1), dtype=bool)
+        wanted[np.arange(len(away))[:, None], pack[held][first]] = True
+        if beyond:
+            bound = np.maximum(np.maximum(away - high[held], low[held] - away), 0.0)
+            user, cell = np.nonzero(bound <= part.column("_limit").to_numpy()[:, None])
+            within = np.zeros_like(wanted)
+            within[user, pack[held][cell]] = True
+            wanted = within & ~wanted
+        return np.nonzero(wanted)
+
+    return _probes(users, shared, choose)
 
 
 def _nearest_in_block(k: int, products: bool = False):
@@ -203,7 +311,7 @@ def _check_k(k: int) -> None:
         raise ValueError("k must be positive")
 
 
-def tuned_probes(users: DataFrame, items: DataFrame, k: int, centres: np.ndarray, recall: float = RECALL + MARGIN) -> tuple[int, float]:
+def tuned_probes(users: DataFrame, items: DataFrame, k: int, cells: np.ndarray | TwoLevel, recall: float = RECALL + MARGIN) -> tuple[int, float]:
     """(probes, their recall on a sample of users): the fewest cells that hold the share
     ``recall`` of the k nearest.
 
@@ -213,8 +321,9 @@ def tuned_probes(users: DataFrame, items: DataFrame, k: int, centres: np.ndarray
     """
     sample = users.select("user_id", "vector").orderBy(F.xxhash64("user_id"), "user_id").limit(SAMPLE_USERS)
     sample = stage(sample, "sample-users")
+    centres = _all_centres(cells)
     true = top_k_exact(sample, items, k, centres=centres).select("user_id", "movie_id")
-    celled = assign_cells(items.select("movie_id", "vector"), centres).select("movie_id", "cell")
+    celled = assign_cells(items.select("movie_id", "vector"), cells).select("movie_id", "cell")
     ordered = _with_cell_order(sample, centres).select("user_id", F.posexplode("_order.cell").alias("at", "cell"))
     places = true.join(celled, "movie_id").join(ordered, ["user_id", "cell"]).groupBy("at").agg(F.count("*").alias("n")).orderBy("at").collect()
     total, found = sum(r["n"] for r in places), 0  # a row per place at most, so no more than cells
@@ -234,21 +343,24 @@ def recall_of(found: DataFrame, exact: DataFrame) -> DataFrame:
         F.try_divide(F.count("_hit"), F.count("*")).alias("recall"))
 
 
-def top_k_by_cells(users: DataFrame, items: DataFrame, k: int, probes: int | None = None, centres: np.ndarray | None = None) -> DataFrame:
+def top_k_by_cells(users: DataFrame, items: DataFrame, k: int, probes: int | None = None, centres: np.ndarray | TwoLevel | None = None) -> DataFrame:
     """Approximate top k: only the ``probes`` nearest cells of each user are searched.
 
     Without ``probes`` their number is tuned on a sample of the users until recall is
     ``RECALL``.
     """
     _check_k(k)
-    centres = fit_cells(items) if centres is None else centres
-    probes = tuned_probes(users, items, k, centres)[0] if probes is None else probes
-    celled = assign_cells(items.select("movie_id", "vector"), centres)
-    ordered = _with_cell_order(users.select("user_id", "vector"), centres)
-    wanted = ordered.select("user_id", "vector", F.explode(F.slice("_order", 1, probes)["cell"]).alias("cell"))
+    cells = fit_two_level(items) if centres is None else centres
+    probes = tuned_probes(users, items, k, cells)[0] if probes is None else probes
+    celled = assign_cells(items.select("movie_id", "vector"), cells)
+    wanted = _nearest_cells(users.select("user_id", "vector"), _all_centres(cells), probes)
     return nearest(search_cells(wanted, celled, k), k)
 
 
+def _all_centres(cells: np.ndarray | TwoLevel) -> np.ndarray:
+    return cells.centres if isinstance(cells, TwoLevel) else cells
+
+
 def _packs(sizes: dict[int, int], cells: int, block_items: int) -> np.ndarray:
     """Cells put together until they fill a block: pack number per cell, -1 for an empty cell."""
     packs, pack, filled = np.full(cells, -1), 0, 0
@@ -285,14 +397,12 @@ def top_k_exact(
     numbers = items.sparkSession.sparkContext.broadcast(packs.astype("int32"))
     pack_of = F.arrow_udf(lambda cell: pa.array(numbers.value[cell.to_numpy()]), "int")
     packed = celled.select("movie_id", "vector", pack_of("cell").alias("cell"))
-    ordered = _with_pack_order(users, centres, packs, near, far)
-    first = F.array_distinct(F.slice("_order", 1, probes)["pack"])
-    found = nearest(search_cells(ordered.select("user_id", "vector", F.explode(first).alias("cell")), packed, k, with_product), k).drop("rank")
+    shared = items.sparkSession.sparkContext.broadcast((centres, packs, near, far))  # one row per cell
+    found = nearest(search_cells(_packs_of(users, shared, probes, beyond=False), packed, k, with_product), k).drop("rank")
     found = stage(found, "nearest-so-far")
     bound = found.groupBy("user_id").agg(F.when(F.count("*") >= k, F.max("distance")).alias("_bound"))
-    limit = F.coalesce("_bound", F.lit(float("inf"))) + _SLACK
-    rest = F.array_except(F.array_distinct(F.filter("_order", lambda c: c["bound"] <= limit)["pack"]), first)
-    more = ordered.join(bound, "user_id", "left").select("user_id", "vector", F.explode(rest).alias("cell"))
+    limit = (F.coalesce("_bound", F.lit(float("inf"))) + _SLACK).alias("_limit")
+    more = _packs_of(users.join(bound, "user_id", "left").select("user_id", "vector", limit), shared, probes, beyond=True)
     return nearest(found.unionByName(search_cells(more, packed, k, with_product)), k)
 
 
