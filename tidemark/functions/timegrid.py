@@ -89,6 +89,17 @@ def bucket_quantile(counts: Column, q: float, bounds: Sequence[float]) -> Column
     return F.when(total > 0, F.when(at > len(bounds), F.lit(float(bounds[-1]))).otherwise(inside))
 
 
+def bucket_quantile_of(counts: Sequence[Column], q: float, bounds: Sequence[float]) -> Column:
+    """``bucket_quantile`` of cumulative counts held in columns: one branch per bound, no array."""
+    rank = counts[-1] * F.lit(q)
+    value = F.lit(float(bounds[-1]))
+    for i in reversed(range(len(bounds))):
+        lower, before = (float(bounds[i - 1]), counts[i - 1]) if i else (0.0, F.lit(0))
+        inside = F.lit(lower) + F.lit(float(bounds[i]) - lower) * F.coalesce(F.try_divide(rank - before, counts[i] - before), F.lit(0.0))
+        value = F.when(counts[i] >= rank, inside).otherwise(value)
+    return F.when(counts[-1] > 0, value)
+
+
 def exact_quantiles(df: DataFrame, group: str, value: str, quantiles: Sequence[float]) -> DataFrame:
     """Exact interpolated quantiles per group: (group, quantile, value).
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from tidemark.functions.columns import micros, ratio
-from tidemark.functions.timegrid import STEP_SECONDS, bucket_counts, bucket_quantile, running_by_time, sliding, step_of
+from tidemark.functions.timegrid import STEP_SECONDS, bucket_counts, bucket_quantile_of, running_by_time, sliding, step_of
 from tidemark.operators.monitor import MINUTE, REQUEST_BOUNDS, STAGE_BOUNDS, gauge_steps, is_server_error, slide_gauges
 from tidemark.session import stage
 
@@ -43,6 +43,13 @@ def _series(df: DataFrame, alertname: str, value: str, *labels: str) -> DataFram
     return df.select(F.lit(alertname).alias("alertname"), series.alias("series"), "eval_at", F.col(value).cast("double").alias("value"))
 
 
+def _several(df: DataFrame, values: dict[str, Column], series: Column) -> DataFrame:
+    """Figures of several rules from the same rows; a rule has none where its value is null."""
+    each = [F.when(v.isNotNull(), F.struct(F.lit(n).alias("alertname"), v.cast("double").alias("value"))) for n, v in values.items()]
+    flat = df.select("eval_at", series.alias("series"), F.explode(F.array_compact(F.array(*each))).alias("_m"))
+    return flat.select("_m.alertname", "series", "eval_at", "_m.value")
+
+
 def step_totals(log: DataFrame) -> DataFrame:
     """Everything the request rules need, in one pass over the log.
 
@@ -95,49 +102,55 @@ def active_at_steps(log: DataFrame) -> DataFrame:
     return running_by_time(steps, [], "eval_at", day, "move", "active").select("eval_at", "active")
 
 
-def _p95(totals: DataFrame, keys: Sequence[str], counts: str, bounds: Sequence[float]) -> DataFrame:
-    parts = {f"_c{i}": F.sum(F.get(counts, F.lit(i))) for i in range(len(bounds) + 1)}
-    summed = sliding(totals.select("step", *keys, counts), keys, parts, 5 * MINUTE)
-    return summed.withColumn("p95", bucket_quantile(F.array(*parts), 0.95, bounds)).filter(F.col("p95").isNotNull())
+def _buckets(counts: str, bounds: Sequence[float]) -> dict[str, Column]:
+    return {f"_c{i}": F.sum(F.get(counts, F.lit(i))) for i in range(len(bounds) + 1)}
 
 
-def request_metrics(totals: DataFrame) -> list[DataFrame]:
-    """The figures of the request rules, all from the step totals."""
-    short, middle, long = 5 * MINUTE, 10 * MINUTE, 30 * MINUTE
-    whole = stage(whole_steps(totals), "whole-steps")
+def _p95(buckets: dict[str, Column], bounds: Sequence[float]) -> Column:
+    """Null without observations."""
+    return bucket_quantile_of([F.col(c) for c in buckets], 0.95, bounds)
 
-    def sums(rows: DataFrame, window: int, *columns: str, keys: Sequence[str] = ()) -> DataFrame:
-        return sliding(rows.select("step", *keys, *columns), keys, {c: F.sum(c) for c in columns}, window)
 
-    recent = sums(whole, short, "errors", "requests", "health", "operations")
-    lost = recent.filter("health > 0").withColumn("lost", (F.col("operations") == 0).cast("int"))
-    hits = sums(whole.filter("operations > 0"), middle, "hits", "operations")
-    scores = sums(whole.filter("scores > 0"), long, "score_sum", "scores")
-    used = sums(totals.filter("fallback_type IS NOT NULL"), middle, "requests", keys=["fallback_type", "endpoint"])
+def request_metrics(totals: DataFrame) -> list[DataFrame]:
+    """The figures of the request rules, all from the step totals; rules with one window and
+    one set of labels share its pass."""
+    short, middle, long = 5 * MINUTE, 10 * MINUTE, 30 * MINUTE
+    whole, none = stage(whole_steps(totals), "whole-steps"), F.lit("")
+    latency, made = _buckets("latency", REQUEST_BOUNDS), _buckets("made", STAGE_BOUNDS["recommendation"])
+
+    def sums(rows: DataFrame, window: int, *columns: str, keys: Sequence[str] = (), **more: Column) -> DataFrame:
+        return sliding(rows, keys, {c: F.sum(c) for c in columns} | more, window)
+
+    recent = sums(whole.select("step", "errors", "requests", "health", "operations", "made"), short, "errors", "requests", "health", "operations", **made)
+    by_endpoint = sliding(totals.select("step", "endpoint", "latency"), ["endpoint"], latency, short)
+    hits = sums(whole.filter("operations > 0").select("step", "hits", "operations"), middle, "hits", "operations")
+    scores = sums(whole.filter("scores > 0").select("step", "score_sum", "scores"), long, "score_sum", "scores")
+    labels = ["fallback_type", "endpoint"]
+    used = sums(totals.filter("fallback_type IS NOT NULL").select("step", *labels, "requests"), middle, "requests", keys=labels)
     return [
-        _series(recent.withColumn("percent", ratio(F.col("errors") * 100, F.col("requests"))), "HighErrorRate", "percent"),
-        _series(lost, "RedisConnectionFailure", "lost"),
-        _series(_p95(totals, ["endpoint"], "latency", REQUEST_BOUNDS), "HighLatency", "p95", "endpoint"),
+        _several(recent, {
+            "HighErrorRate": ratio(F.col("errors") * 100, F.col("requests")),
+            "RedisConnectionFailure": F.when(F.col("health") > 0, (F.col("operations") == 0).cast("int")),
+            "SlowRecommendationGeneration": _p95(made, STAGE_BOUNDS["recommendation"]),
+        }, none),
+        _several(by_endpoint, {"HighLatency": _p95(latency, REQUEST_BOUNDS)}, F.concat_ws(",", "endpoint")),
         _series(hits.withColumn("rate", ratio(F.col("hits"), F.col("operations"))), "LowCacheHitRate", "rate"),
         _series(scores.withColumn("mean", ratio(F.col("score_sum"), F.col("scores"))), "ModelScoreAnomaly", "mean"),
-        _series(_p95(whole, [], "made", STAGE_BOUNDS["recommendation"]), "SlowRecommendationGeneration", "p95"),
-        _series(used.withColumn("rate", F.col("requests") / middle), "FrequentFallbackUsage", "rate", "fallback_type", "endpoint"),
+        _series(used.withColumn("rate", F.col("requests") / middle), "FrequentFallbackUsage", "rate", *labels),
         _series(low_request_rate(whole), "LowRequestRate", "rate"),
     ]
 
 
 def gauge_metrics(steps: DataFrame) -> list[DataFrame]:
     """The figures of the host rules, from the gauge steps."""
-    short = slide_gauges(steps.filter(F.col("metric").isin("up", "memory_percent", "cpu_percent")), 5 * MINUTE)
-    restarts = sliding(steps.filter(F.col("metric") == "restarts"), ["instance"], {"grown": F.sum("rise")}, 15 * MINUTE)
-
-    def of(metric: str) -> DataFrame:
-        return short.filter(F.col("metric") == metric)
-
-    cpu = of("cpu_percent").groupBy("eval_at").agg(F.avg("mean_value").alias("mean_value"))
+    metric, short = F.col("metric"), slide_gauges(steps.filter(F.col("metric").isin("up", "memory_percent", "cpu_percent")), 5 * MINUTE)
+    restarts = sliding(steps.filter(metric == "restarts").select("step", "instance", "rise"), ["instance"], {"grown": F.sum("rise")}, 15 * MINUTE)
+    cpu = short.filter(metric == "cpu_percent").groupBy("eval_at").agg(F.avg("mean_value").alias("mean_value"))
+    hosts = short.filter(metric.isin("up", "memory_percent"))
     return [
-        _series(of("up"), "ServiceDown", "last_value", "instance"),
-        _series(of("memory_percent"), "HighMemoryUsage", "last_value", "instance"),
+        _several(hosts, {
+            "ServiceDown": F.when(metric == "up", F.col("last_value")), "HighMemoryUsage": F.when(metric == "memory_percent", F.col("last_value")),
+        }, F.concat_ws(",", "instance")),
         _series(cpu, "HighCPUUsage", "mean_value"),
         _series(restarts, "ContainerRestartLoop", "grown", "instance"),
     ]
