@@ -267,3 +267,57 @@ def test_probes_are_handed_on_in_bounded_batches(frames, monkeypatch):
     got = {(r.user_id, r.cell) for r in retrieval._nearest_cells(users, centres, 6).collect()}
     want = {(r.user_id, c.cell) for r in retrieval._with_cell_order(users, centres).collect() for c in r._order[:6]}
     assert got == want
+
+
+# ---------------------------------------------------------------- the scan
+
+
+def moved(df):
+    """Rows of ``df``, and rows that the shuffles of its last job wrote."""
+    rows = df.collect()
+    todo, total = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if kind == "ShuffleExchangeExec":
+                total += node.metrics().apply("shuffleRecordsWritten").value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return rows, total
+
+
+def test_exact_search_moves_each_user_once(frames, vectors, monkeypatch):
+    """However many blocks of items there are: the users and at most k rows for each are shuffled."""
+    small_blocks(monkeypatch)
+    monkeypatch.setattr(retrieval, "SHEET_ITEMS", 16, raising=False)
+    found = retrieval.top_k_exact(*frames, 7, probes=2, block_items=16, with_product=True)
+    rows, shuffled = moved(found)
+    assert shuffled <= 40 * (1 + 7)
+    users, items = vectors
+    want = brute(users, items, 7)
+    assert {(r.user_id, r["rank"]): r.movie_id for r in rows} == {(u, i + 1): m for u, ids in want.items() for i, m in enumerate(ids)}
+    assert all(r["product"] == pytest.approx(items[r.movie_id] @ users[r.user_id]) for r in rows)
+
+
+def test_null_and_repeated_ids_in_the_exact_search(spark):
+    users = spark.createDataFrame([(None, [0.0, 0.0]), (1, [9.0, 9.0]), (1, [9.0, 9.0])], "user_id bigint, vector array<double>")
+    items = spark.createDataFrame([(None, [1.0, 0.0]), (5, [1.0, 0.0]), (6, [2.0, 0.0]), (7, [9.0, 9.0])], "movie_id bigint, vector array<float>")
+    got = [(r.user_id, r["rank"], r.movie_id) for r in retrieval.top_k_exact(users, items, 3).orderBy(F.asc_nulls_first("user_id"), "rank").collect()]
+    assert got == [(None, 1, None), (None, 2, 5), (None, 3, 6), (1, 1, 7), (1, 2, 7), (1, 3, 6)]
+    assert retrieval.top_k_exact(users.limit(0), items, 3).count() == 0
+
+
+def test_running_nearest_equal_brute_force_whatever_the_order(vectors, monkeypatch):
+    users, items = vectors
+    monkeypatch.setattr(retrieval, "SCAN_PAIRS", 64)
+    monkeypatch.setattr(retrieval, "EXACT_PAIRS", 32)
+    running, order = retrieval._Running(users, 7), np.random.default_rng(3).permutation(300)
+    for part in np.array_split(order, 23):
+        running.add(np.arange(len(users)), items[part], part)
+    running.merge()
+    assert {u: list(running.item[u]) for u in range(len(users))} == brute(users, items, 7)
+    assert (running.found == 7).all()

@@ -1,10 +1,14 @@
 """Vector search by Euclidean distance: exact, by cells, and by hash buckets.
 
-All three share one join. Items carry a cell; users carry the cells they look
-into. A cell is cut into blocks of items and its users into chunks, both of
-bounded size, and one task compares one chunk with one block and keeps each
-user's k nearest. A cell or bucket holding much of the data thus becomes many
-equal tasks, and no more than k rows per user leave any of them.
+All three share one scan. Items lie in the shared folder as sheets, each a row of a
+bounded number of items with those of a cell together; users are dealt into chunks of
+bounded size. A task has one chunk: all sheets are read past it, and it keeps the k
+nearest of each user so far. So no vector is shuffled more than once, however many
+cells a user looks into, and no more than k rows per user leave a task. What differs
+is which cells of a sheet a user is compared with.
+
+Hash buckets that are small on either side are joined instead: such a bucket is cut
+into blocks of items and chunks of users, and one task compares one chunk with one block.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -34,6 +38,9 @@ USERS_AT_ONCE, EMIT_ROWS = 256, 8_192  # users compared with all cells at once,
 
 BLOCK_ITEMS = 4096
 CHUNK_USERS = 1024
+SCAN_USERS, SHEET_ITEMS = 8_192, 8_192  # most users of a task of a scan, and items it is handed at a time
+SCAN_TASKS = 3  # tasks of a scan per core, where there are users enough
+SCAN_PAIRS, EXACT_PAIRS = 1 << 19, 1 << 16  # distances estimated at once, and measured exactly at once
 _SLACK = 1e-9  # keeps float error from dropping a candidate at a bound
 
 
@@ -194,46 +201,21 @@ def _probes(users: DataFrame, shared: Broadcast, choose: Callable[..., tuple[np.
 def _nearest_cells(users: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
     """(user_id, vector, cell) of each user's ``probes`` nearest cells."""
     def choose(points: np.ndarray, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        ranks = np.argsort(_distances(as_matrix(part.column("vector")), points), axis=1, kind="stable")[:, :probes]
+        ranks = _nearest_of(as_matrix(part.column("vector")), points, probes)
         return np.repeat(np.arange(len(ranks)), ranks.shape[1]), ranks.ravel()
 
     return _probes(users, users.sparkSession.sparkContext.broadcast(centres), choose)
 
 
-def _packs_of(users: DataFrame, shared: Broadcast, probes: int, beyond: bool) -> DataFrame:
-    """(user_id, vector, cell) of the packs that hold a user's ``probes`` nearest cells; or,
-    ``beyond`` these, of all others with a cell whose bound is within the user's ``_limit``.
-
-    No item of a cell is nearer to the user than the cell's bound. ``shared``: centres, pack
-    number of each cell (-1: empty), and the least and the largest distance of its items.
-    """
-    def choose(given: tuple, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        centres, pack, low, high = given
-        held = np.flatnonzero(pack >= 0)
-        away = _distances(as_matrix(part.column("vector")), centres[held])
-        first = np.argsort(away, axis=1, kind="stable")[:, :probes]
-        wanted = np.zeros((len(away), pack.max() + 1), dtype=bool)
-        wanted[np.arange(len(away))[:, None], pack[held][first]] = True
-        if beyond:
-            bound = np.maximum(np.maximum(away - high[held], low[held] - away), 0.0)
-            user, cell = np.nonzero(bound <= part.column("_limit").to_numpy()[:, None])
-            within = np.zeros_like(wanted)
-            within[user, pack[held][cell]] = True
-            wanted = within & ~wanted
-        return np.nonzero(wanted)
-
-    return _probes(users, shared, choose)
-
-
-def _nearest_in_block(k: int, products: bool = False):
-    """Top k of a block for each user of a chunk; ``products`` adds the vectors' inner product.
+def _nearest_in_block(k: int):
+    """Top k of a block for each user of a chunk.
 
     Distances are first estimated by one matrix product; only items within the
     k-th estimate (plus slack) are measured exactly and ranked by (distance, id).
     """
 
     def kernel(users: pa.Table, items: pa.Table) -> pa.Table:
-        out_users, out_items, out_d, out_p = [], [], [], []
+        out_users, out_items, out_d = [], [], []
         user_column, item_column = users.column("user_id"), items.column("movie_id")
         if users.num_rows and items.num_rows:
             x, u = as_matrix(items.column("vector")), as_matrix(users.column("vector"))
@@ -254,12 +236,9 @@ def _nearest_in_block(k: int, products: bool = False):
                     out_users.append(np.full(len(best), start + row))
                     out_items.append(near[best])
                     out_d.append(d[best])
-                    if products:
-                        out_p.append(x[near[best]] @ u[start + row])
         at = lambda parts: pa.array(np.concatenate(parts) if parts else np.array([], dtype="int64"))
         real = lambda parts: pa.array(np.concatenate(parts) if parts else np.array([]))
-        out = {"user_id": user_column.take(at(out_users)), "movie_id": item_column.take(at(out_items)), "distance": real(out_d)}
-        return pa.table(out | ({"product": real(out_p)} if products else {}))
+        return pa.table({"user_id": user_column.take(at(out_users)), "movie_id": item_column.take(at(out_items)), "distance": real(out_d)})
 
     return kernel
 
@@ -276,10 +255,11 @@ def _part_of(id_column: str, parts: Column) -> Column:
     return F.pmod(F.xxhash64(id_column), parts.cast("bigint")).cast("int")
 
 
-def search_cells(probes: DataFrame, items: DataFrame, k: int, products: bool = False) -> DataFrame:
-    """(user_id, movie_id, distance) and, if asked for, product: per user, the k nearest of every block looked into.
+def search_cells(probes: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    """(user_id, movie_id, distance): per user, the k nearest of every block looked into.
 
-    ``probes`` has user_id, vector, cell; ``items`` has movie_id, vector, cell.
+    ``probes`` has user_id, vector, cell; ``items`` has movie_id, vector, cell. Rows are copied
+    to every block or chunk of their cell, so this is for cells with one block or one chunk.
     """
     item_cells = items.groupBy("cell").agg(_parts(BLOCK_ITEMS).alias("_blocks"))
     user_cells = probes.groupBy("cell").agg(_parts(CHUNK_USERS).alias("_chunks"))
@@ -287,13 +267,247 @@ def search_cells(probes: DataFrame, items: DataFrame, k: int, products: bool = F
     chunk, block = _part_of("user_id", F.col("_chunks")), _part_of("movie_id", F.col("_blocks"))
     left = probes.join(layout, "cell").select("cell", _each(F.col("_blocks")).alias("block"), chunk.alias("chunk"), "user_id", "vector")
     right = items.join(layout, "cell").select("cell", block.alias("block"), _each(F.col("_chunks")).alias("chunk"), "movie_id", "vector")
-    return _compare(left, right, ["cell", "block", "chunk"], k, products)
+    key = ["cell", "block", "chunk"]
+    schema = f"user_id {_type(probes, 'user_id')}, movie_id {_type(items, 'movie_id')}, distance double"
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_nearest_in_block(k), schema)
+
+
+# ---------------------------------------------------------------- scan
+
+
+def _as_rows(df: DataFrame, id_column: str, size: int, prefix: str) -> DataFrame:
+    """Up to ``size`` rows (id, vector, codes) of a partition as one: number, ids, and codes and vectors as matrices."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held = TaskContext.get().partitionId() << 32, []
+
+        def row(table: pa.Table) -> pa.RecordBatch:
+            nonlocal number
+            number += 1
+            codes, vectors = as_matrix(table.column("codes")).astype("int32"), as_matrix(table.column("vector"))
+            ids = pa.array([0, table.num_rows], pa.int32()), table.column(id_column).combine_chunks()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([number]), pa.ListArray.from_arrays(*ids), pa.array([codes.tobytes()]), pa.array([vectors.tobytes()])],
+                names=[f"{prefix}_{c}" for c in ("number", "ids", "codes", "vectors")])
 
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= size:
+                table = pa.Table.from_batches(held)
+                while table.num_rows >= size:
+                    yield row(table.slice(0, size))
+                    table = table.slice(size)
+                held = table.to_batches()
+        if sum(b.num_rows for b in held):
+            yield row(pa.Table.from_batches(held))
+
+    schema = f"{prefix}_number bigint, {prefix}_ids array<{_type(df, id_column)}>, {prefix}_codes binary, {prefix}_vectors binary"
+    return df.select(id_column, "vector", "codes").mapInArrow(run, schema)
+
+
+class _Running:
+    """The k nearest so far of each user of a chunk, ranked by (distance, id).
+
+    Distances are first estimated by one matrix product; only items within the k-th
+    distance so far or the k-th estimate (plus slack) are measured exactly. These wait
+    until there are k per user, on average, and are then merged together.
+    """
+
+    def __init__(self, users: np.ndarray, k: int) -> None:
+        self.users, self.k = users, k
+        self.squares = (users**2).sum(axis=1)
+        self.found = np.zeros(len(users), dtype="int64")
+        self.limit = np.full(len(users), np.inf)  # the k-th distance, where there are k
+        self.distance = np.full((len(users), k), np.inf)
+        self.product = np.zeros((len(users), k))
+        self.item: np.ndarray | None = None
+        self.waiting: list[tuple[np.ndarray, ...]] = []
+        self.n_waiting = 0
+
+    def add(self, who: np.ndarray, items: np.ndarray, ids: np.ndarray, alike: Callable[[np.ndarray], np.ndarray] | None = None) -> None:
+        """Compare users ``who`` with all items; or with those that ``alike(users)`` marks."""
+        squares = (items**2).sum(axis=1)
+        slack = _SLACK * (1.0 + squares.max() + self.squares.max())
+        step = max(1, SCAN_PAIRS // len(items))
+        for start in range(0, len(who), step):
+            part = who[start : start + step]
+            estimate = self.users[part] @ (-2.0 * items.T)
+            estimate += squares
+            limit = self.limit[part] ** 2 + slack - self.squares[part]
+            match = None if alike is None else alike(part)
+            if match is not None:
+                estimate[~match] = np.inf
+            near = estimate <= limit[:, None]
+            many = np.flatnonzero(near.sum(axis=1) > 2 * self.k)
+            if len(many):
+                kth = np.partition(estimate[many], self.k - 1, axis=1)[:, self.k - 1]
+                near[many] = estimate[many] <= np.minimum(limit[many], kth + slack)[:, None]
+            if match is not None:
+                near &= match
+            row, column = np.divmod(np.flatnonzero(near.ravel()), len(items))
+            for first in range(0, len(row), EXACT_PAIRS):
+                user, item = part[row[first : first + EXACT_PAIRS]], column[first : first + EXACT_PAIRS]
+                u, x = self.users[user], items[item]
+                self.waiting.append((user, ids[item], np.sqrt(((x - u) ** 2).sum(axis=1)), (x * u).sum(axis=1)))
+                self.n_waiting += len(user)
+            if self.n_waiting >= self.k * len(self.users):
+                self.merge()
+
+    def merge(self) -> None:
+        if not self.waiting:
+            return
+        user, item, distance, product = (np.concatenate(c) for c in zip(*self.waiting))
+        self.waiting, self.n_waiting = [], 0
+        if self.item is None:
+            self.item = np.zeros(self.distance.shape, dtype=item.dtype)
+        touched = np.unique(user)
+        held = np.arange(self.k) < self.found[touched, None]
+        user = np.concatenate([np.repeat(touched, self.found[touched]), user])
+        item, distance, product = (
+            np.concatenate([old[touched][held], new]) for old, new in ((self.item, item), (self.distance, distance), (self.product, product)))
+        order = np.lexsort((item, distance, user))
+        user = user[order]
+        rank = np.arange(len(user)) - np.searchsorted(user, user)
+        kept = rank < self.k
+        user, rank, order = user[kept], rank[kept], order[kept]
+        self.item[user, rank], self.distance[user, rank], self.product[user, rank] = item[order], distance[order], product[order]
+        self.found[touched] = np.bincount(user, minlength=len(self.users))[touched]
+        self.limit = np.where(self.found == self.k, self.distance[:, -1], np.inf)
+
+
+_NO_ID = np.iinfo("int64").min  # stands for a null id, which sorts first
+
+
+def _ids(column: pa.Array) -> np.ndarray:
+    return column.cast("int64").fill_null(_NO_ID).to_numpy() if pa.types.is_integer(column.type) else column.to_numpy(zero_copy_only=False)
+
+
+def _id_array(ids: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.array(ids, kind, mask=ids == _NO_ID) if pa.types.is_integer(kind) else pa.array(ids, kind)
+
+
+#: From a scan's shared value and the vectors of a chunk: the cells of each user's first round (users x cells), and the
+#: least distance an item of each cell can have, by which a second round takes other cells; None: there is one round.
+Choice = Callable[[object, np.ndarray], tuple[np.ndarray, np.ndarray | None]]
+
+
+def _scan(users: DataFrame, items: DataFrame, k: int, shared: Broadcast | None = None, choose: Choice | None = None, rounds: int = 1) -> DataFrame:
+    """(user_id, movie_id, distance, product): the k nearest of each user among the items compared.
+
+    ``users`` has user_id, vector and codes; ``items`` has movie_id, vector and codes. With
+    ``choose`` the one code of an item is its cell; without it, codes are buckets (0: none), and
+    users are compared with the items that have one of theirs in the same place. Each task holds a chunk of users and reads every sheet once in each round.
+    """
+    spark = items.sparkSession
+    sheets = stage(_as_rows(items.orderBy("codes", "movie_id"), "movie_id", SHEET_ITEMS, "sheet"), "sheets")
+    users = stage(users.select("user_id", "vector", "codes"), "scan-users")
+    n_users = users.count()
+    size = min(SCAN_USERS, max(64, -(-n_users // (SCAN_TASKS * spark.sparkContext.defaultParallelism))))
+    chunks = _as_rows(users.repartition(max(1, -(-n_users // size))), "user_id", 2 * SCAN_USERS, "chunk")
+    read = [sheets.withColumn("round", F.lit(r)) for r in range(rounds)]
+    left = read[0] if rounds == 1 else read[0].unionByName(read[1])
+    pairs = left.coalesce(1).hint("shuffle_replicate_nl").crossJoin(chunks)  # a task per chunk, past which the sheets are read
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple] = {}
+        kind = None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                get = lambda name: batch.column(name)[i]  # noqa: B023, E731
+                number = get("chunk_number").as_py()
+                if number not in held:
+                    ids = get("chunk_ids").values
+                    vectors = np.frombuffer(get("chunk_vectors").as_buffer()).reshape(len(ids), -1).copy()
+                    codes = np.frombuffer(get("chunk_codes").as_buffer(), dtype="int32").reshape(len(ids), -1).copy()
+                    held[number] = ids, codes, _Running(vectors, k), None if choose is None else choose(shared.value, vectors)
+                _, codes, running, chosen = held[number]
+                listed = get("sheet_ids").values
+                kind, ids = listed.type, _ids(listed)
+                vectors = np.frombuffer(get("sheet_vectors").as_buffer()).reshape(len(ids), -1)
+                marks = np.frombuffer(get("sheet_codes").as_buffer(), dtype="int32").reshape(len(ids), -1)
+                if chosen is None:
+                    _add_alike(running, codes, vectors, marks, ids)
+                else:
+                    _add_cells(running, *chosen, get("round").as_py(), vectors, marks[:, 0], ids)
+        for ids, _, running, _ in held.values():
+            running.merge()
+            row, rank = np.nonzero(np.arange(k) < running.found[:, None])
+            for first in range(0, len(row), EXACT_PAIRS):
+                at = row[first : first + EXACT_PAIRS], rank[first : first + EXACT_PAIRS]
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(at[0])), _id_array(running.item[at], kind), pa.array(running.distance[at]), pa.array(running.product[at])],
+                    names=["user_id", "movie_id", "distance", "product"])
+
+    return pairs.mapInArrow(run, f"user_id {_type(users, 'user_id')}, movie_id {_type(items, 'movie_id')}, distance double, product double")
+
+
+def _add_cells(running: _Running, first: np.ndarray, bound: np.ndarray | None, number: int, items: np.ndarray, cells: np.ndarray, ids: np.ndarray) -> None:
+    """A sheet, cell by cell: in round 0 for the users that chose the cell, in round 1 for
+    others to whom its bound leaves it open."""
+    edges = np.flatnonzero(np.diff(cells, prepend=cells[0] - 1, append=cells[-1] + 1))  # a sheet is in order of cells
+    for start, end in zip(edges, edges[1:]):
+        wanted = first[:, cells[start]]
+        if number:
+            wanted = ~wanted & (bound[:, cells[start]] <= running.limit + _SLACK)
+        who = np.flatnonzero(wanted)
+        if len(who):
+            running.add(who, items[start:end], ids[start:end])
+
+
+def _add_alike(running: _Running, codes: np.ndarray, items: np.ndarray, marks: np.ndarray, ids: np.ndarray) -> None:
+    marks = np.where(marks == 0, -1, marks)  # no bucket is like no bucket
+
+    def alike(part: np.ndarray) -> np.ndarray:
+        match = np.zeros((len(part), len(marks)), dtype=bool)
+        for t in range(marks.shape[1]):
+            match |= codes[part, t, None] == marks[:, t]
+        return match
+
+    touched = np.zeros(len(codes), dtype=bool)
+    for t in range(marks.shape[1]):
+        touched |= np.isin(codes[:, t], marks[:, t])
+    who = np.flatnonzero(touched)
+    if len(who):
+        running.add(who, items, ids, alike)
+
+
+def _nearest_of(points: np.ndarray, centres: np.ndarray, probes: int) -> np.ndarray:
+    """Per point, its ``probes`` nearest centres, nearest first."""
+    return np.argsort(_distances(points, centres), axis=1, kind="stable")[:, :probes]
+
+
+def _by_probes(probes: int) -> Choice:
+    """Of the shared centres, each user's ``probes`` nearest."""
+    def choose(centres: np.ndarray, users: np.ndarray) -> tuple[np.ndarray, None]:
+        first = np.zeros((len(users), len(centres)), dtype=bool)
+        for start in range(0, len(users), USERS_AT_ONCE):
+            part = slice(start, start + USERS_AT_ONCE)
+            np.put_along_axis(first[part], _nearest_of(users[part], centres, probes), True, axis=1)
+        return first, None
+
+    return choose
+
+
+def _by_bounds(probes: int) -> Choice:
+    """First the packs that hold a user's ``probes`` nearest cells, then all others by their bound.
+
+    No item of a cell is nearer to the user than the cell's bound. Shared: centres, pack
+    number of each cell (-1: empty), and the least and the largest distance of its items.
+    """
+    def choose(given: tuple, users: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        centres, pack, low, high = given
+        held = np.flatnonzero(pack >= 0)
+        starts = np.flatnonzero(np.diff(pack[held], prepend=-1))  # packs are in order of cells
+        first = np.zeros((len(users), len(starts)), dtype=bool)
+        bound = np.zeros((len(users), len(starts)))
+        for start in range(0, len(users), USERS_AT_ONCE):
+            part = slice(start, start + USERS_AT_ONCE)
+            away = _distances(users[part], centres[held])
+            near = np.argsort(away, axis=1, kind="stable")[:, :probes]
+            np.put_along_axis(first[part], pack[held][near], True, axis=1)
+            bound[part] = np.minimum.reduceat(np.maximum(np.maximum(away - high[held], low[held] - away), 0.0), starts, axis=1)
+        return first, bound
 
-def _compare(left: DataFrame, right: DataFrame, key: list[str], k: int, products: bool) -> DataFrame:
-    schema = f"user_id {_type(left, 'user_id')}, movie_id {_type(right, 'movie_id')}, distance double"
-    kernel, schema = (_nearest_in_block(k, True), f"{schema}, product double") if products else (_nearest_in_block(k), schema)
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(kernel, schema)
+    return choose
 
 
 def _type(df: DataFrame, column: str) -> str:
@@ -357,6 +571,10 @@ def top_k_by_cells(users: DataFrame, items: DataFrame, k: int, probes: int | Non
     return nearest(search_cells(wanted, celled, k), k)
 
 
+def _without_codes(users: DataFrame) -> DataFrame:
+    return users.select("user_id", "vector", F.array(F.lit(0)).alias("codes"))
+
+
 def _all_centres(cells: np.ndarray | TwoLevel) -> np.ndarray:
     return cells.centres if isinstance(cells, TwoLevel) else cells
 
@@ -379,8 +597,8 @@ def top_k_exact(
     """Exact top k, by one way at every size; ``with_product`` adds the inner product of the vectors.
 
     The packs holding a user's nearest cells are searched first; the k-th distance
-    found then rules out every other cell that the triangle inequality puts farther
-    away. Without given centres, items in hash order serve: bounds hold for any.
+    found so far then rules out every other pack that the triangle inequality puts
+    farther away. Without given centres, items in hash order serve: bounds hold for any.
     """
     _check_k(k)
     users, items = users.select("user_id", "vector"), items.select("movie_id", "vector")
@@ -396,14 +614,10 @@ def top_k_exact(
         far[r["cell"]], near[r["cell"]] = r["far"], r["near"]
     numbers = items.sparkSession.sparkContext.broadcast(packs.astype("int32"))
     pack_of = F.arrow_udf(lambda cell: pa.array(numbers.value[cell.to_numpy()]), "int")
-    packed = celled.select("movie_id", "vector", pack_of("cell").alias("cell"))
+    packed = celled.select("movie_id", "vector", F.array(pack_of("cell")).alias("codes"))
     shared = items.sparkSession.sparkContext.broadcast((centres, packs, near, far))  # one row per cell
-    found = nearest(search_cells(_packs_of(users, shared, probes, beyond=False), packed, k, with_product), k).drop("rank")
-    found = stage(found, "nearest-so-far")
-    bound = found.groupBy("user_id").agg(F.when(F.count("*") >= k, F.max("distance")).alias("_bound"))
-    limit = (F.coalesce("_bound", F.lit(float("inf"))) + _SLACK).alias("_limit")
-    more = _packs_of(users.join(bound, "user_id", "left").select("user_id", "vector", limit), shared, probes, beyond=True)
-    return nearest(found.unionByName(search_cells(more, packed, k, with_product)), k)
+    found = _scan(_without_codes(users), packed, k, shared, _by_bounds(probes), rounds=2)
+    return nearest(found if with_product else found.drop("product"), k)
 
 
 def top_k_by_hash(
