@@ -321,3 +321,18 @@ def test_running_nearest_equal_brute_force_whatever_the_order(vectors, monkeypat
     running.merge()
     assert {u: list(running.item[u]) for u in range(len(users))} == brute(users, items, 7)
     assert (running.found == 7).all()
+
+
+def test_cell_search_moves_each_user_once(frames, vectors):
+    """However many cells a user looks into; only the items of these cells are found."""
+    users, items = frames
+    centres = retrieval.pick_centres(items, 20)
+    rows, shuffled = moved(retrieval.top_k_by_cells(users, items, 5, 12, centres))
+    assert shuffled <= 40 * (1 + 5)
+    cells = {r.movie_id: r.cell for r in retrieval.assign_cells(items, centres).collect()}
+    for u, vector in enumerate(vectors[0]):
+        probed = np.argsort(np.sqrt(((centres - vector) ** 2).sum(axis=1)), kind="stable")[:12]
+        open_to = np.array([m for m in range(300) if cells[m] in probed])
+        away = np.sqrt(((vectors[1][open_to] - vector) ** 2).sum(axis=1))
+        want = open_to[np.lexsort((open_to, away))[:5]]
+        assert [r.movie_id for r in sorted((r for r in rows if r.user_id == u), key=lambda r: r["rank"])] == list(want)

@@ -567,8 +567,9 @@ def top_k_by_cells(users: DataFrame, items: DataFrame, k: int, probes: int | Non
     cells = fit_two_level(items) if centres is None else centres
     probes = tuned_probes(users, items, k, cells)[0] if probes is None else probes
     celled = assign_cells(items.select("movie_id", "vector"), cells)
-    wanted = _nearest_cells(users.select("user_id", "vector"), _all_centres(cells), probes)
-    return nearest(search_cells(wanted, celled, k), k)
+    shared = items.sparkSession.sparkContext.broadcast(_all_centres(cells))  # one row per cell
+    found = _scan(_without_codes(users), celled.withColumn("codes", F.array("cell")), k, shared, _by_probes(probes))
+    return nearest(found.drop("product"), k)
 
 
 def _without_codes(users: DataFrame) -> DataFrame:
