@@ -336,3 +336,20 @@ def test_cell_search_moves_each_user_once(frames, vectors):
         away = np.sqrt(((vectors[1][open_to] - vector) ** 2).sum(axis=1))
         want = open_to[np.lexsort((open_to, away))[:5]]
         assert [r.movie_id for r in sorted((r for r in rows if r.user_id == u), key=lambda r: r["rank"])] == list(want)
+
+
+@pytest.mark.parametrize("length", [100.0, 1.5])
+def test_large_hash_buckets_are_scanned(spark, frames, vectors, monkeypatch, length):
+    """Of wide buckets every user is compared with a large part of the items, of narrow ones with
+    some in large and some in small buckets: as if all were joined, and no user is copied to blocks."""
+    users, items = frames
+    small_blocks(monkeypatch)
+    repeated = users.unionByName(users.filter("user_id < 3")), items.unionByName(items.filter("movie_id < 9"))
+    rows, shuffled = moved(retrieval.top_k_by_hash(*repeated, 5, tables=3, bucket_length=length))
+    got = {(r.user_id, r["rank"]): (r.movie_id, r.distance) for r in rows}
+    assert len(got) == len(rows)
+    monkeypatch.setattr(retrieval, "BLOCK_ITEMS", 1000)
+    joined = {(r.user_id, r["rank"]): (r.movie_id, r.distance) for r in retrieval.top_k_by_hash(users, items, 5, tables=3, bucket_length=length).collect()}
+    assert got == joined
+    if length == 100.0:
+        assert shuffled < 40 * 3 * 19  # users in three tables, for each of 19 blocks

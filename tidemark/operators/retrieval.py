@@ -637,11 +637,30 @@ def top_k_by_hash(
     ).fit(points)
 
     def bucketed(df: DataFrame, id_column: str) -> DataFrame:
-        hashed = lsh.transform(df).select(id_column, "vector", F.posexplode("hashes").alias("table", "hash"))
-        bucket = F.element_at(vector_to_array("hash"), 1).cast("bigint")
-        return hashed.select(id_column, "vector", F.concat_ws(":", "table", bucket).alias("cell"))
-
-    found = search_cells(bucketed(as_points(users, "user_id"), "user_id"), bucketed(points, "movie_id"), k)
+        buckets = F.array(*[F.get(vector_to_array(F.get("hashes", F.lit(t))), F.lit(0)).cast("bigint") for t in range(tables)])
+        return stage(lsh.transform(df).select(id_column, "vector", buckets.alias("buckets")), "hashed")
+
+    def sizes(df: DataFrame) -> DataFrame:
+        return df.select(F.posexplode("buckets").alias("table", "bucket")).groupBy("table", "bucket").agg(F.count("*").alias("n"))
+
+    hashed_users, hashed_items = bucketed(as_points(users, "user_id"), "user_id"), bucketed(points, "movie_id")
+    both = sizes(hashed_items).filter(F.col("n") > BLOCK_ITEMS).join(sizes(hashed_users).filter(F.col("n") > CHUNK_USERS), ["table", "bucket"])
+    large: list[list[int]] = [[] for _ in range(tables)]
+    for r in both.select("table", "bucket").orderBy("table", "bucket").collect():  # at most a row per table and block of items
+        large[r["table"]].append(r["bucket"])
+    place = lambda t: F.array_position(F.array(*[F.lit(b) for b in large[t]]).cast("array<bigint>"), F.get("buckets", F.lit(t))).cast("int")
+    codes = F.array(*[place(t) for t in range(tables)]).alias("codes")  # 0: a bucket that is small on one side
+
+    def joined(df: DataFrame, id_column: str) -> DataFrame:
+        rows = df.select(id_column, "vector", F.posexplode(F.arrays_zip("buckets", codes)).alias("table", "_b")).filter("_b.codes = 0")
+        return rows.select(id_column, "vector", F.concat_ws(":", "table", "_b.buckets").alias("cell"))
+
+    def scanned(df: DataFrame, id_column: str) -> DataFrame:
+        return df.select(id_column, "vector", codes).filter(F.exists("codes", lambda c: c > 0)).distinct()
+
+    found = search_cells(joined(hashed_users, "user_id"), joined(hashed_items, "movie_id"), k)
+    if any(large):
+        found = found.unionByName(_scan(scanned(hashed_users, "user_id"), scanned(hashed_items, "movie_id"), k).drop("product"))
     return nearest(found.distinct(), k)
 
 
