@@ -182,3 +182,20 @@ def test_a_log_of_records_is_read_in_order_capped_and_resumed(spark, tmp_path):
     assert Counter((r.topic, r.partition, r.offset) for r in got) == Counter(
         [("a", 0, i) for i in range(37)] + [("a", 1, i) for i in range(5, 38)] + [("a", 2, 0)] + [("a b", 0, i) for i in range(4)])
     assert all(r.value == f"v{r.offset}" and r.key is None for r in got)
+
+
+def test_dealt_rows_are_four_batches_of_bounded_files(spark, tmp_path, monkeypatch):
+    """More rows make more files, not larger ones, and a batch is spread over several tasks."""
+    from tidemark.plans import stream_queries
+    from tidemark.plans.tables import Tables
+
+    monkeypatch.setattr(stream_queries, "FILE_ROWS", 10)
+    monkeypatch.setattr(stream_queries, "scratch_path", lambda _, label: str(tmp_path / label))
+    rows = spark.range(0, 120, 1, 5).withColumn("n", F.col("id") * 2)
+    stream = stream_queries._streamed(Tables(spark, str(tmp_path)), rows, "dealt", lambda df: df.select("id", (F.col("n") + 1).alias("n")))
+    files = list((tmp_path / "dealt").glob("*.parquet"))
+    assert len(files) == 12 and max(spark.read.parquet(str(f)).count() for f in files) <= 15
+    jobs.drain(jobs.keep_raw(stream, str(tmp_path / "raw"), str(tmp_path / "check")))
+    got = spark.read.parquet(str(tmp_path / "raw"))
+    assert sorted((r.id, r.n) for r in got.collect()) == [(i, 2 * i + 1) for i in range(120)]
+    assert got.groupBy("batch").count().count() == 4

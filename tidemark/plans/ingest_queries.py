@@ -237,8 +237,12 @@ def endpoint_template(t: Tables) -> DataFrame:
 
 
 def records(t: Tables) -> DataFrame:
+    return records_of(t.raw("events"))
+
+
+def records_of(events: DataFrame) -> DataFrame:
     """Topic records of the raw events; every 29th value is cut short."""
-    rows = _raw(t)
+    rows = raw_events(events)
     fields = [c for c in rows.columns if c != "event_id"]
     whole = F.to_json(F.struct(F.col("event_id").cast("string").alias("event_id"), *fields))
     return rows.select(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.plans.ingest_queries import NOW, records
+from tidemark.plans.ingest_queries import NOW, records_of
 from tidemark.plans.registry import query
 from tidemark.plans.tables import Tables, request_log
 from tidemark.session import scratch_path
@@ -23,12 +23,19 @@ def event_stream(t: Tables) -> DataFrame:
     return file_stream(t.spark, t.sf_dir, t.raw("events").schema, "events.parquet")
 
 
-def _streamed(t: Tables, rows: DataFrame, label: str) -> DataFrame:
-    """``rows`` written to a folder as four files, dealt without regard to time, and read
-    back as a stream of one file a batch."""
+BATCHES, FILE_ROWS = 4, 50_000  # batches of a stream of dealt rows, and rows of a file, about
+
+
+def _streamed(t: Tables, rows: DataFrame, label: str, form: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """``rows``, in the given form, written to a folder as files dealt without regard to time, and
+    read back as a stream of four batches, of as many files as keep a file at a bounded size.
+
+    Rows are dealt before they are formed, so that all tasks share that work."""
     folder = scratch_path(t.spark, label)
-    rows.repartition(4).write.parquet(folder)
-    return file_stream(t.spark, folder, rows.schema, "*.parquet", files_per_batch=1)
+    files = max(1, -(-rows.count() // (BATCHES * FILE_ROWS)))
+    formed = form(rows.repartition(BATCHES * files))
+    formed.write.parquet(folder)
+    return file_stream(t.spark, folder, formed.schema, "*.parquet", files_per_batch=files)
 
 
 def _deliver(t: Tables, rows: DataFrame, at: str, label: str, run: Callable[[DataFrame], None]) -> None:
@@ -49,7 +56,7 @@ def _deliver(t: Tables, rows: DataFrame, at: str, label: str, run: Callable[[Dat
     GROUP BY 1, 2, 3""")
 def stream_ingest(t: Tables) -> DataFrame:
     path, checkpoint = _folders(t, "ingest")
-    jobs.drain(jobs.ingest(_streamed(t, records(t), "records"), path, checkpoint, NOW))
+    jobs.drain(jobs.ingest(_streamed(t, t.raw("events"), "records", records_of), path, checkpoint, NOW))
     written = [jobs.ingested(t.spark, path, o).withColumn("outcome", F.lit(o)) for o in ("good", "quarantine")]
     return written[0].unionByName(written[1]).groupBy("event_type", "outcome", F.array_join("errors", ";").alias("errors")).agg(
         F.count("*").alias("events"), F.count_distinct("event_id").alias("event_ids"))
